@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalogue import assembly_queries, evaluate_queries, profile_queries, table_queries  # noqa: F401
+from catalogue import assembly_queries, evaluate_queries, model_queries, profile_queries, table_queries  # noqa: F401
 from catalogue.fixtures import ORACLES, QUERIES
 
 
