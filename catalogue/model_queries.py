@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.fixtures import FEATURES_B, SETS_A, Fixture, over_a, query, with_views
-from catalogue.profile_queries import wide_a, wide_b
+from catalogue.profile_queries import kept_a, wide_b
 from lift.operators import assemble, boosting, encode, evaluate, forest, registry, split
 from lift.plans.build import BuildSettings, build_model as build
 from lift.plans.load import load_tables as load
@@ -45,7 +45,7 @@ _PERMUTED = {
 
 
 def _ruled(fx: Fixture) -> DataFrame:
-    ready = encode.fill_constant(wide_a(fx), RULED)
+    ready = encode.fill_constant(kept_a(fx), RULED)
     rule = _RULE.format("x[0]", "x[1]", "x[2]", "x[3]")
     found = forest.permutation_importance(
         ready, RULED, "target", "client_id", lambda rows: rows.withColumn("prediction", F.expr(rule).cast("double")), seed=SEED)
@@ -83,8 +83,9 @@ def export_top_counted(fx: Fixture) -> DataFrame:
 
 def _ready_b(fx: Fixture) -> DataFrame:
     """Documents encoded, filled and split."""
-    encoded, _ = encode.encode_categories(wide_b(fx), FEATURES_B)
-    return materialise(split.holdout(encode.fill_constant(encoded, FEATURES_B), "doc_id", "target", 0.2, SEED), "ready")
+    parted = split.holdout(materialise(wide_b(fx), "wide"), "doc_id", "target", 0.2, SEED)
+    encoded, _ = encode.encode_categories(parted, FEATURES_B)
+    return materialise(encode.fill_constant(encoded, FEATURES_B), "ready")
 
 
 def _part(ready: DataFrame, name: str) -> DataFrame:

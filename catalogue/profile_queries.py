@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogue.fixtures import FEATURES_A, FEATURES_B, NUMERIC_A, Fixture, over_a, over_b, query
 from lift.operators import assemble, encode, profile
+from lift.sources.shared import materialise
 
 MISSING, DOMINANT, COLLINEAR = 0.85, 0.9, 0.9
 
@@ -17,6 +18,11 @@ def wide_a(fx: Fixture) -> DataFrame:
     return assemble.load_features(fx["a_train"], fx.registry_a(), fx, "client_id", "target")[0]
 
 
+def kept_a(fx: Fixture) -> DataFrame:
+    """The wide table as the plans keep it, for operators that read it more than once."""
+    return materialise(wide_a(fx), "wide")
+
+
 def wide_b(fx: Fixture) -> DataFrame:
     return assemble.load_features(fx["b_train"], fx.registry_b(), fx, "doc_id", "target")[0]
 
@@ -61,17 +67,17 @@ def dominant_share_documents(fx: Fixture) -> DataFrame:
 
 @query(over_a("select * from shares where dominant_share > 0.3e0", shares=_dominant_sql(FEATURES_A)))
 def dominant_flags(fx: Fixture) -> DataFrame:
-    return profile.dominant_above(wide_a(fx), FEATURES_A, 0.3).select("feature", F.round("dominant_share", 8).alias("dominant_share"))
+    return profile.dominant_above(kept_a(fx), FEATURES_A, 0.3).select("feature", F.round("dominant_share", 8).alias("dominant_share"))
 
 
 @query(over_a("select pos_i, pos_j, feature_i, feature_j, round(corr, 8) as corr from pairs", pairs=_corr_sql(NUMERIC_A)))
 def correlation_pairs(fx: Fixture) -> DataFrame:
-    return profile.correlation(wide_a(fx), NUMERIC_A).withColumn("corr", F.round("corr", 8))
+    return profile.correlation(kept_a(fx), NUMERIC_A).withColumn("corr", F.round("corr", 8))
 
 
 @query(over_a("select feature_j as feature, round(max(corr), 8) as corr from pairs where corr > 0.9e0 group by feature_j", pairs=_corr_sql(NUMERIC_A)))
 def collinear_flags(fx: Fixture) -> DataFrame:
-    return profile.collinear(wide_a(fx), FEATURES_A, COLLINEAR).select("feature", F.round("corr", 8).alias("corr"))
+    return profile.collinear(kept_a(fx), FEATURES_A, COLLINEAR).select("feature", F.round("corr", 8).alias("corr"))
 
 
 _RECORD = dict(
@@ -90,12 +96,12 @@ def _record(wide: DataFrame) -> DataFrame:
 
 @query(over_a("select * from record", **_RECORD))
 def elimination_record(fx: Fixture) -> DataFrame:
-    return _record(wide_a(fx)).withColumn("value", F.round("value", 8))
+    return _record(kept_a(fx)).withColumn("value", F.round("value", 8))
 
 
 @query(over_a("select count(distinct feature) as dropped from record", **_RECORD))
 def dropped_count(fx: Fixture) -> DataFrame:
-    return profile.dropped_count(_record(wide_a(fx)))
+    return profile.dropped_count(_record(kept_a(fx)))
 
 
 def _long_sql(source: str, features: list[str]) -> str:
@@ -107,7 +113,7 @@ def _long_sql(source: str, features: list[str]) -> str:
     cells=_long_sql("wide", FEATURES_A), **_RECORD))
 def drop_useless(fx: Fixture) -> DataFrame:
     """The columns that survive, each with its rows and values."""
-    wide = wide_a(fx)
+    wide = kept_a(fx)
     left = profile.drop_useless(wide, _record(wide))
     names = [name for name in left.columns if name not in ("client_id", "target")]
     counts = left.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(name).alias(name) for name in names])
@@ -144,5 +150,5 @@ def category_apply_unseen(fx: Fixture) -> DataFrame:
            coalesce(n_chars, -1) as n_chars, coalesce(n_words, -1) as n_words, coalesce(emb_label, -1) as emb_label
     from wide""", codes=_CODES.format(source="wide")))
 def encode_then_fill(fx: Fixture) -> DataFrame:
-    encoded, _ = encode.encode_categories(wide_b(fx), FEATURES_B)
+    encoded, _ = encode.encode_categories(materialise(wide_b(fx), "wide"), FEATURES_B)
     return encode.fill_constant(encoded, FEATURES_B)

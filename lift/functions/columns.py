@@ -79,3 +79,13 @@ def checked_score(score: Column) -> Column:
     return F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(
         F.raise_error(F.lit("score must not be NULL or NaN"))
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on at least as many partitions as there are cores.
+
+    For the rows of an iterative fit, which are read many times: a small input
+    read as one partition would keep one core busy. Larger inputs pass as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

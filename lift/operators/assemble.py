@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,17 +43,16 @@ def add_set(wide: DataFrame, table: DataFrame, id_column: str, features: Sequenc
     return wide.join(set_columns(table, id_column, features), id_column, "left")
 
 
-def check_unique(id_column: str, tables: Mapping[str, DataFrame]) -> None:
-    """Raise if an id occurs twice in one of the tables.
+def unique_ids(df: DataFrame, id_column: str, name: str) -> DataFrame:
+    """``df``, or an error when it is read if an id occurs twice.
 
-    One job over all tables. Counts combine before the shuffle, so even an id
-    that fills a third of a table costs one row per task.
+    The window needs the partitioning and order that the join on the id needs,
+    so the join reuses both and the check costs no shuffle or job of its own.
     """
-    ids = [df.select(F.lit(name).alias("table"), named(id_column).alias("id")) for name, df in tables.items()]
-    groups = [one.groupBy("table", "id").agg(F.count("*").alias("n")).where("n > 1").select("table", F.col("id").cast("string")) for one in ids]
-    twice = reduce(DataFrame.unionByName, groups).limit(1).collect()
-    if twice:
-        raise ValueError(f"{twice[0]['table']}: {id_column} {twice[0]['id']!r} occurs more than once")
+    place = F.row_number().over(Window.partitionBy(named(id_column)).orderBy(named(id_column)))
+    message = F.concat(F.lit(f"{name}: {id_column} occurs more than once: "), F.coalesce(named(id_column).cast("string"), F.lit("NULL")))
+    checked = df.withColumn("__place", place)
+    return checked.where(F.when(F.col("__place") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).drop("__place")
 
 
 def assemble(population: DataFrame, sets: Sequence[FeatureSet], tables: Tables, id_column: str,
@@ -65,8 +64,9 @@ def assemble(population: DataFrame, sets: Sequence[FeatureSet], tables: Tables,
     serves them all, and tables bucketed by id join without a shuffle. Small
     tables are broadcast when Spark's size check allows it.
 
-    ``check_ids=False`` skips the uniqueness job for tables whose key is known
-    to be unique, as it is after ``load_csv`` or ``upsert``.
+    A repeated id is an error that shows when the result is read.
+    ``check_ids=False`` leaves the check out for tables whose key is known to be
+    unique, as it is after ``load_csv`` or ``upsert``.
     """
     sets = [one for one in sets if one.features]
     names = [name for one in sets for name in one.features]
@@ -75,14 +75,15 @@ def assemble(population: DataFrame, sets: Sequence[FeatureSet], tables: Tables,
         if name in taken:
             raise ValueError(f"column {name} occurs twice")
         taken.add(name)
-    sources = {one.source: _table(tables, one.source) for one in sets}
-    if check_ids:
-        covered = {name: df.where(named(id_column).isNotNull()) for name, df in sources.items()}
-        check_unique(id_column, {"population": population, **covered})
-    wide = reduce(
-        lambda left, one: add_set(left, sources[one.source], id_column, one.features),
-        sets, base_rows(population, id_column, target),
-    )
+
+    def feature_table(one: FeatureSet) -> DataFrame:
+        table = set_columns(_table(tables, one.source), id_column, one.features)
+        # a NULL id matches no entity
+        return unique_ids(table.where(named(id_column).isNotNull()), id_column, one.source) if check_ids else table
+
+    base = base_rows(population, id_column, target)
+    base = unique_ids(base, id_column, "population") if check_ids else base
+    wide = reduce(lambda left, one: add_set(left, feature_table(one), id_column, one.features), sets, base)
     return nan_to_null(wide, names)
 
 

@@ -16,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lift.functions.columns import named, probability_of_one
+from lift.functions.columns import named, probability_of_one, spread
 
 # The search ranges of a project that does not set its own.
 DEFAULT_RANGES: dict[str, tuple[float, float]] = {
@@ -80,7 +80,7 @@ def _classifier(params: Mapping[str, float], target: str, seed: int) -> GBTClass
 def fit_boosted(train: DataFrame, features: Sequence[str], target: str, params: Mapping[str, float], *, seed: int = 1) -> PipelineModel:
     """ML6: a boosted-tree classifier for a 0/1 target, classes balanced by weight."""
     [(pos, neg)] = _counts(train, target).values()
-    rows = train.select(named(target), *[named(name) for name in features], class_weight(target, pos, neg).alias("weight"))
+    rows = spread(train.select(named(target), *[named(name) for name in features], class_weight(target, pos, neg).alias("weight")))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     return Pipeline(stages=[assembler, _classifier(params, target, seed)]).fit(rows)
 
@@ -125,7 +125,7 @@ def search(train: DataFrame, features: Sequence[str], target: str, ranges: Mappi
     number of trials fitted side by side.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    vectors = assembler.transform(train).select("features", "fold", named(target)).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = spread(assembler.transform(train).select("features", "fold", named(target))).persist(StorageLevel.MEMORY_AND_DISK)
     draw = random.Random(seed)
     names = sorted(ranges)
     done: list[tuple[dict[str, float], float]] = []

@@ -5,15 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lift.functions.columns import hash_order, named, probability_of_one
+from lift.functions.columns import hash_order, named, probability_of_one, spread
 from lift.operators.evaluate import roc_auc, score_counts, top_importances
 from lift.operators.registry import convert_features
 
@@ -32,7 +31,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], target: str, *, trees:
         featureSubsetStrategy=str(max_features), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(
-        train.select(named(target), *[named(name) for name in features]))
+        spread(train.select(named(target), *[named(name) for name in features])))
 
 
 def impurity_importance(model: PipelineModel, features: Sequence[str], df: DataFrame) -> DataFrame:

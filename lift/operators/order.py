@@ -12,7 +12,7 @@ sums with windows over pieces of bounded size only:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -29,28 +29,31 @@ def order_key(id_column: str, seed: int) -> Column:
     return F.struct(hash_order(seed, named(id_column)).alias("h"), named(id_column).alias("id"))
 
 
-def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: DataFrame, by: str | None = None) -> DataFrame:
+def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: Callable[[DataFrame], DataFrame], by: str | None = None) -> DataFrame:
     """The order keys at wanted ranks, without ranking the rows.
 
-    ``wanted`` holds one row per group with an array ``ranks`` of ranks from 1
-    to the size of the group (and the group itself in a column ``by``). The
-    result has one row per group with the sorted array ``cuts``.
+    ``wanted`` turns the groups' sizes ``(g, n)`` into ``(g, ranks)``, for each
+    group an array of ranks from 1 to its size. The result has one row per
+    group, ``(g, cuts)``, with the sorted array of the keys at those ranks. A
+    group is a value of ``by``; without it all rows are one group.
 
-    Counts per hash prefix tell which bucket holds a wanted rank; only the rows
-    of those buckets, one in 65,536 per rank, are ever sorted. Comparing a row
-    with the cuts then needs no shuffle of the rows.
+    Counts per hash prefix give the sizes and tell which bucket holds a wanted
+    rank; only the rows of those buckets, one in 65,536 per rank, are ever
+    sorted. Comparing a row with the cuts then needs no shuffle of the rows.
     """
     group = (F.lit(0) if by is None else named(by)).alias("g")
     keyed = df.select(group, order_key(id_column, seed).alias("k"))
     keyed = keyed.select("g", "k", F.substring("k.h", 1, _PREFIX).alias("b"))
 
     along = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = keyed.groupBy("g", "b").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(along))
+    sizes = keyed.groupBy("g", "b").agg(F.count("*").alias("n"))
+    # one row per group: two for a 0/1 target
+    targets = wanted(sizes.groupBy("g").agg(F.sum("n").alias("n"))).select(F.col("g").alias("tg"), "ranks")
+    sizes = sizes.withColumn("upto", F.sum("n").over(along))
     if by is None:
-        sizes = sizes.withColumn("ranks", wanted.select("ranks").scalar())
+        sizes = sizes.withColumn("ranks", targets.select("ranks").scalar())
     else:
-        targets = F.broadcast(wanted.select(named(by).alias("tg"), "ranks"))
-        sizes = sizes.join(targets, F.col("g").eqNullSafe(F.col("tg")))
+        sizes = sizes.join(F.broadcast(targets), F.col("g").eqNullSafe(F.col("tg")))
     hits = sizes.select(
         F.col("g").alias("hg"), F.col("b").alias("hb"),
         F.expr("transform(filter(ranks, r -> r > upto - n and r <= upto), r -> r - upto + n)").alias("places"),
@@ -61,14 +64,14 @@ def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: DataFrame, by: s
     inside = Window.partitionBy("g", "b").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = near.withColumn("upto", F.sum("n").over(inside))
     found = near.select("g", "k", F.explode(F.expr("filter(places, r -> r > upto - n and r <= upto)")).alias("place"))
-    return found.groupBy("g").agg(F.sort_array(F.collect_list("k")).alias("cuts")).withColumnRenamed("g", by or "g")
+    return found.groupBy("g").agg(F.sort_array(F.collect_list("k")).alias("cuts"))
 
 
 def with_cuts(df: DataFrame, cuts: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` plus the column ``cuts`` of its group; one row per group is broadcast."""
     if by is None:
         return df.withColumn("cuts", cuts.select("cuts").scalar())
-    groups = F.broadcast(cuts.select(named(by).alias("__g"), "cuts"))
+    groups = F.broadcast(cuts.withColumnRenamed("g", "__g"))
     return df.join(groups, named(by).eqNullSafe(F.col("__g")), "left").drop("__g")
 
 

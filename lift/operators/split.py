@@ -13,7 +13,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lift.functions.columns import named
 from lift.operators.order import hash_cuts, order_key, with_cuts
 
 TRAIN, HOLDOUT = "train", "holdout"
@@ -24,31 +23,31 @@ def _exact(share: float) -> Column:
     return F.lit(Decimal(repr(float(share)))).cast("decimal(18,12)")
 
 
-def holdout_sizes(df: DataFrame, target: str, share: float) -> DataFrame:
-    """``(target, n, held)``: how many rows of each class go to the holdout.
+def holdout_sizes(classes: DataFrame, share: float) -> DataFrame:
+    """``(g, n, held)`` from the class sizes ``(g, n)``: how many rows of each class are held out.
 
     The holdout has ``ceil(share * rows)`` rows. The train part is divided
     among the classes in proportion; rows left over by rounding down go to the
     classes with the largest remainders.
     """
-    classes = df.groupBy(named(target).alias(target)).agg(F.count("*").alias("n"))
-    # one row per class from here on
-    everything = Window.partitionBy(F.lit(0))
+    everything = Window.partitionBy(F.lit(0))  # one row per class
     sized = classes.withColumn("total", F.sum("n").over(everything))
     sized = sized.withColumn("train", F.col("total") - F.ceil(_exact(share) * F.col("total")).cast("bigint"))
     product = F.col("train").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")
     sized = sized.withColumn("rest", product % F.col("total"))
     sized = sized.withColumn("kept", ((product - F.col("rest")) / F.col("total")).cast("bigint"))
-    largest = everything.orderBy(F.col("rest").desc(), named(target).asc())
+    largest = everything.orderBy(F.col("rest").desc(), F.col("g").asc())
     extra = (F.row_number().over(largest) <= F.col("train") - F.sum("kept").over(everything)).cast("int")
-    return sized.select(named(target), "n", (F.col("n") - F.col("kept") - extra).alias("held"))
+    return sized.select("g", "n", (F.col("n") - F.col("kept") - extra).alias("held"))
 
 
 def holdout(df: DataFrame, id_column: str, target: str, share: float = 0.2, seed: int = 1) -> DataFrame:
     """SP1: ``df`` plus ``split``, either ``train`` or ``holdout``, class shares kept."""
-    sizes = holdout_sizes(df, target, share)
-    wanted = sizes.select(target, F.when(F.col("held") > 0, F.array("held")).otherwise(F.array().cast("array<bigint>")).alias("ranks"))
-    cuts = hash_cuts(df, id_column, seed, wanted, by=target)
+
+    def last_held(classes: DataFrame) -> DataFrame:
+        return holdout_sizes(classes, share).select("g", F.filter(F.array("held"), lambda r: r > 0).alias("ranks"))
+
+    cuts = hash_cuts(df, id_column, seed, last_held, by=target)
     held = F.coalesce(order_key(id_column, seed) <= F.get("cuts", F.lit(0)), F.lit(False))
     return with_cuts(df, cuts, by=target).select(*df.columns, F.when(held, HOLDOUT).otherwise(TRAIN).alias("split"))
 
@@ -57,10 +56,12 @@ def folds(df: DataFrame, id_column: str, target: str, k: int = 4, seed: int = 1)
     """SP2: ``df`` plus ``fold`` from 0 to k-1; a class's fold sizes differ by one at most."""
     if k < 2:
         raise ValueError("at least two folds are needed")
-    n = F.col("n").cast("decimal(19,0)")
-    ranks = F.array(*[F.ceil(n * F.lit(j) / F.lit(k)).cast("bigint") for j in range(1, k)])
-    wanted = df.groupBy(named(target).alias(target)).agg(F.count("*").alias("n")).select(target, ranks.alias("ranks"))
-    cuts = hash_cuts(df, id_column, seed, wanted, by=target)
+
+    def last_of_each(classes: DataFrame) -> DataFrame:
+        n = F.col("n").cast("decimal(19,0)")
+        return classes.select("g", F.array(*[F.ceil(n * F.lit(j) / F.lit(k)).cast("bigint") for j in range(1, k)]).alias("ranks"))
+
+    cuts = hash_cuts(df, id_column, seed, last_of_each, by=target)
     key = order_key(id_column, seed)
     fold = sum((F.coalesce(key > F.get("cuts", F.lit(j)), F.lit(False)).cast("int") for j in range(k - 1)), F.lit(0))
     return with_cuts(df, cuts, by=target).select(*df.columns, fold.alias("fold"))
@@ -70,7 +71,10 @@ def sample_rows(df: DataFrame, id_column: str, share: float = 1.0, seed: int = 1
     """PF6: exactly ``round(share * rows)`` rows, halves rounded to even; 1.0 keeps every row."""
     if share >= 1.0:
         return df
-    size = F.bround(_exact(share) * F.col("n")).cast("bigint")
-    wanted = df.agg(F.count("*").alias("n")).select(F.filter(F.array(size), lambda r: r > 0).alias("ranks"))
-    cuts = hash_cuts(df, id_column, seed, wanted)
+
+    def last_taken(groups: DataFrame) -> DataFrame:
+        size = F.bround(_exact(share) * F.col("n")).cast("bigint")
+        return groups.select("g", F.filter(F.array(size), lambda r: r > 0).alias("ranks"))
+
+    cuts = hash_cuts(df, id_column, seed, last_taken)
     return with_cuts(df, cuts).where(order_key(id_column, seed) <= F.get("cuts", F.lit(0))).select(*df.columns)

@@ -51,9 +51,9 @@ def build_model(population: DataFrame, registry: DataFrame, tables: Tables, sett
     """Assemble, encode, fill, split, search, fit, save and evaluate."""
     target, id_column = settings.target, settings.id_column
     wide, features = load_features(population, registry, tables, id_column, target, check_ids=settings.check_ids)
-    encoded, _ = encode_categories(materialise(wide, "wide"), features, dictionary_path)
-    ready = fill_constant(encoded, features, settings.na_value)
-    ready = materialise(holdout(ready, id_column, target, settings.holdout_size, settings.seed), "ready")
+    parted = holdout(materialise(wide, "wide"), id_column, target, settings.holdout_size, settings.seed)
+    encoded, _ = encode_categories(parted, features, dictionary_path)
+    ready = materialise(fill_constant(encoded, features, settings.na_value), "ready")
     train = ready.where(F.col("split") == TRAIN)
     found = search(folds(train, id_column, target, settings.cv_splits, settings.seed), features, target, settings.ranges,
                    init_points=settings.init_points, n_iter=settings.n_iter, seed=settings.seed, parallelism=settings.parallelism)

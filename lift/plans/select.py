@@ -60,9 +60,9 @@ def select_features(population: DataFrame, registry: DataFrame, tables: Tables,
                                 collinear_above=settings.collinear_threshold)
     pruned = drop_useless(wide, record)
     features = [name for name in features if name in pruned.columns]
-    encoded, _ = encode_categories(pruned, features)
-    ready = fill_constant(encoded, features, settings.na_value)
-    ready = materialise(holdout(ready, settings.id_column, settings.target, settings.test_size, settings.seed), "ready")
+    parted = holdout(pruned, settings.id_column, settings.target, settings.test_size, settings.seed)
+    encoded, _ = encode_categories(parted, features)
+    ready = materialise(fill_constant(encoded, features, settings.na_value), "ready")
     importances, auc = feature_importances(
         ready.where(F.col("split") == TRAIN), ready.where(F.col("split") == HOLDOUT), features, settings.target, settings.id_column,
         permutation=settings.permutation, seed=settings.seed, **settings.forest,
