@@ -23,6 +23,9 @@ VIEWS: dict[str, str] = {
         select c.c_custkey as client_id, cast(case when l.k is null then 1 else 0 end as int) as target
         from customer c
         left join (select distinct o_custkey as k from orders where o_orderdate >= {CUT}) l on l.k = c.c_custkey""",
+    "a_spender": f"""
+        select o_custkey as client_id, cast(case when sum(cast(o_totalprice as decimal(18,2))) > 2000000 then 1 else 0 end as int) as target
+        from orders where o_orderdate < {CUT} group by o_custkey""",
     "a_set1": f"""
         select o_custkey as client_id, count(*) as set1_order_cnt,
                cast(sum(cast(o_totalprice as decimal(18,2))) as double) as set1_order_sum,
@@ -129,6 +132,7 @@ def with_views(body: str, *names: str, extra: Mapping[str, str] | None = None) -
 
 A_VIEWS = ("a_train", "a_set1", "a_set2", "a_set3", "a_set4", "a_set5")
 B_VIEWS = ("b_train", "b_text", "b_emb")
+SPENDERS = "select p.client_id, p.target, " + ", ".join(FEATURES_A) + " from a_spender p join wide on wide.client_id = p.client_id"
 WIDE_A = "select t.client_id, t.target, " + ", ".join(FEATURES_A) + " from a_train t " + " ".join(
     f"left join {one['source']} on {one['source']}.client_id = t.client_id" for one in SETS_A)
 WIDE_B = "select t.doc_id, t.target, " + ", ".join(FEATURES_B) + " from b_train t " + " ".join(

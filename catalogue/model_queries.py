@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.fixtures import FEATURES_B, SETS_A, Fixture, over_a, query, with_views
-from catalogue.profile_queries import kept_a, wide_b
+from catalogue.fixtures import FEATURES_B, SETS_A, SPENDERS, VIEWS, Fixture, over_a, query, with_views
+from catalogue.profile_queries import wide_b
 from lift.operators import assemble, boosting, encode, evaluate, forest, registry, split
 from lift.plans.build import BuildSettings, build_model as build
 from lift.plans.load import load_tables as load
@@ -24,7 +24,7 @@ PARAMS = {"num_iterations": 10, "num_leaves": 16, "learning_rate": 0.1, "min_dat
 
 # A rule in place of a model, so that the importances have an exact SQL counterpart.
 RULED = ["set1_order_cnt", "set4_returns", "set5_nation", "set5_const"]
-_RULE = "case when {0} * 3 + {1} + ({2} % 5) < 34 then 1 else 0 end"
+_RULE = "case when {0} * 10 + {1} + ({2} % 3) > 100 then 1 else 0 end"
 
 
 def _swapped(place: int) -> str:
@@ -32,8 +32,10 @@ def _swapped(place: int) -> str:
 
 
 _PERMUTED = {
+    "a_spender": VIEWS["a_spender"],
+    "spenders": SPENDERS,
     "filled": "select client_id, target as y, md5(concat('5|', cast(client_id as varchar))) as h, " +
-              ", ".join(f"coalesce({name}, -1) as x{i}" for i, name in enumerate(RULED)) + " from wide",
+              ", ".join(f"coalesce({name}, -1) as x{i}" for i, name in enumerate(RULED)) + " from spenders",
     "grouped": "select *, cast(concat('0x', substr(h, 1, 8)) as bigint) % greatest(1, cast(ceil((select count(*) from filled) / 1024e0) as bigint)) as g from filled",
     "placed": "select *, row_number() over (partition by g order by h) - 1 as i, count(*) over (partition by g) as c from grouped",
     "base": f"select count(case when {_RULE.format(*['x0', 'x1', 'x2', 'x3'])} = y then 1 end) as hits, count(*) as n from placed",
@@ -45,7 +47,8 @@ _PERMUTED = {
 
 
 def _ruled(fx: Fixture) -> DataFrame:
-    ready = encode.fill_constant(kept_a(fx), RULED)
+    wide, _ = assemble.load_features(fx["a_spender"], fx.registry_a(), fx, "client_id", "target")
+    ready = encode.fill_constant(materialise(wide, "wide"), RULED)
     rule = _RULE.format("x[0]", "x[1]", "x[2]", "x[3]")
     found = forest.permutation_importance(
         ready, RULED, "target", "client_id", lambda rows: rows.withColumn("prediction", F.expr(rule).cast("double")), seed=SEED)
