@@ -50,9 +50,11 @@ def score_population(population: DataFrame, registry: DataFrame, tables: Tables,
         wide = apply_categories(wide, features, dictionary)
     ready = fill_constant(wide, features, settings.na_value)
     fitted = load_model(model) if isinstance(model, str) else model
-    scored = materialise(score(fitted, ready, settings.pred_col).select(settings.id_column, settings.pred_col), "scored")
-    if path is not None:
-        save_scores(scored, path, id_column=settings.id_column, pred_column=settings.pred_col, table=table)
+    scored = score(fitted, ready, settings.pred_col).select(named(settings.id_column), named(settings.pred_col))
+    if path is None:
+        scored = materialise(scored, "scored")
+    else:
+        scored = save_scores(scored, path, id_column=settings.id_column, pred_column=settings.pred_col, table=table)
     histogram = None
     if settings.histogram:
         histogram = histogram_of(scored, settings.id_column, settings.pred_col, settings.histogram_share, settings.seed)

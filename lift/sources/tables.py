@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lift.functions.columns import as_list, named
+from lift.sources.shared import materialise
 
 _ORDER = "__arrival"
 
@@ -43,15 +44,16 @@ def read_csv_in_order(spark: SparkSession, path: str | Sequence[str], schema: T.
     return rows.select("*", arrival.alias(_ORDER))
 
 
-def last_per_key(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order``.
+def last_per_key(rows: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
+    """One row per key: the one with the greatest ``order``, or any one without an order.
 
     ``max_by`` combines on the map side, so a key that holds a third of all
     rows sends one row per task through the shuffle.
     """
     names = [name for name in rows.columns if name != order]
     whole = F.struct(*[named(name) for name in names])
-    kept = rows.groupBy(*[named(key) for key in keys]).agg(F.max_by(whole, named(order)).alias("__row"))
+    place = F.lit(0) if order is None else named(order)
+    kept = rows.groupBy(*[named(key).alias(f"__key{i}") for i, key in enumerate(keys)]).agg(F.max_by(whole, place).alias("__row"))
     return kept.select("__row.*")
 
 
@@ -59,40 +61,53 @@ def _swap_in(df: DataFrame, table: str, keys: Sequence[str], buckets: int | None
     """Write a complete new version beside ``table``, then take its name."""
     spark = df.sparkSession
     staged = f"{table}__{uuid.uuid4().hex[:12]}"
-    writer = df.write.format("parquet")
-    if buckets:
-        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-    writer.saveAsTable(staged)
+    if buckets:  # one file per bucket
+        columns = [named(key) for key in keys]
+        df.repartition(buckets, *columns).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(staged)
+    else:
+        df.write.format("parquet").saveAsTable(staged)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
 
 
+def _replaced(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``new``, and the rows of ``old`` whose key it does not bring. Both have unique keys.
+
+    Old rows are not sorted or grouped again: a small load is broadcast to them,
+    a large one joined by key. Rows with a NULL in their key, which no join
+    matches, are few or none and combined by themselves.
+    """
+    gap = reduce(Column.__or__, [named(key).isNull() for key in keys])
+
+    def arrived(df: DataFrame, load: int) -> DataFrame:
+        return df.where(gap).withColumn(_ORDER, F.lit(load))
+
+    kept = old.where(~gap).join(new.where(~gap).select(*[named(key) for key in keys]), list(keys), "left_anti")
+    odd = last_per_key(arrived(old, 0).unionByName(arrived(new, 1)), keys, _ORDER)
+    return kept.select(*old.columns).unionByName(new.where(~gap)).unionByName(odd)
+
+
 def upsert(rows: DataFrame, table: str, primary_key: str | Sequence[str], *, order: str | None = None, buckets: int | None = None) -> None:
     """Insert or replace ``rows`` into ``table`` by key; the latest row of a key wins.
 
     ``order`` names a column that orders the rows of this load and is not
-    stored; without it the keys of one load must be unique. Columns go by
+    stored; without it the keys of one load should be unique. Columns go by
     position, as the table's schema is frozen by its first load. With
     ``buckets`` the table is bucketed by its key, and joins on the key need
     no shuffle.
     """
     spark = rows.sparkSession
     keys = as_list(primary_key)
-    names = [name for name in rows.columns if name != order]
-    new = rows.select(
-        *[named(name) for name in names],
-        F.struct(F.lit(1).alias("load"), (named(order) if order else F.lit(0)).alias("place")).alias(_ORDER),
-    )
-    if spark.catalog.tableExists(table):
-        frozen = spark.table(table)
-        if len(frozen.columns) != len(names):
-            raise ValueError(f"{table} has {len(frozen.columns)} columns, the load has {len(names)}")
-        typed = [named(name).cast(field.dataType).alias(field.name) for name, field in zip(names, frozen.schema.fields)]
-        new = new.select(*typed, _ORDER)
-        place = new.schema[_ORDER].dataType["place"].dataType
-        old = frozen.select("*", F.struct(F.lit(0).alias("load"), F.lit(None).cast(place).alias("place")).alias(_ORDER))
-        new = old.unionByName(new)
-    _swap_in(last_per_key(new, keys, _ORDER), table, keys, buckets)
+    new = last_per_key(rows, keys, order)
+    if not spark.catalog.tableExists(table):
+        _swap_in(new, table, keys, buckets)
+        return
+    old = spark.table(table)
+    if len(old.columns) != len(new.columns):
+        raise ValueError(f"{table} has {len(old.columns)} columns, the load has {len(new.columns)}")
+    typed = [named(name).cast(field.dataType).alias(field.name) for name, field in zip(new.columns, old.schema.fields)]
+    keys = [old.columns[new.columns.index(key)] for key in keys]
+    _swap_in(_replaced(old, materialise(new.select(*typed), "load"), keys), table, keys, buckets)
 
 
 def load_csv(spark: SparkSession, path: str | Sequence[str], table: str, primary_key: str | Sequence[str], *,
@@ -175,18 +190,14 @@ def column_widths(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def save_scores(scored: DataFrame, path: str, *, id_column: str, pred_column: str = "pred", table: str | None = None,
-                buckets: int | None = None) -> None:
+                buckets: int | None = None) -> DataFrame:
     """IO9: id and probability as CSV, and upserted into ``table`` when one is named.
 
-    The scores are kept while both sinks are written, so the model runs once.
+    The scores are kept in the shared folder first and returned from there, so
+    the model runs once however many sinks and readers there are.
     """
-    out = scored.select(named(id_column), named(pred_column))
-    if table is None:
-        out.write.mode("overwrite").csv(path, header=True)
-        return
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out.write.mode("overwrite").csv(path, header=True)
-        upsert(out, table, [id_column], buckets=buckets)
-    finally:
-        out.unpersist()
+    kept = materialise(scored.select(named(id_column), named(pred_column)), "scored")
+    kept.write.mode("overwrite").csv(path, header=True)
+    if table is not None:
+        upsert(kept, table, [id_column], buckets=buckets)
+    return kept
