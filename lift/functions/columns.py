@@ -66,10 +66,15 @@ def hash_order(seed: int, *keys: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[key.cast("string") for key in keys]))
 
 
+def label_of(target: str) -> Column:
+    """The target as the 0.0 or 1.0 that Spark ML expects, be it an integer, a double or a boolean."""
+    return named(target).cast("double")
+
+
 def checked_label(label: Column) -> Column:
     """The label as an int; anything but 0 and 1 is an error, not a lost row."""
-    value = label.cast("int")
-    return F.when(label.isin(0, 1), value).otherwise(
+    value = label.cast("double")
+    return F.when(value.isin(0.0, 1.0), value.cast("int")).otherwise(
         F.raise_error(F.concat(F.lit("label must be 0 or 1, found "), F.coalesce(label.cast("string"), F.lit("NULL"))))
     )
 
@@ -81,11 +86,15 @@ def checked_score(score: Column) -> Column:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` on at least as many partitions as there are cores.
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` on partitions that suit an iterative fit, which reads its rows many times.
 
-    For the rows of an iterative fit, which are read many times: a small input
-    read as one partition would keep one core busy. Larger inputs pass as they are.
+    A few thousand rows per core are put on fewer tasks, as tiny tasks cost more
+    than they compute. Up to some hundred thousand rows per core are dealt out
+    evenly, as a small file is read as one partition. Beyond that the partitions
+    of the input fill the cores, and nothing is moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if rows < cores * 5_000:
+        return df.coalesce(max(1, -(-rows // 5_000)))
+    return df.repartition(cores) if rows < cores * 100_000 else df

@@ -16,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lift.functions.columns import named, probability_of_one, spread
+from lift.functions.columns import label_of, named, probability_of_one, spread
 
 # The search ranges of a project that does not set its own.
 DEFAULT_RANGES: dict[str, tuple[float, float]] = {
@@ -65,11 +65,11 @@ def spark_params(params: Mapping[str, float]) -> dict:
 def class_weight(target: str, positives: int, negatives: int) -> Column:
     """Weight of a row such that both classes count the same; the larger class has weight 1."""
     larger = max(positives, negatives)
-    return F.when(named(target) == 1, F.lit(larger / max(positives, 1))).otherwise(F.lit(larger / max(negatives, 1)))
+    return F.when(label_of(target) == 1, F.lit(larger / max(positives, 1))).otherwise(F.lit(larger / max(negatives, 1)))
 
 
 def _counts(df: DataFrame, target: str, *by: str) -> dict:
-    rows = df.groupBy(*by).agg(F.count_if(named(target) == 1).alias("pos"), F.count_if(named(target) == 0).alias("neg")).collect()
+    rows = df.groupBy(*by).agg(F.count_if(label_of(target) == 1).alias("pos"), F.count_if(label_of(target) == 0).alias("neg")).collect()
     return {tuple(row[name] for name in by): (row["pos"], row["neg"]) for row in rows}
 
 
@@ -80,9 +80,9 @@ def _classifier(params: Mapping[str, float], target: str, seed: int) -> GBTClass
 def fit_boosted(train: DataFrame, features: Sequence[str], target: str, params: Mapping[str, float], *, seed: int = 1) -> PipelineModel:
     """ML6: a boosted-tree classifier for a 0/1 target, classes balanced by weight."""
     [(pos, neg)] = _counts(train, target).values()
-    rows = spread(train.select(named(target), *[named(name) for name in features], class_weight(target, pos, neg).alias("weight")))
+    rows = train.select(label_of(target).alias(target), *[named(name) for name in features], class_weight(target, pos, neg).alias("weight"))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, _classifier(params, target, seed)]).fit(rows)
+    return Pipeline(stages=[assembler, _classifier(params, target, seed)]).fit(spread(rows, pos + neg))
 
 
 def fold_auc(vectors: DataFrame, target: str, params: Mapping[str, float], counts: Mapping[tuple, tuple[int, int]], *, seed: int = 1) -> float:
@@ -125,13 +125,13 @@ def search(train: DataFrame, features: Sequence[str], target: str, ranges: Mappi
     number of trials fitted side by side.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    vectors = spread(assembler.transform(train).select("features", "fold", named(target))).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = _counts(train, target, "fold")
+    vectors = assembler.transform(train).select("features", "fold", label_of(target).alias(target))
+    vectors = spread(vectors, sum(pos + neg for pos, neg in counts.values())).persist(StorageLevel.MEMORY_AND_DISK)
     draw = random.Random(seed)
     names = sorted(ranges)
     done: list[tuple[dict[str, float], float]] = []
     try:
-        counts = _counts(vectors, target, "fold")
-
         def evaluate(params: dict[str, float]) -> float:
             return fold_auc(vectors, target, params, counts, seed=seed)
 

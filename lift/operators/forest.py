@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lift.functions.columns import hash_order, named, probability_of_one, spread
+from lift.functions.columns import hash_order, label_of, named, probability_of_one, spread
 from lift.operators.evaluate import roc_auc, score_counts, top_importances
 from lift.operators.registry import convert_features
 
@@ -30,8 +30,8 @@ def fit_forest(train: DataFrame, features: Sequence[str], target: str, *, trees:
         featuresCol="features", labelCol=target, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
         featureSubsetStrategy=str(max_features), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(
-        spread(train.select(named(target), *[named(name) for name in features])))
+    rows = spread(train.select(label_of(target).alias(target), *[named(name) for name in features]), train.count())
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(rows)
 
 
 def impurity_importance(model: PipelineModel, features: Sequence[str], df: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], target: str,
     hashed = hash_order(seed, named(id_column))
     groups = max(1, math.ceil(df.count() / group_rows))
     group = F.pmod(F.conv(F.substring(hashed, 1, 8), 16, 10).cast("bigint"), F.lit(groups)).alias("g")
-    row = F.struct(hashed.alias("h"), named(target).cast("double").alias("y"),
+    row = F.struct(hashed.alias("h"), label_of(target).alias("y"),
                    F.array(*[named(name).cast("double") for name in features]).alias("x")).alias("r")
     grouped = df.select(group, row).groupBy("g").agg(F.sort_array(F.collect_list("r")).alias("rows"))
 

@@ -134,7 +134,7 @@ def ranked(df: DataFrame, order: Sequence[str], rank: str, label: str = "ranked"
     placed = materialise(ranged.withColumn("__id", F.monotonically_increasing_id()), label)
     placed = placed.withColumn("__part", F.shiftright("__id", 33))
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("__part"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
     within = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.join(F.broadcast(offsets), "__part").select(*df.columns, (within + F.col("__before") + 1).alias(rank))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lift.functions.columns import FRACTIONAL, INTEGRAL, columns_of, named, numeric_columns
@@ -57,49 +58,84 @@ def dominant_share(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).select("feature", share.alias("dominant_share"))
 
 
-_TRACKED = 10_000  # items a sketch keeps; it misses none above 1/1000 of the rows
-_SLACK = 1e-3
+@dataclass(frozen=True)
+class Survey:
+    """What one pass over a wide table tells about its features.
 
+    ``frequent`` holds, for each feature, every value whose share may be above
+    the threshold asked for; ``means`` the means of the numeric features.
+    """
 
-def dominant_above(df: DataFrame, features: Sequence[str], threshold: float) -> DataFrame:
-    """AG2 as a filter: features whose dominant share is above ``threshold``, with the exact share.
+    rows: int
+    present: dict[str, int]
+    frequent: dict[str, list]
+    means: dict[str, float | None]
+
+
+_LOWEST = 1e-3  # below this threshold a sketch would be as large as the full count
+
+
+def _comparable(df: DataFrame, features: Sequence[str]) -> dict[str, Column]:
+    """Features cast to the types of ``_by_kind``; adding 0.0 folds the two zeros of a double into one."""
+    return {name: named(name).cast(kind) + F.lit(0.0) if kind == "double" else named(name).cast(kind)
+            for kind, names in _by_kind(df, features) for name in names}
+
+
+def survey(df: DataFrame, features: Sequence[str], threshold: float | None = None) -> Survey:
+    """Counts, means and frequent values of all features in one pass, nothing shuffled but one row per task.
 
-    A value above the threshold is among the few most frequent ones, and a
-    frequent-items sketch names those in one pass; a second pass counts them
-    exactly. No row is shuffled. Thresholds near the sketch's error go through
-    the full count instead.
+    A sketch of frequent items whose error stays within a thirtieth of the
+    threshold misses no value above it; the few it names beside those are
+    weeded out by an exact count.
     """
-    spark = df.sparkSession
     features = list(features)
-    if threshold < 10 * _SLACK or not features:
-        shares = dominant_share(df, features) if features else spark.createDataFrame([], "feature string, dominant_share double")
-        return shares.where(F.col("dominant_share") > F.lit(float(threshold)))
-    kinds = {name: kind for kind, names in _by_kind(df, features) for name in names}
-    # adding 0.0 folds the two zeros of a double into one
-    values = {name: named(name).cast(kind) + F.lit(0.0) if kind == "double" else named(name).cast(kind) for name, kind in kinds.items()}
-    typed = df.select(*[values[name].alias(f"f{i}") for i, name in enumerate(features)])
-    few = math.ceil(1 / (threshold - _SLACK)) + 1  # NULL may take one place
-    tops = typed.agg(F.count(F.lit(1)).alias("n"), *[
-        F.expr(f"approx_top_k(f{i}, {few}, {max(_TRACKED, few)})").alias(f"f{i}") for i in range(len(features))
-    ]).first()
-    candidates = {
-        i: [entry["item"] for entry in tops[f"f{i}"] or [] if entry["item"] is not None and entry["count"] > (threshold - _SLACK) * tops["n"]]
-        for i in range(len(features))
+    typed = df.select(*[column.alias(f"f{features.index(name)}") for name, column in _comparable(df, features).items()])
+    numeric = columns_of(df, INTEGRAL + FRACTIONAL, features)
+    aggregates = [F.count(F.lit(1)).alias("rows"), *[F.count(f"f{i}").alias(f"c{i}") for i in range(len(features))]]
+    aggregates += [F.avg(F.col(f"f{i}").cast("double")).alias(f"m{i}") for i, name in enumerate(features) if name in numeric]
+    if threshold is not None:
+        slack = threshold / 10
+        few = math.ceil(1 / (threshold - slack)) + 1  # NULL may take one place
+        tracked = math.ceil(8 / slack)
+        aggregates += [F.expr(f"approx_top_k(f{i}, {few}, {tracked})").alias(f"t{i}") for i in range(len(features))]
+    row = typed.agg(*aggregates).first().asDict()
+    frequent = {
+        name: [entry["item"] for entry in row.get(f"t{i}") or [] if entry["item"] is not None and entry["count"] > 0.9 * threshold * row["rows"]]
+        for i, name in enumerate(features)
     }
-    candidates = {i: items for i, items in candidates.items() if items}
-    if not candidates:
-        return spark.createDataFrame([], "feature string, dominant_share double")
-    n = F.count(F.lit(1)).cast("double")
-    counts = []
-    for i, items in candidates.items():
-        each = [F.count(F.when(F.col(f"f{i}") == F.lit(item), 1)) for item in items]
-        counts.append((F.greatest(*each) if len(each) > 1 else each[0]).cast("double") / n)
-    found = [features[i] for i in candidates]
-    shares = _per_feature(typed.agg(*[count.alias(f"v{j}") for j, count in enumerate(counts)]), found, "dominant_share")
-    return shares.where(F.col("dominant_share") > F.lit(float(threshold)))
+    return Survey(row["rows"], {name: row[f"c{i}"] for i, name in enumerate(features)}, frequent,
+                  {name: row.get(f"m{i}") for i, name in enumerate(features)})
 
 
-def correlation(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def dominant_above(df: DataFrame, features: Sequence[str], threshold: float, seen: Survey | None = None) -> DataFrame:
+    """AG2 as a filter: features whose dominant share is above ``threshold``, with the exact share.
+
+    A value above the threshold is among the frequent ones that a survey names
+    in one pass; a second pass counts those exactly. No row is shuffled. Tiny
+    thresholds go through the full count instead.
+    """
+    spark = df.sparkSession
+    features = list(features)
+    empty = spark.createDataFrame([], "feature string, dominant_share double")
+    if not features:
+        return empty
+    over = F.col("dominant_share") > F.lit(float(threshold))
+    if threshold < _LOWEST:
+        return dominant_share(df, features).where(over)
+    seen = survey(df, features, threshold) if seen is None else seen
+    values = _comparable(df, features)
+    found = [name for name in features if seen.frequent[name]]
+    if not found:
+        return empty
+    shares = []
+    for name in found:
+        each = [F.count(F.when(values[name] == F.lit(item), 1)) for item in seen.frequent[name]]
+        shares.append((F.greatest(*each) if len(each) > 1 else each[0]).cast("double") / F.count(F.lit(1)).cast("double"))
+    row = df.agg(*[share.alias(f"v{i}") for i, share in enumerate(shares)])
+    return _per_feature(row, found, "dominant_share").where(over)
+
+
+def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = None) -> DataFrame:
     """AG3: ``(pos_i, pos_j, feature_i, feature_j, corr)`` for numeric features, i before j.
 
     Pearson correlation over the rows where both features are present; NULL
@@ -114,9 +150,9 @@ def correlation(df: DataFrame, features: Sequence[str]) -> DataFrame:
     if size < 2:
         return df.sparkSession.createDataFrame([], schema)
     numbers = df.select(*[named(name).cast("double").alias(f"f{i}") for i, name in enumerate(names)])
-    means = numbers.agg(*[F.avg(f"f{i}").alias(f"f{i}") for i in range(size)]).first()
-    # far-off centres only cost digits, so a missing or infinite mean counts as 0
-    centre = np.array([m if m is not None and math.isfinite(m) else 0.0 for m in means])
+    means = (survey(df, names) if seen is None else seen).means
+    # a centre is there to keep digits, so a missing or infinite mean counts as 0
+    centre = np.array([m if m is not None and math.isfinite(m) else 0.0 for m in (means[name] for name in names)])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((6, size, size))
@@ -156,13 +192,13 @@ def correlation(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def collinear(df: DataFrame, features: Sequence[str], threshold: float) -> DataFrame:
+def collinear(df: DataFrame, features: Sequence[str], threshold: float, seen: Survey | None = None) -> DataFrame:
     """AG4: ``(feature, corr)`` for features that follow one they correlate with above ``threshold``.
 
     The sign counts: a strong negative correlation flags nothing. The earlier
     feature may be flagged itself. ``corr`` is the largest one found.
     """
-    over = correlation(df, features).where(F.col("corr") > F.lit(float(threshold)))
+    over = correlation(df, features, seen).where(F.col("corr") > F.lit(float(threshold)))
     return over.groupBy(F.col("feature_j").alias("feature")).agg(F.max("corr").alias("corr"))
 
 
@@ -170,13 +206,16 @@ def elimination_record(df: DataFrame, features: Sequence[str], *, missing: float
     """AG1, AG2, AG4 together: ``(reason, feature, value)``, at most one row per feature and reason.
 
     Features flagged as missing are not counted again; the correlations cover
-    all features, flagged or not.
+    all features, flagged or not. The table is read three times: for a survey,
+    for exact counts of frequent values, and for the correlations.
     """
-    absent = missing_share(df, features).where(F.col("missing_share") > F.lit(float(missing))).collect()
-    rows = [("missing", row["feature"], row["missing_share"]) for row in absent]
-    left = [name for name in features if name not in {feature for _, feature, _ in rows}]
-    rows += [("disbalance", row["feature"], row["dominant_share"]) for row in dominant_above(df, left, dominant).collect()]
-    rows += [("collinear", row["feature"], row["corr"]) for row in collinear(df, features, collinear_above).collect()]
+    features = list(features)
+    seen = survey(df, features, dominant if dominant >= _LOWEST else None)
+    shares = {name: (seen.rows - seen.present[name]) / seen.rows if seen.rows else 0.0 for name in features}
+    rows = [("missing", name, share) for name, share in shares.items() if share > missing]
+    left = [name for name in features if shares[name] <= missing]
+    rows += [("disbalance", row["feature"], row["dominant_share"]) for row in dominant_above(df, left, dominant, seen).collect()]
+    rows += [("collinear", row["feature"], row["corr"]) for row in collinear(df, features, collinear_above, seen).collect()]
     place = {name: i for i, name in enumerate(features)}
     reasons = ("missing", "disbalance", "collinear")
     rows.sort(key=lambda row: (reasons.index(row[0]), place[row[1]]))
