@@ -7,11 +7,13 @@ from the same text.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lift.operators.registry import registry_from
+from lift.sources.shared import shared_folder
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
@@ -101,6 +103,17 @@ class Fixture(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(TABLES) + len(VIEWS)
 
+    def scratch_table(self, stem: str) -> str:
+        """A new table name, in a database kept in the shared folder."""
+        self.spark.sql(f"create database if not exists lift_scratch location '{shared_folder(self.spark)}/lift/scratch.db'")
+        return f"lift_scratch.{stem}_{uuid.uuid4().hex[:12]}"
+
+    def scratch_view(self, name: str) -> str:
+        """One of the tables or views under a name that SQL can use."""
+        view = f"lift_{name}_{uuid.uuid4().hex[:12]}"
+        self[name].createOrReplaceTempView(view)
+        return view
+
     def registry_a(self) -> DataFrame:
         return registry_from(self.spark, SETS_A)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,7 +161,7 @@ def score_population(fx: Fixture) -> DataFrame:
     settings = BuildSettings(target="target", id_column="doc_id", ranges=RANGES, cv_splits=2, init_points=1, n_iter=0, seed=SEED, metrics=(), histogram=False)
     model_path, dictionary_path = fresh_path(fx.spark, "model"), fresh_path(fx.spark, "dictionary")
     build(fx["b_train"], fx.registry_b(), fx, settings, model_path=model_path, dictionary_path=dictionary_path)
-    table = f"lift_scoring_{uuid.uuid4().hex[:12]}"
+    table = fx.scratch_table("scoring")
     score(fx["b_text"], fx.registry_b(), fx, model_path, ScoreSettings(id_column="doc_id"), dictionary=dictionary_path,
           path=fresh_path(fx.spark, "scoring"), table=table)
     return fx.spark.table(table)
@@ -187,7 +185,7 @@ def load_tables(fx: Fixture) -> DataFrame:
     for name, id_, amount in (("customer", "c_custkey", "c_acctbal"), ("supplier", "s_suppkey", "s_acctbal")):
         path = fresh_path(spark, f"{name}-csv")
         fx[name].select(F.col(id_).alias("id"), F.col(amount).alias("amount")).write.csv(path, header=True)
-        files[f"lift_{name}_{uuid.uuid4().hex[:12]}"] = path
+        files[fx.scratch_table(name)] = path
     load(spark, files, "id", buckets=4)
     customers, suppliers = files
     return (spark.table(customers).select(F.lit("customer").alias("source"), "*")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +10,6 @@ from lift.sources import tables
 from lift.sources.shared import fresh_path
 
 
-def _name(stem: str) -> str:
-    return f"lift_{stem}_{uuid.uuid4().hex[:12]}"
-
-
 def _orders_csv(fx: Fixture, part: str, condition: str) -> str:
     """Orders as CSV, one line each, the file order being date and key."""
     path = fresh_path(fx.spark, f"orders-{part}")
@@ -31,7 +25,7 @@ def _orders_csv(fx: Fixture, part: str, condition: str) -> str:
                row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as place
         from orders) where place = 1""")
 def csv_upsert_last_wins(fx: Fixture) -> DataFrame:
-    table = _name("orders")
+    table = fx.scratch_table("orders")
     for part, condition in (("early", "o_orderdate < timestamp_ntz '1998-01-01 00:00:00'"), ("late", "o_orderdate >= timestamp_ntz '1998-01-01 00:00:00'")):
         tables.load_csv(fx.spark, _orders_csv(fx, part, condition), table, "o_custkey")
     return fx.spark.table(table)
@@ -56,10 +50,7 @@ _SEGMENTS = """
 
 
 def _views(fx: Fixture) -> dict[str, str]:
-    names = {name: _name(name) for name in ("customer", "orders")}
-    for name, view in names.items():
-        fx[name].createOrReplaceTempView(view)
-    return names
+    return {name: fx.scratch_view(name) for name in ("customer", "orders")}
 
 
 @query(_SEGMENTS.format(customer="customer", orders="orders"))
@@ -69,7 +60,7 @@ def sql_read(fx: Fixture) -> DataFrame:
 
 @query(_SEGMENTS.format(customer="customer", orders="orders"))
 def sql_ctas_readback(fx: Fixture) -> DataFrame:
-    table = _name("segments")
+    table = fx.scratch_table("segments")
     tables.execute(fx.spark, f"create table {table} using parquet as {_SEGMENTS.format(**_views(fx))}")
     return tables.read_sql(fx.spark, f"select * from {table}")
 
@@ -82,15 +73,14 @@ def rename_lower(fx: Fixture) -> DataFrame:
 
 @query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
 def rename_strip_prefix(fx: Fixture) -> DataFrame:
-    view = _name("orders")
-    fx["orders"].createOrReplaceTempView(view)
+    view = fx.scratch_view("orders")
     columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     return tables.read_warehouse(fx.spark, f"select {', '.join(f'{c} as `t.{c}`' for c in columns)} from {view}")
 
 
 @query("select l_returnflag, l_linestatus, l_quantity, count(*) as n from lineitem group by all")
 def replace_load_multiset(fx: Fixture) -> DataFrame:
-    table = _name("lines")
+    table = fx.scratch_table("lines")
     lines = fx["lineitem"].select("l_returnflag", "l_linestatus", "l_quantity")
     for _ in range(2):
         tables.replace_load(lines, table)
@@ -110,7 +100,7 @@ def column_width_profile(fx: Fixture) -> DataFrame:
 @query(with_views("""
     select 'csv' as sink, doc_id, pred from b_score union all select 'table', doc_id, pred from b_score""", "b_score"))
 def score_sink_roundtrip(fx: Fixture) -> DataFrame:
-    path, table = fresh_path(fx.spark, "scores-csv"), _name("scores")
+    path, table = fresh_path(fx.spark, "scores-csv"), fx.scratch_table("scores")
     scored = fx["b_score"]
     for _ in range(2):  # the second run replaces the first
         tables.save_scores(scored, path, id_column="doc_id", table=table)

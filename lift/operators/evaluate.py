@@ -17,6 +17,7 @@ from lift.functions.columns import above, checked_label, checked_score, named
 from lift.operators.order import running_sums
 from lift.sources.shared import materialise
 
+MAX_SETS = 100
 METRICS = ("roc_curve", "pr_curve", "prob_hist", "conf_matrix")
 
 
@@ -24,14 +25,21 @@ def score_counts(df: DataFrame, label: str, score: str, set_column: str | None =
     """PF5: ``(set, score, pos, neg)``, one row per set and distinct score.
 
     ``keep`` writes the table to the shared folder, as most users read it more
-    than once and the scores behind it may come from a model.
+    than once and the scores behind it may come from a model. Sets are the named
+    parts of a split; as tables with a row per set are broadcast, many sets are
+    an error.
     """
     y = checked_label(named(label))
     counts = df.select(
-        (F.lit("all") if set_column is None else named(set_column).cast("string")).alias("set"),
+        (F.lit("all") if set_column is None else F.coalesce(named(set_column).cast("string"), F.lit("NULL"))).alias("set"),
         checked_score(named(score)).alias("score"), y.alias("y"),
     ).groupBy("set", "score").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg"))
-    return materialise(counts, "scores") if keep else counts
+    if not keep:
+        return counts
+    counts = materialise(counts, "scores")
+    if set_column is not None and counts.select("set").distinct().limit(MAX_SETS + 1).count() > MAX_SETS:
+        raise ValueError(f"{set_column} names more than {MAX_SETS} sets")
+    return counts
 
 
 def _ratio(top: Column, bottom: Column) -> Column:

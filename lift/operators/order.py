@@ -29,50 +29,49 @@ def order_key(id_column: str, seed: int) -> Column:
     return F.struct(hash_order(seed, named(id_column)).alias("h"), named(id_column).alias("id"))
 
 
-def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: Callable[[DataFrame], DataFrame], by: str | None = None) -> DataFrame:
+def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: Callable[[DataFrame], DataFrame], by: Column | None = None) -> DataFrame:
     """The order keys at wanted ranks, without ranking the rows.
 
     ``wanted`` turns the groups' sizes ``(g, n)`` into ``(g, ranks)``, for each
     group an array of ranks from 1 to its size. The result has one row per
-    group, ``(g, cuts)``, with the sorted array of the keys at those ranks. A
-    group is a value of ``by``; without it all rows are one group.
+    group, ``(g, cuts)``, with the sorted array of the keys at those ranks.
+    ``by`` is a 0/1 label, so there are two groups at most, and one without it.
 
     Counts per hash prefix give the sizes and tell which bucket holds a wanted
     rank; only the rows of those buckets, one in 65,536 per rank, are ever
     sorted. Comparing a row with the cuts then needs no shuffle of the rows.
     """
-    group = (F.lit(0) if by is None else named(by)).alias("g")
-    keyed = df.select(group, order_key(id_column, seed).alias("k"))
+    keyed = df.select((F.lit(0) if by is None else by).alias("g"), order_key(id_column, seed).alias("k"))
     keyed = keyed.select("g", "k", F.substring("k.h", 1, _PREFIX).alias("b"))
 
     along = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sizes = keyed.groupBy("g", "b").agg(F.count("*").alias("n"))
-    # one row per group: two for a 0/1 target
     targets = wanted(sizes.groupBy("g").agg(F.sum("n").alias("n"))).select(F.col("g").alias("tg"), "ranks")
     sizes = sizes.withColumn("upto", F.sum("n").over(along))
     if by is None:
         sizes = sizes.withColumn("ranks", targets.select("ranks").scalar())
     else:
-        sizes = sizes.join(F.broadcast(targets), F.col("g").eqNullSafe(F.col("tg")))
+        sizes = sizes.join(F.broadcast(targets), F.col("g") == F.col("tg"))
     hits = sizes.select(
         F.col("g").alias("hg"), F.col("b").alias("hb"),
         F.expr("transform(filter(ranks, r -> r > upto - n and r <= upto), r -> r - upto + n)").alias("places"),
     ).where(F.size("places") > 0)
 
-    here = F.col("g").eqNullSafe(F.col("hg")) & (F.col("b") == F.col("hb"))
-    near = keyed.join(F.broadcast(hits), here).groupBy("g", "b", "k", "places").agg(F.count("*").alias("n"))
+    # as many rows as wanted ranks
+    near = keyed.join(F.broadcast(hits), (F.col("g") == F.col("hg")) & (F.col("b") == F.col("hb")))
+    near = near.groupBy("g", "b", "k", "places").agg(F.count("*").alias("n"))
     inside = Window.partitionBy("g", "b").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = near.withColumn("upto", F.sum("n").over(inside))
     found = near.select("g", "k", F.explode(F.expr("filter(places, r -> r > upto - n and r <= upto)")).alias("place"))
     return found.groupBy("g").agg(F.sort_array(F.collect_list("k")).alias("cuts"))
 
 
-def with_cuts(df: DataFrame, cuts: DataFrame, by: str | None = None) -> DataFrame:
-    """``df`` plus the column ``cuts`` of its group; one row per group is broadcast."""
+def with_cuts(df: DataFrame, cuts: DataFrame, by: Column | None = None) -> DataFrame:
+    """``df`` plus the column ``cuts`` of its group; at most two rows are broadcast."""
     if by is None:
         return df.withColumn("cuts", cuts.select("cuts").scalar())
     groups = F.broadcast(cuts.withColumnRenamed("g", "__g"))
-    return df.join(groups, named(by).eqNullSafe(F.col("__g")), "left").drop("__g")
+    return df.join(groups, by == F.col("__g"), "left").drop("__g")
 
 
 def _pieces(df: DataFrame) -> int:
@@ -82,8 +81,8 @@ def _pieces(df: DataFrame) -> int:
 def running_sums(df: DataFrame, by: str, along: str, sums: Sequence[str], *, descending: bool = False) -> DataFrame:
     """Per group, the sum of each column up to and with the current row.
 
-    ``df`` has one row per ``(by, along)``, with ``along`` a number. For each
-    column ``c`` of ``sums`` the result holds ``upto_c`` and ``total_c``.
+    ``df`` has one row per ``(by, along)``, with ``by`` never NULL and ``along``
+    a number. For each column ``c`` of ``sums`` the result holds ``upto_c`` and ``total_c``.
 
     Quantiles of ``along`` split it into ranges of near equal row counts; the
     sums run within a range, and the few totals of the earlier ranges are added.
@@ -113,8 +112,8 @@ def running_sums(df: DataFrame, by: str, along: str, sums: Sequence[str], *, des
     inside = (Window.partitionBy(by, "__piece").orderBy(named(along).desc() if descending else named(along).asc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = split.select("*", *[F.sum(c).over(inside).alias(f"__run_{c}") for c in sums])
-    # one offset row per range and group: at most `pieces` rows for each group
-    run = run.join(F.broadcast(offsets), F.col(by).eqNullSafe(F.col("__by")) & (F.col("__piece") == F.col("__at")))
+    # the window leaves the rows partitioned and sorted by group and range, so this join moves only the offsets
+    run = run.join(offsets, (F.col(by) == F.col("__by")) & (F.col("__piece") == F.col("__at")))
     return run.select(
         *df.columns,
         *[(F.col(f"__run_{c}") + F.col(f"__before_{c}")).alias(f"upto_{c}") for c in sums],

@@ -127,5 +127,8 @@ def leave_out(registry: DataFrame, except_sets: str | Sequence[str] | None = Non
 
 def chosen_sets(registry: DataFrame) -> list[FeatureSet]:
     """The registry as plan input: its sets in order, each with its features in order."""
-    rows = _sets(registry).orderBy("set_pos").collect()
-    return [FeatureSet(row["name"], row["source"], tuple(row["features"])) for row in rows]
+    rows = sorted(registry.select("set_pos", "name", "source", "feat_pos", "feature").collect())
+    sets: dict[tuple, list[str]] = {}
+    for row in rows:
+        sets.setdefault((row["set_pos"], row["name"], row["source"]), []).append(row["feature"])
+    return [FeatureSet(name, source, tuple(features)) for (_, name, source), features in sets.items()]

@@ -3,6 +3,7 @@
 All three order the rows by a seeded hash of the id and cut that order at a few
 ranks. The cuts are found from counts; the rows are then compared with them in a
 projection. No row is shuffled, and the outcome does not depend on partitions.
+The target is a 0/1 label, so there are two classes.
 Ids are unique in an assembled table; copies of an id would go to one side.
 """
 
@@ -13,6 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lift.functions.columns import checked_label, named
 from lift.operators.order import hash_cuts, order_key, with_cuts
 
 TRAIN, HOLDOUT = "train", "holdout"
@@ -47,9 +49,10 @@ def holdout(df: DataFrame, id_column: str, target: str, share: float = 0.2, seed
     def last_held(classes: DataFrame) -> DataFrame:
         return holdout_sizes(classes, share).select("g", F.filter(F.array("held"), lambda r: r > 0).alias("ranks"))
 
-    cuts = hash_cuts(df, id_column, seed, last_held, by=target)
+    label = checked_label(named(target))
+    cuts = hash_cuts(df, id_column, seed, last_held, by=label)
     held = F.coalesce(order_key(id_column, seed) <= F.get("cuts", F.lit(0)), F.lit(False))
-    return with_cuts(df, cuts, by=target).select(*df.columns, F.when(held, HOLDOUT).otherwise(TRAIN).alias("split"))
+    return with_cuts(df, cuts, by=label).select(*df.columns, F.when(held, HOLDOUT).otherwise(TRAIN).alias("split"))
 
 
 def folds(df: DataFrame, id_column: str, target: str, k: int = 4, seed: int = 1) -> DataFrame:
@@ -61,10 +64,11 @@ def folds(df: DataFrame, id_column: str, target: str, k: int = 4, seed: int = 1)
         n = F.col("n").cast("decimal(19,0)")
         return classes.select("g", F.array(*[F.ceil(n * F.lit(j) / F.lit(k)).cast("bigint") for j in range(1, k)]).alias("ranks"))
 
-    cuts = hash_cuts(df, id_column, seed, last_of_each, by=target)
+    label = checked_label(named(target))
+    cuts = hash_cuts(df, id_column, seed, last_of_each, by=label)
     key = order_key(id_column, seed)
     fold = sum((F.coalesce(key > F.get("cuts", F.lit(j)), F.lit(False)).cast("int") for j in range(k - 1)), F.lit(0))
-    return with_cuts(df, cuts, by=target).select(*df.columns, fold.alias("fold"))
+    return with_cuts(df, cuts, by=label).select(*df.columns, fold.alias("fold"))
 
 
 def sample_rows(df: DataFrame, id_column: str, share: float = 1.0, seed: int = 1) -> DataFrame:

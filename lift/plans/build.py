@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lift.functions.columns import named
 from lift.operators.assemble import Tables, load_features
 from lift.operators.boosting import DEFAULT_RANGES, Search, fit_boosted, save_model, score, search
 from lift.operators.encode import encode_categories, fill_constant
@@ -60,7 +61,7 @@ def build_model(population: DataFrame, registry: DataFrame, tables: Tables, sett
     model = fit_boosted(train, features, target, found.best, seed=settings.seed)
     if model_path is not None:
         save_model(model, model_path)
-    scored = materialise(score(model, ready).select(id_column, target, "split", "pred"), "scored")
+    scored = materialise(score(model, ready).select(named(id_column), named(target), "split", "pred"), "scored")
     counts = score_counts(scored, target, "pred", "split")
     tables_out = metric_set(counts, settings.metrics, train=TRAIN, holdout=HOLDOUT, threshold=settings.cm_threshold, kde=settings.prob_kde)
     if settings.histogram:

@@ -71,10 +71,18 @@ def test_folds_do_not_depend_on_partitions(rows, pieces):
     assert as_tuples(S.folds(rows.repartition(16), "id", "y", 4, 3)) == first
 
 
-def test_text_ids_and_null_targets(spark):
-    df = spark.range(100).select(F.concat(F.lit("k"), "id").alias("id"), F.when(F.col("id") % 2 == 0, 1).alias("y"))
+@pytest.mark.parametrize("label", ["y", "y = 1", "cast(y as double)"])
+def test_text_ids_and_label_types(spark, label):
+    df = spark.range(100).select(F.concat(F.lit("k"), "id").alias("id"), (F.col("id") % 2).alias("y")).select("id", F.expr(label).alias("y"))
     parts = S.holdout(df, "id", "y", 0.2, 1)
-    assert sorted((row["y"] or 0, row["count"]) for row in parts.where("split = 'holdout'").groupBy("y").count().collect()) == [(0, 10), (1, 10)]
+    assert sorted((int(row["y"]), row["count"]) for row in parts.where("split = 'holdout'").groupBy("y").count().collect()) == [(0, 10), (1, 10)]
+
+
+@pytest.mark.parametrize("value", [None, 2])
+def test_other_labels_are_an_error(spark, value):
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, value)], "id int, y int")
+    with pytest.raises(Exception, match="label must be 0 or 1"):
+        S.folds(df, "id", "y", 2, 1).collect()
 
 
 def test_sample_has_the_exact_size(rows):
