@@ -34,6 +34,11 @@ def stratified_holdout(fx: Fixture) -> DataFrame:
     return split.holdout(fx["a_train"], "client_id", "target", 0.2, SEED)
 
 
+@query(with_views("select target, split, count(*) as n from parted group by target, split", "a_train", extra=_held_sql("a_train", "client_id", "target")))
+def holdout_sizes(fx: Fixture) -> DataFrame:
+    return split.holdout(fx["a_train"], "client_id", "target", 0.2, SEED).groupBy("target", "split").agg(F.count("*").alias("n"))
+
+
 @query(with_views("select client_id, target, cast((place - 1) * 4 // size as int) as fold from placed", "a_train",
                   extra={"placed": _held_sql("a_train", "client_id", "target")["placed"]}))
 def stratified_folds(fx: Fixture) -> DataFrame:

@@ -24,14 +24,17 @@ def fit_forest(train: DataFrame, features: Sequence[str], target: str, *, trees:
     """ML1: a random forest on encoded and filled features.
 
     Depth is bounded because every level is a pass over the data; ``memory_mb``
-    sets how many nodes one pass may grow.
+    sets how many nodes one pass may grow. ``max_features`` is the share of the
+    features tried at each split, rounded down, or one of Spark's strategies.
     """
+    tried = max_features if isinstance(max_features, str) else max(1, int(max_features * len(features)))
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=target, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
-        featureSubsetStrategy=str(max_features), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
+        featureSubsetStrategy=str(tried), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
     )
     rows = spread(train.select(label_of(target).alias(target), *[named(name) for name in features]), train.count())
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(rows)
+    model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(rows)
+    return model.copy()  # a copy has no training summary, which would travel to every task that scores
 
 
 def impurity_importance(model: PipelineModel, features: Sequence[str], df: DataFrame) -> DataFrame:

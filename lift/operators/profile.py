@@ -9,10 +9,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lift.functions.columns import FRACTIONAL, INTEGRAL, columns_of, named, numeric_columns
+from lift.functions.columns import BINARY_FLOAT, INTEGRAL, columns_of, named, numeric_columns
 
 RECORD = "reason string, feature string, value double"
 
@@ -30,10 +30,16 @@ def missing_share(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return _per_feature(df.agg(*[share.alias(f"v{i}") for i, share in enumerate(shares)]), features, "missing_share")
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """AG8: ``df``, and an observation whose ``rows`` is counted by whatever action reads it next."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def _by_kind(df: DataFrame, features: Sequence[str]) -> list[tuple[str, list[str]]]:
     """Features grouped by a type that keeps their values distinct."""
     whole = columns_of(df, INTEGRAL, features)
-    real = columns_of(df, FRACTIONAL, features)
+    real = columns_of(df, BINARY_FLOAT, features)
     rest = [name for name in features if name not in whole and name not in real]
     return [(kind, names) for kind, names in (("bigint", whole), ("double", real), ("string", rest)) if names]
 
@@ -89,10 +95,14 @@ def survey(df: DataFrame, features: Sequence[str], threshold: float | None = Non
     weeded out by an exact count.
     """
     features = list(features)
-    typed = df.select(*[column.alias(f"f{features.index(name)}") for name, column in _comparable(df, features).items()])
-    numeric = columns_of(df, INTEGRAL + FRACTIONAL, features)
+    place = {name: i for i, name in enumerate(features)}
+    numbers = numeric_columns(df, features)
+    typed = df.select(
+        *[column.alias(f"f{place[name]}") for name, column in _comparable(df, features).items()],
+        *[named(name).cast("double").alias(f"d{place[name]}") for name in numbers],
+    )
     aggregates = [F.count(F.lit(1)).alias("rows"), *[F.count(f"f{i}").alias(f"c{i}") for i in range(len(features))]]
-    aggregates += [F.avg(F.col(f"f{i}").cast("double")).alias(f"m{i}") for i, name in enumerate(features) if name in numeric]
+    aggregates += [F.avg(f"d{place[name]}").alias(f"m{place[name]}") for name in numbers]
     if threshold is not None:
         slack = threshold / 10
         few = math.ceil(1 / (threshold - slack)) + 1  # NULL may take one place

@@ -103,3 +103,15 @@ def test_drop_useless_ignores_names_already_gone(spark):
     record = spark.createDataFrame([("missing", "a", 1.0), ("collinear", "a", 1.0), ("collinear", "gone", 1.0)], P.RECORD)
     assert P.drop_useless(df, record).columns == ["id", "b"]
     assert P.dropped_count(record).first()["dropped"] == 2
+
+
+def test_rows_are_counted_by_the_next_action(spark):
+    df, seen = P.observed(spark.range(42), "load")
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 42
+
+
+def test_decimals_and_booleans(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, False)], "i int, b boolean").selectExpr("cast(i as decimal(30,2)) + 1e6BD as d", "b")
+    assert as_tuples(P.dominant_share(df, ["d", "b"])) == [("b", 2 / 3), ("d", 1 / 3)]
+    assert P.correlation(df, ["d", "b"]).first()["corr"] == pytest.approx(-0.8660254)
