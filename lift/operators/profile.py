@@ -178,14 +178,14 @@ def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = No
                 sums[3] += square.T @ there
                 sums[4] += there.T @ square
                 sums[5] += x.T @ x
-        keep = [(i, j) for i in range(size) for j in range(i + 1, size)]
+        upper = np.triu_indices(size, 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in keep], pa.int32()), pa.array([j for _, j in keep], pa.int32()),
-             *[pa.array([float(s[i, j]) for i, j in keep]) for s in sums]],
+            [pa.array(upper[0].astype(np.int32)), pa.array(upper[1].astype(np.int32)), *[pa.array(s[upper]) for s in sums]],
             names=["i", "j", "n", "x", "y", "xx", "yy", "xy"],
         )
 
-    tasks = 8 * df.sparkSession.sparkContext.defaultParallelism
+    # some tasks per core, fewer for a table so wide that the pairs would outgrow the rows
+    tasks = max(1, min(8 * df.sparkSession.sparkContext.defaultParallelism, 4_000_000_000 // (size * size)))
     parts = numbers.coalesce(tasks).mapInArrow(fold, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
     total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
     spread_x = F.col("n") * F.col("xx") - F.col("x") * F.col("x")

@@ -30,6 +30,19 @@ def test_files_of_one_load_count_in_path_order(spark, tmp_path):
     assert spark.table("upsert_order").where("id = 1").first()["v"] == 4
 
 
+def test_one_file_read_in_many_splits_keeps_its_order(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,v\n" + "".join(f"{i % 100},{i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        assert spark.read.csv(path).rdd.getNumPartitions() > 10
+        tables.load_csv(spark, path, "upsert_split", "id")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert as_tuples(spark.table("upsert_split")) == [(i, 19_900 + i) for i in range(100)]
+
+
 def test_composite_key_given_as_text(spark, tmp_path):
     path = write(tmp_path / "a.csv", "a,b,v\n1,1,x\n1,2,y\n1,1,z\n")
     tables.load_csv(spark, path, "upsert_pair", "a, b")
