@@ -89,10 +89,13 @@ class Fixture(Mapping[str, DataFrame]):
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name not in self._read:
+                self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self._read[name]
         sql = re.sub(r"\b(from|join) (\w+)\b", r"\1 {\2}", VIEWS[name])
         used = {table: self[table] for table in re.findall(r"\{(\w+)\}", sql)}
         return self.spark.sql(sql, **used)

@@ -87,14 +87,16 @@ def checked_score(score: Column) -> Column:
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` on partitions that suit an iterative fit, which reads its rows many times.
+    """``df`` on partitions that suit a tree fit, which reads its rows once per level.
 
     A few thousand rows per core are put on fewer tasks, as tiny tasks cost more
     than they compute. Up to some hundred thousand rows per core are dealt out
-    evenly, as a small file is read as one partition. Beyond that the partitions
-    of the input fill the cores, and nothing is moved.
+    evenly, as a small file is read as one partition. Beyond that the input's
+    partitions are merged to two per core without moving rows: every task ships
+    the statistics of all open tree nodes, so what is shuffled grows with the
+    tasks.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if rows < cores * 5_000:
         return df.coalesce(max(1, -(-rows // 5_000)))
-    return df.repartition(cores) if rows < cores * 100_000 else df
+    return df.repartition(cores) if rows < cores * 100_000 else df.coalesce(2 * cores)

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lift.functions.columns import named
+from lift.functions.columns import named, text_columns
 from lift.operators.assemble import Tables, load_features
 from lift.operators.boosting import load_model, score
 from lift.operators.encode import apply_categories, fill_constant, load_categories
@@ -48,6 +48,8 @@ def score_population(population: DataFrame, registry: DataFrame, tables: Tables,
         dictionary = load_categories(wide, dictionary)
     if dictionary is not None:
         wide = apply_categories(wide, features, dictionary)
+    elif texts := text_columns(wide, features):
+        raise ValueError(f"text features need the dictionary they were encoded with: {', '.join(texts)}")
     ready = fill_constant(wide, features, settings.na_value)
     fitted = load_model(model) if isinstance(model, str) else model
     scored = score(fitted, ready, settings.pred_col).select(named(settings.id_column), named(settings.pred_col))

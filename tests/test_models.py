@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue.fixtures import SETS_A
+from lift.functions.columns import spread
 from lift.operators import boosting as B
 from lift.operators import forest as RF
 from lift.operators import registry as R
@@ -128,3 +129,11 @@ def test_search_is_repeatable_and_reports_its_trials(rows):
     assert trials == as_tuples(two.trials) and len(trials) == 3
     assert one.auc == max(row["auc"] for row in one.trials.collect()) > 0.75
     assert all(low <= one.best[name] <= high for name, (low, high) in ranges.items())
+
+
+def test_training_rows_are_spread_by_their_number(spark):
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, 1, 500)
+    assert spread(many, 1000).rdd.getNumPartitions() == 1
+    assert spread(many.coalesce(1), cores * 6_000).rdd.getNumPartitions() == cores
+    assert spread(many, cores * 1_000_000).rdd.getNumPartitions() == 2 * cores

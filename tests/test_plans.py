@@ -77,3 +77,8 @@ def test_selection_without_permutation(spark, tables):
         tables("plan_train"), registry_from(spark, SETS), tables,
         SelectSettings(target="target", except_sets="cat", permutation=False, top=1, forest={"trees": 5, "max_depth": 3, "max_features": 1.0}))
     assert [one.features for one in chosen_sets(selection.registry)] == [("good",)]
+
+
+def test_text_features_need_their_dictionary(spark, tables):
+    with pytest.raises(ValueError, match="kind"):
+        score_population(tables("plan_test"), registry_from(spark, SETS), tables, None, ScoreSettings())
