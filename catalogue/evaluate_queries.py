@@ -15,7 +15,7 @@ SEED = 5
 _HASH = "md5(concat('5', '|', cast({id} as varchar)))"
 
 
-def _held_sql(source: str, id_: str, target: str) -> dict[str, str]:
+def held_sql(source: str, id_: str, target: str) -> dict[str, str]:
     """The holdout sizes by class, and the rows with their place in the class."""
     return {
         "totals": f"select count(*) as n, count(*) - cast(ceil(0.2 * count(*)) as bigint) as train from {source}",
@@ -29,18 +29,18 @@ def _held_sql(source: str, id_: str, target: str) -> dict[str, str]:
     }
 
 
-@query(with_views("select client_id, target, split from parted", "a_train", extra=_held_sql("a_train", "client_id", "target")))
+@query(with_views("select client_id, target, split from parted", "a_train", extra=held_sql("a_train", "client_id", "target")))
 def stratified_holdout(fx: Fixture) -> DataFrame:
     return split.holdout(fx["a_train"], "client_id", "target", 0.2, SEED)
 
 
-@query(with_views("select target, split, count(*) as n from parted group by target, split", "a_train", extra=_held_sql("a_train", "client_id", "target")))
+@query(with_views("select target, split, count(*) as n from parted group by target, split", "a_train", extra=held_sql("a_train", "client_id", "target")))
 def holdout_sizes(fx: Fixture) -> DataFrame:
     return split.holdout(fx["a_train"], "client_id", "target", 0.2, SEED).groupBy("target", "split").agg(F.count("*").alias("n"))
 
 
 @query(with_views("select client_id, target, cast((place - 1) * 4 // size as int) as fold from placed", "a_train",
-                  extra={"placed": _held_sql("a_train", "client_id", "target")["placed"]}))
+                  extra={"placed": held_sql("a_train", "client_id", "target")["placed"]}))
 def stratified_folds(fx: Fixture) -> DataFrame:
     return split.folds(fx["a_train"], "client_id", "target", 4, SEED)
 
@@ -178,7 +178,7 @@ def density_curve(fx: Fixture) -> DataFrame:
     return evaluate.density_curve(counts_b(fx)).select("label", "point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
-_PARTED = _held_sql("b_score", "doc_id", "y")
+_PARTED = held_sql("b_score", "doc_id", "y")
 _PART_COUNTS = "select split as set, pred as score, cast(sum(y) as bigint) as pos, cast(sum(1 - y) as bigint) as neg from parted group by 1, 2"
 
 

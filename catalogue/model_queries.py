@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalogue.evaluate_queries import held_sql
 from catalogue.fixtures import FEATURES_B, SETS_A, SPENDERS, VIEWS, Fixture, over_a, query, with_views
-from catalogue.profile_queries import wide_b
+from catalogue.profile_queries import record_sql, wide_b
 from lift.operators import assemble, boosting, encode, evaluate, forest, registry, split
 from lift.plans.build import BuildSettings, build_model as build
 from lift.plans.load import load_tables as load
@@ -141,30 +142,42 @@ def score_batch(fx: Fixture) -> DataFrame:
     return boosting.score(model, encoded).select("doc_id", F.col("pred").between(0, 1).cast("int").alias("is_probability"))
 
 
-@query()
+_LIMIT = 0.9
+
+
+@query(over_a("""
+    select feature, coalesce((select string_agg(reason, '+' order by reason) from record where record.feature = missing.feature), 'ranked') as outcome
+    from missing""", **record_sql(_LIMIT, _LIMIT, _LIMIT)))
 def select_features(fx: Fixture) -> DataFrame:
-    settings = SelectSettings(target="target", missing_threshold=0.9, disbalance_threshold=0.9, collinear_threshold=0.9, seed=SEED,
+    """Every registered feature is dropped, for one reason or more, or has an importance."""
+    settings = SelectSettings(target="target", missing_threshold=_LIMIT, disbalance_threshold=_LIMIT, collinear_threshold=_LIMIT, seed=SEED,
                               forest={"trees": TREES})
-    return select(fx["a_train"], fx.registry_a(), fx, settings, fresh_path(fx.spark, "top")).importances
+    selection = select(fx["a_train"], fx.registry_a(), fx, settings, fresh_path(fx.spark, "top"))
+    dropped = selection.record.groupBy("feature").agg(F.concat_ws("+", F.array_sort(F.collect_list("reason"))).alias("outcome"))
+    return dropped.unionByName(selection.importances.select("feature", F.lit("ranked").alias("outcome")))
 
 
-@query()
+@query(with_views("select split, target, count(*) as n, count(*) as n_probabilities from parted group by split, target",
+                  "b_train", extra=held_sql("b_train", "doc_id", "target")))
 def build_model(fx: Fixture) -> DataFrame:
+    """The parts of the split, every row of which the model gives a probability."""
     settings = BuildSettings(target="target", id_column="doc_id", ranges=RANGES, cv_splits=2, init_points=1, n_iter=1, seed=SEED, cm_threshold=0.45)
     built = build(fx["b_train"], fx.registry_b(), fx, settings, model_path=fresh_path(fx.spark, "model"),
                   dictionary_path=fresh_path(fx.spark, "dictionary"))
-    return built.metrics["roc_auc"]
+    return built.scored.groupBy("split", "target").agg(
+        F.count("*").alias("n"), F.count_if(F.col("pred").between(0, 1)).alias("n_probabilities"))
 
 
-@query()
+@query(with_views("select doc_id, 1 as is_probability from b_text", "b_text"))
 def score_population(fx: Fixture) -> DataFrame:
+    """Every document arrives in the scoring table with a probability."""
     settings = BuildSettings(target="target", id_column="doc_id", ranges=RANGES, cv_splits=2, init_points=1, n_iter=0, seed=SEED, metrics=(), histogram=False)
     model_path, dictionary_path = fresh_path(fx.spark, "model"), fresh_path(fx.spark, "dictionary")
     build(fx["b_train"], fx.registry_b(), fx, settings, model_path=model_path, dictionary_path=dictionary_path)
     table = fx.scratch_table("scoring")
     score(fx["b_text"], fx.registry_b(), fx, model_path, ScoreSettings(id_column="doc_id"), dictionary=dictionary_path,
           path=fresh_path(fx.spark, "scoring"), table=table)
-    return fx.spark.table(table)
+    return fx.spark.table(table).select("doc_id", F.col("pred").between(0, 1).cast("int").alias("is_probability"))
 
 
 @query(with_views("""

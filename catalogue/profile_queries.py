@@ -80,14 +80,19 @@ def collinear_flags(fx: Fixture) -> DataFrame:
     return profile.collinear(kept_a(fx), FEATURES_A, COLLINEAR).select("feature", F.round("corr", 8).alias("corr"))
 
 
-_RECORD = dict(
-    missing=_missing_sql(FEATURES_A), shares=_dominant_sql(FEATURES_A), pairs=_corr_sql(NUMERIC_A),
-    record=f"""
-        select 'missing' as reason, feature, missing_share as value from missing where missing_share > {MISSING}e0
-        union all select 'disbalance', feature, dominant_share from shares where dominant_share > {DOMINANT}e0
-              and feature not in (select feature from missing where missing_share > {MISSING}e0)
-        union all select 'collinear', feature_j, round(max(corr), 8) from pairs where corr > {COLLINEAR}e0 group by feature_j""",
-)
+def record_sql(missing: float, dominant: float, above: float) -> dict[str, str]:
+    """The elimination record over ``wide``, and the expressions it rests on."""
+    return dict(
+        missing=_missing_sql(FEATURES_A), shares=_dominant_sql(FEATURES_A), pairs=_corr_sql(NUMERIC_A),
+        record=f"""
+            select 'missing' as reason, feature, missing_share as value from missing where missing_share > {missing}e0
+            union all select 'disbalance', feature, dominant_share from shares where dominant_share > {dominant}e0
+                  and feature not in (select feature from missing where missing_share > {missing}e0)
+            union all select 'collinear', feature_j, round(max(corr), 8) from pairs where corr > {above}e0 group by feature_j""",
+    )
+
+
+_RECORD = record_sql(MISSING, DOMINANT, COLLINEAR)
 
 
 def _record(wide: DataFrame) -> DataFrame:
