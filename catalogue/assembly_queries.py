@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.fixtures import A_VIEWS, FEATURES_A, SETS_A, WIDE_A, Fixture, over_a, query, with_views
+from catalogue.fixtures import FEATURES_A, SETS_A, Fixture, over_a, query, with_views
 from lift.operators import assemble, profile, registry
 from lift.sources.shared import fresh_path
 

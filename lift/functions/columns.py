@@ -81,9 +81,8 @@ def checked_label(label: Column) -> Column:
 
 def checked_score(score: Column) -> Column:
     value = score.cast("double")
-    return F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(
-        F.raise_error(F.lit("score must not be NULL or NaN"))
-    )
+    # NaN sorts above infinity, so the comparison leaves it out as well
+    return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.raise_error(F.lit("score must be a finite number")))
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lift.functions.columns import BINARY_FLOAT, INTEGRAL, columns_of, nan_to_null, named
+from lift.functions.columns import INTEGRAL, columns_of, nan_to_null, named
 from lift.operators.registry import FeatureSet, choose_sets, chosen_sets, leave_out
 
 Tables = Mapping[str, DataFrame] | Callable[[str], DataFrame]

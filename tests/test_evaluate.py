@@ -79,7 +79,7 @@ def test_one_class_only(spark):
 
 
 def test_labels_and_scores_are_checked(spark):
-    for rows in ([(2, 0.5)], [(None, 0.5)], [(1, None)], [(1, float("nan"))]):
+    for rows in ([(2, 0.5)], [(None, 0.5)], [(1, None)], [(1, float("nan"))], [(1, float("inf"))]):
         with pytest.raises(Exception, match="must"):
             V.score_counts(spark.createDataFrame(rows, "y int, p double"), "y", "p")
 
