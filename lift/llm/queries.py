@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lift.llm.langid import predicted_languages
 from lift.llm.pieces import token_digests
+from lift.llm.pii import pii_digests
+from lift.llm.secret_scan import secret_digests
 from lift.llm.simhash import near_copies
+from lift.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +42,23 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents"), words=3, max_bits=2).select(
         "doc_id", "fingerprint", F.col("component_id"))
+
+
+@query
+def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digests(table(spark, folder, "documents"))
+
+
+@query
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_digests(table(spark, folder, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return predicted_languages(table(spark, folder, "documents"))
