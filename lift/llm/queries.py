@@ -13,6 +13,7 @@ from lift.llm.pieces import token_digests
 from lift.llm.pii import pii_digests
 from lift.llm.secret_scan import secret_digests
 from lift.llm.simhash import near_copies
+from lift.llm.topk import top_k
 from lift.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,23 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted_languages(table(spark, folder, "documents"))
+
+
+@query
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
+ORACLES["op5_exact_top_k"] = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as q
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), p as (
+    select a.vec_id as query_id, b.vec_id, cast(list_dot_product(cast(a.q as double[]), cast(b.q as double[])) as bigint) as score
+    from v a join v b on a.vec_id <> b.vec_id
+    where a.vec_id % 20 = 0 and len(a.q) = len(b.q)
+), r as (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from p
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20"""
