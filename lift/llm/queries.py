@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lift.llm.decontaminate import contaminated
 from lift.llm.langid import predicted_languages
 from lift.llm.pieces import token_digests
 from lift.llm.pii import pii_digests
@@ -83,3 +84,9 @@ with v as (
     select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from p
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20"""
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "item_words", "start_word", "end_word")
