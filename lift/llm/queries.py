@@ -16,6 +16,7 @@ from lift.llm.secret_scan import secret_digests
 from lift.llm.simhash import near_copies
 from lift.llm.topk import top_k
 from lift.llm.toxicity import toxicity_scores
+from lift.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +91,24 @@ select query_id, cast(rank as integer) as rank, vec_id, score from r where rank
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "item_words", "start_word", "end_word")
+
+
+@query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archived_pages(table(spark, folder, "pages"))
+
+
+#: Four letters of base 32 for every five hexadecimal digits.
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast('0x' || substr(sha, {5 * k + 1}, 5) as bigint) // {32 ** (3 - j)}) % 32 as integer) + 1, 1)"
+    for k in range(8) for j in range(4))
+ORACLES["op6_warc"] = f"""
+with p as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as sha from pages
+), f as (
+    select *, min(page_id) over (partition by sha) as first from p
+)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, {BASE32} as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from f"""
