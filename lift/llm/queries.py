@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lift.llm.decontaminate import contaminated
 from lift.llm.langid import predicted_languages
+from lift.llm.licenses import license_notices
 from lift.llm.pieces import token_digests
 from lift.llm.pii import pii_digests
 from lift.llm.secret_scan import secret_digests
@@ -112,3 +113,8 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes, {BASE32} as paylo
        case when page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id <> first then first end as refers_to
 from f"""
+
+
+@query
+def op2_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_notices(table(spark, folder, "documents"))
