@@ -266,29 +266,38 @@ def piece_model(path: str) -> PieceModel:
 
 
 def encode_documents(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids array<int>, decoded)`` for every row."""
+    """``(id, n_tokens, ids array<int>, decoded)`` for every row."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = piece_model(model_path)
         ids = model.encode_all(strings(batch.column("text")))
         decoded = [model.decode(one.tolist()) for one in ids]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
+        counts = [len(one) for one in ids]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), listing(ids, counts), pa.array(decoded, pa.string())],
+                                          ["id", "n_tokens", "ids", "decoded"])
 
     narrow = id_and_text(df, id_col, text_col)
-    return map_slices(narrow, work, f"id {type_of(df, id_col)}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return map_slices(narrow, work, f"id {type_of(df, id_col)}, n_tokens long, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
-def token_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_tokens, ids_sha256, decoded_sha256)``: what the encoding came to, without moving the ids."""
+def listing(ids: list[np.ndarray], counts: list[int]) -> pa.Array:
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat))
+
+
+def token_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """``(id, n_tokens, ids_sha256, decoded_sha256)`` of every row, and the ids themselves if asked for."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = piece_model(model_path)
         ids = model.encode_all(strings(batch.column("text")))
         listed = [hashlib.sha256(model.listed(one)).hexdigest() for one in ids]
         decoded = [hashlib.sha256(model.decode(one.tolist()).encode()).hexdigest() for one in ids]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array(listed), pa.array(decoded)],
-                                          ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        counts = [len(one) for one in ids]
+        more = [listing(ids, counts)] if with_ids else []
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(listed, pa.string()), pa.array(decoded, pa.string()), *more],
+                                          ["id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
 
     narrow = id_and_text(df, id_col, text_col)
-    schema = f"id {type_of(df, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = f"id {type_of(df, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return map_slices(narrow, work, schema).withColumnRenamed("id", id_col)
