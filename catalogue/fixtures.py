@@ -57,6 +57,7 @@ VIEWS: dict[str, str] = {
     "b_text": """
         select doc_id, lang, source, n_chars, cast(length(text) - length(replace(text, ' ', '')) + 1 as bigint) as n_words
         from documents""",
+    "b_lang": "select doc_id, case when lang <= 'en' then 1 else 0 end as target from documents",
     "b_emb": "select vec_id as doc_id, label as emb_label from embeddings",
     "b_score": """
         select l.doc_id, l.quality as y, (d.n_chars * 37 % 1000) / 1e3 as pred

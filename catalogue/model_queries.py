@@ -16,7 +16,7 @@ from lift.plans.select import SelectSettings, select_features as select
 from lift.sources.shared import fresh_path, materialise
 
 SEED = 5
-TREES = 100
+TREES = 500
 RANGES = {"num_iterations": (5, 15), "num_leaves": (4, 16), "learning_rate": (0.05, 0.5), "min_data_in_leaf": (5, 20),
           "bagging_fraction": (0.6, 0.9), "feature_fraction": (0.6, 1.0), "max_bin": (32, 64), "min_gain_to_split": (0.0, 0.01)}
 PARAMS = {"num_iterations": 10, "num_leaves": 16, "learning_rate": 0.1, "min_data_in_leaf": 5, "max_bin": 64}
@@ -94,30 +94,49 @@ def _part(ready: DataFrame, name: str) -> DataFrame:
     return ready.where(F.col("split") == name)
 
 
-@query()
-def rf_importance(fx: Fixture) -> DataFrame:
-    ready = _ready_b(fx)
+def _ready_lang(fx: Fixture) -> tuple[DataFrame, DataFrame]:
+    """All documents, labelled by a threshold on one feature that a tree can find exactly; and the dictionary they are encoded with."""
+    wide, _ = assemble.load_features(fx["b_lang"], fx.registry_b(), fx, "doc_id", "target")
+    parted = split.holdout(materialise(wide, "wide"), "doc_id", "target", 0.2, SEED)
+    encoded, dictionary = encode.encode_categories(parted, FEATURES_B)
+    return materialise(encode.fill_constant(encoded, FEATURES_B), "ready"), dictionary
+
+
+def _lang_importances(fx: Fixture, permutation: bool) -> tuple[DataFrame, DataFrame]:
+    ready, _ = _ready_lang(fx)
     return forest.feature_importances(_part(ready, "train"), _part(ready, "holdout"), FEATURES_B, "target", "doc_id",
-                                      permutation=False, seed=SEED, trees=TREES)[0]
+                                      permutation=permutation, seed=SEED, trees=TREES)
+
+
+@query(f"select 'lang' as best, 1e0 as total, {len(FEATURES_B)} as n")
+def rf_importance(fx: Fixture) -> DataFrame:
+    """The feature that makes the label is the best one, and importances sum to 1."""
+    found, _ = _lang_importances(fx, False)
+    return found.agg(F.max_by("feature", "importance").alias("best"), F.round(F.sum("importance"), 6).alias("total"), F.count("*").cast("int").alias("n"))
 
 
-@query()
+@query(f"select 'lang' as best, {len(FEATURES_B)} as n, 0 as n_above_one")
 def rf_permutation(fx: Fixture) -> DataFrame:
-    ready = _ready_b(fx)
-    return forest.feature_importances(_part(ready, "train"), _part(ready, "holdout"), FEATURES_B, "target", "doc_id", seed=SEED, trees=TREES)[0]
+    found, _ = _lang_importances(fx, True)
+    return found.agg(F.max_by("feature", "importance").alias("best"), F.count("*").cast("int").alias("n"),
+                     F.count_if(F.col("importance") > 1).cast("int").alias("n_above_one"))
 
 
-@query()
+@query("select 'all' as set, 1e0 as auc")
 def rf_auc(fx: Fixture) -> DataFrame:
-    ready = _ready_b(fx)
-    return forest.feature_importances(_part(ready, "train"), _part(ready, "holdout"), FEATURES_B, "target", "doc_id",
-                                      permutation=False, seed=SEED, trees=TREES)[1]
+    """A label that one feature decides is ranked without a fault."""
+    return _lang_importances(fx, False)[1].select("set", F.round("auc", 3).alias("auc"))
 
 
-@query()
+@query("select cast(trial as integer) as trial, 1 as in_ranges, 1 as is_area from (select unnest(range(0, 4)) as trial)")
 def gbt_search(fx: Fixture) -> DataFrame:
+    """As many trials as asked for, each with parameters inside their ranges and an area."""
     train = split.folds(_part(_ready_b(fx), "train"), "doc_id", "target", 2, SEED)
-    return boosting.search(train, FEATURES_B, "target", RANGES, init_points=2, n_iter=2, seed=SEED).trials
+    trials = boosting.search(train, FEATURES_B, "target", RANGES, init_points=2, n_iter=2, seed=SEED, id_column="doc_id").trials
+    inside = F.lit(True)
+    for name, (low, high) in RANGES.items():
+        inside = inside & F.col(name).between(float(low), float(high))
+    return trials.select("trial", inside.cast("int").alias("in_ranges"), F.col("auc").between(0, 1).cast("int").alias("is_area"))
 
 
 @query(with_views("select doc_id, 0e0 as difference from b_train", "b_train"))
@@ -131,15 +150,14 @@ def model_roundtrip(fx: Fixture) -> DataFrame:
     return both.select("doc_id", F.abs(F.col("first") - F.col("second")).alias("difference"))
 
 
-@query(with_views("select doc_id, 1 as is_probability from b_text", "b_text"))
+@query(with_views("select doc_id, target as predicted from b_lang", "b_lang"))
 def score_batch(fx: Fixture) -> DataFrame:
-    """Every document, labelled or not, gets a probability."""
-    ready = _ready_b(fx)
-    model = boosting.fit_boosted(_part(ready, "train"), FEATURES_B, "target", PARAMS, seed=SEED)
+    """A model of a label that one feature decides gives every document its label, also those it was not fitted on."""
+    ready, dictionary = _ready_lang(fx)
+    model = boosting.fit_boosted(_part(ready, "train"), FEATURES_B, "target", PARAMS, seed=SEED, id_column="doc_id")
     everything, features = assemble.load_features(fx["b_text"], fx.registry_b(), fx, "doc_id")
-    dictionary = encode.fit_categories(wide_b(fx), features)
     encoded = encode.fill_constant(encode.apply_categories(everything, features, dictionary), features)
-    return boosting.score(model, encoded).select("doc_id", F.col("pred").between(0, 1).cast("int").alias("is_probability"))
+    return boosting.score(model, encoded).select("doc_id", (F.col("pred") > 0.5).cast("int").alias("predicted"))
 
 
 _LIMIT = 0.9
@@ -157,27 +175,28 @@ def select_features(fx: Fixture) -> DataFrame:
     return dropped.unionByName(selection.importances.select("feature", F.lit("ranked").alias("outcome")))
 
 
-@query(with_views("select split, target, count(*) as n, count(*) as n_probabilities from parted group by split, target",
-                  "b_train", extra=held_sql("b_train", "doc_id", "target")))
+@query(with_views("""select split, target, count(*) as n, count(*) as n_right, (select count(*) from b_lang) as n_loaded
+    from parted group by split, target""", "b_lang", extra=held_sql("b_lang", "doc_id", "target")))
 def build_model(fx: Fixture) -> DataFrame:
-    """The parts of the split, every row of which the model gives a probability."""
+    """The parts of the split, every row of which the model gives its label, and the rows that were loaded."""
     settings = BuildSettings(target="target", id_column="doc_id", ranges=RANGES, cv_splits=2, init_points=1, n_iter=1, seed=SEED, cm_threshold=0.45)
-    built = build(fx["b_train"], fx.registry_b(), fx, settings, model_path=fresh_path(fx.spark, "model"),
+    built = build(fx["b_lang"], fx.registry_b(), fx, settings, model_path=fresh_path(fx.spark, "model"),
                   dictionary_path=fresh_path(fx.spark, "dictionary"))
     return built.scored.groupBy("split", "target").agg(
-        F.count("*").alias("n"), F.count_if(F.col("pred").between(0, 1)).alias("n_probabilities"))
+        F.count("*").alias("n"), F.count_if((F.col("pred") > 0.5).cast("int") == F.col("target")).alias("n_right")).withColumn(
+        "n_loaded", F.lit(built.sizes["load"][0]).cast("bigint"))
 
 
-@query(with_views("select doc_id, 1 as is_probability from b_text", "b_text"))
+@query(with_views("select doc_id, target as predicted from b_lang", "b_lang"))
 def score_population(fx: Fixture) -> DataFrame:
-    """Every document arrives in the scoring table with a probability."""
+    """Every document arrives in the scoring table with its label."""
     settings = BuildSettings(target="target", id_column="doc_id", ranges=RANGES, cv_splits=2, init_points=1, n_iter=0, seed=SEED, metrics=(), histogram=False)
     model_path, dictionary_path = fresh_path(fx.spark, "model"), fresh_path(fx.spark, "dictionary")
-    build(fx["b_train"], fx.registry_b(), fx, settings, model_path=model_path, dictionary_path=dictionary_path)
+    build(fx["b_lang"], fx.registry_b(), fx, settings, model_path=model_path, dictionary_path=dictionary_path)
     table = fx.scratch_table("scoring")
     score(fx["b_text"], fx.registry_b(), fx, model_path, ScoreSettings(id_column="doc_id"), dictionary=dictionary_path,
           path=fresh_path(fx.spark, "scoring"), table=table)
-    return fx.spark.table(table).select("doc_id", F.col("pred").between(0, 1).cast("int").alias("is_probability"))
+    return fx.spark.table(table).select("doc_id", (F.col("pred") > 0.5).cast("int").alias("predicted"))
 
 
 @query(with_views("""

@@ -157,3 +157,25 @@ def category_apply_unseen(fx: Fixture) -> DataFrame:
 def encode_then_fill(fx: Fixture) -> DataFrame:
     encoded, _ = encode.encode_categories(materialise(wide_b(fx), "wide"), FEATURES_B)
     return encode.fill_constant(encoded, FEATURES_B)
+
+
+_MIXED = "select c_custkey as client_id, c_acctbal > 5000 as rich, cast(c_nationkey as int) as nation, c_acctbal as balance from customer where c_custkey % 3 <> 0"
+
+
+@query(f"""
+    select c.c_custkey as client_id, coalesce(cast(rich as int), -0.5e0) as rich, coalesce(cast(nation as double), -0.5e0) as nation, coalesce(balance, -0.5e0) as balance
+    from customer c left join ({_MIXED}) m on m.client_id = c.c_custkey""")
+def fill_mixed(fx: Fixture) -> DataFrame:
+    """Gaps that a left join makes in a boolean, an integer and a double, filled with a fraction."""
+    customers = fx["customer"]
+    some = fx.spark.sql(_MIXED.replace("from customer", "from {customer}"), customer=customers)
+    wide = customers.select(F.col("c_custkey").alias("client_id")).join(some, "client_id", "left")
+    filled = encode.fill_constant(wide, ["rich", "nation", "balance"], -0.5)
+    return filled.select("client_id", F.col("rich").cast("double").alias("rich"), "nation", "balance")
+
+
+@query("""select 'text' as feature, max(n) * 1e0 / (select count(*) from documents) as dominant_share
+    from (select count(*) as n from documents group by text) having max(n) * 1e0 / (select count(*) from documents) > 0.002""")
+def dominant_texts(fx: Fixture) -> DataFrame:
+    """Whole texts are compared by digest, in the sketch and in the count."""
+    return profile.dominant_above(fx["documents"], ["text"], 0.002)

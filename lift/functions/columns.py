@@ -85,17 +85,23 @@ def checked_score(score: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.raise_error(F.lit("score must be a finite number")))
 
 
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` on partitions that suit a tree fit, which reads its rows once per level.
-
-    A few thousand rows per core are put on fewer tasks, as tiny tasks cost more
-    than they compute. Up to some hundred thousand rows per core are dealt out
-    evenly, as a small file is read as one partition. Beyond that the input's
-    partitions are merged to two per core without moving rows: every task ships
-    the statistics of all open tree nodes, so what is shuffled grows with the
-    tasks.
+def free_of(df: DataFrame, *names: str) -> None:
+    """An error if ``df`` has a column that an operator is about to add."""
+    taken = {name.lower() for name in df.columns} & {name.lower() for name in names}
+    if taken:
+        raise ValueError(f"columns {', '.join(sorted(taken))} are added here and exist already")
+
+
+def in_training_order(df: DataFrame, *keys: Column) -> DataFrame:
+    """``df`` on a fixed number of partitions in a fixed order, as a tree fit depends on both.
+
+    Rows are dealt out by a hash of ``keys``, or of all columns without any, and
+    sorted. The number of partitions is the session's
+    ``spark.sql.shuffle.partitions``: a setting made for the data, and not the
+    cores that happen to be there. So the same rows give the same model however
+    they were stored.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows < cores * 5_000:
-        return df.coalesce(max(1, -(-rows // 5_000)))
-    return df.repartition(cores) if rows < cores * 100_000 else df.coalesce(2 * cores)
+    columns = [named(name) for name in df.columns]
+    mixed = F.xxhash64(*(keys or columns))
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(pieces, mixed).sortWithinPartitions(mixed, *columns)

@@ -12,11 +12,11 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lift.functions.columns import label_of, named, probability_of_one, spread
+from lift.functions.columns import free_of, in_training_order, label_of, named, probability_of_one
+from lift.operators.forest import KEY, LABEL, PREDICTION, PROBABILITY, RAW, VECTOR, WEIGHT, vector_stages
 
 # The search ranges of a project that does not set its own.
 DEFAULT_RANGES: dict[str, tuple[float, float]] = {
@@ -73,31 +73,34 @@ def _counts(df: DataFrame, target: str, *by: str) -> dict:
     return {tuple(row[name] for name in by): (row["pos"], row["neg"]) for row in rows}
 
 
-def _classifier(params: Mapping[str, float], target: str, seed: int) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol=target, weightCol="weight", seed=seed, cacheNodeIds=True, **spark_params(params))
+def _classifier(params: Mapping[str, float], seed: int) -> GBTClassifier:
+    trees = GBTClassifier(featuresCol=VECTOR, labelCol=LABEL, weightCol=WEIGHT, predictionCol=PREDICTION, seed=seed, cacheNodeIds=True, **spark_params(params))
+    return trees.setProbabilityCol(PROBABILITY).setRawPredictionCol(RAW)
 
 
-def fit_boosted(train: DataFrame, features: Sequence[str], target: str, params: Mapping[str, float], *, seed: int = 1) -> PipelineModel:
+def fit_boosted(train: DataFrame, features: Sequence[str], target: str, params: Mapping[str, float], *, seed: int = 1,
+                id_column: str | None = None) -> PipelineModel:
     """ML6: a boosted-tree classifier for a 0/1 target, classes balanced by weight."""
     [(pos, neg)] = _counts(train, target).values()
-    rows = train.select(label_of(target).alias(target), *[named(name) for name in features], class_weight(target, pos, neg).alias("weight"))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, _classifier(params, target, seed)]).fit(spread(rows, pos + neg))
+    ids = [] if id_column is None else [named(id_column).alias(KEY)]
+    rows = train.select(label_of(target).alias(LABEL), *ids, *[named(name) for name in features], class_weight(target, pos, neg).alias(WEIGHT))
+    keys = [] if id_column is None else [F.col(KEY)]
+    return Pipeline(stages=[*vector_stages(features), _classifier(params, seed)]).fit(in_training_order(rows, *keys))
 
 
-def fold_auc(vectors: DataFrame, target: str, params: Mapping[str, float], counts: Mapping[tuple, tuple[int, int]], *, seed: int = 1) -> float:
+def fold_auc(vectors: DataFrame, params: Mapping[str, float], counts: Mapping[tuple, tuple[int, int]], *, seed: int = 1) -> float:
     """ML7: fit on all folds but one, take the AUC on that one, and average over the folds.
 
-    ``vectors`` has the columns ``features``, ``fold`` and the target; ``counts``
+    ``vectors`` has the vector, the label and the column ``fold``; ``counts``
     the class counts per fold.
     """
-    judge = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
+    judge = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=RAW, metricName="areaUnderROC", numBins=0)
     total = 0.0
     for (fold,) in counts:
         pos = sum(p for (f,), (p, _) in counts.items() if f != fold)
         neg = sum(n for (f,), (_, n) in counts.items() if f != fold)
-        rest = vectors.where(F.col("fold") != fold).withColumn("weight", class_weight(target, pos, neg))
-        model = _classifier(params, target, seed).fit(rest)
+        rest = vectors.where(F.col("fold") != fold).withColumn(WEIGHT, class_weight(LABEL, pos, neg))
+        model = _classifier(params, seed).fit(rest)
         total += judge.evaluate(model.transform(vectors.where(F.col("fold") == fold)))
     return total / len(counts)
 
@@ -115,7 +118,7 @@ GENERATION = 5
 
 
 def search(train: DataFrame, features: Sequence[str], target: str, ranges: Mapping[str, Sequence[float]] = DEFAULT_RANGES, *,
-           init_points: int = 5, n_iter: int = 100, seed: int = 1, parallelism: int = 4) -> Search:
+           init_points: int = 5, n_iter: int = 100, seed: int = 1, parallelism: int = 4, id_column: str | None = None) -> Search:
     """ML8: maximise the mean fold AUC over a box of parameters.
 
     ``train`` has a ``fold`` column. The first ``init_points`` trials are spread
@@ -124,16 +127,19 @@ def search(train: DataFrame, features: Sequence[str], target: str, ranges: Mappi
     draws depend on the seed and the results alone, not on ``parallelism``, the
     number of trials fitted side by side.
     """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    if "fold" in features:
+        raise ValueError("fold is the column of the folds and cannot be a feature")
     counts = _counts(train, target, "fold")
-    vectors = assembler.transform(train).select("features", "fold", label_of(target).alias(target))
-    vectors = spread(vectors, sum(pos + neg for pos, neg in counts.values())).persist(StorageLevel.MEMORY_AND_DISK)
+    ids = [] if id_column is None else [named(id_column).alias(KEY)]
+    rows = train.select("fold", label_of(target).alias(LABEL), *ids, *[named(name) for name in features])
+    ordered = in_training_order(rows, *([] if id_column is None else [F.col(KEY)]))
+    vectors = PipelineModel(vector_stages(features)).transform(ordered).select(VECTOR, "fold", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     draw = random.Random(seed)
     names = sorted(ranges)
     done: list[tuple[dict[str, float], float]] = []
     try:
         def evaluate(params: dict[str, float]) -> float:
-            return fold_auc(vectors, target, params, counts, seed=seed)
+            return fold_auc(vectors, params, counts, seed=seed)
 
         def run(batch: list[dict[str, float]]) -> None:
             with ThreadPoolExecutor(max(1, parallelism)) as pool:
@@ -178,4 +184,5 @@ def load_model(path: str) -> PipelineModel:
 
 def score(model: PipelineModel, df: DataFrame, pred_col: str = "pred") -> DataFrame:
     """ML10: ``df`` plus the probability of class 1; one map-side pass."""
-    return model.transform(df).select(*[named(name) for name in df.columns], probability_of_one(F.col("probability")).alias(pred_col))
+    free_of(df, pred_col)
+    return model.transform(df).select(*[named(name) for name in df.columns], probability_of_one(F.col(PROBABILITY)).alias(pred_col))

@@ -17,7 +17,6 @@ from lift.functions.columns import above, checked_label, checked_score, named
 from lift.operators.order import running_sums
 from lift.sources.shared import materialise
 
-MAX_SETS = 100
 METRICS = ("roc_curve", "pr_curve", "prob_hist", "conf_matrix")
 
 
@@ -25,9 +24,8 @@ def score_counts(df: DataFrame, label: str, score: str, set_column: str | None =
     """PF5: ``(set, score, pos, neg)``, one row per set and distinct score.
 
     ``keep`` writes the table to the shared folder, as most users read it more
-    than once and the scores behind it may come from a model. Sets are the named
-    parts of a split; as tables with a row per set are broadcast, many sets are
-    an error.
+    than once and the scores behind it may come from a model. Sets are named by
+    a column and may be any number.
     """
     y = checked_label(named(label))
     counts = df.select(
@@ -36,10 +34,7 @@ def score_counts(df: DataFrame, label: str, score: str, set_column: str | None =
     ).groupBy("set", "score").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg"))
     if not keep:
         return counts
-    counts = materialise(counts, "scores")
-    if set_column is not None and counts.select("set").distinct().limit(MAX_SETS + 1).count() > MAX_SETS:
-        raise ValueError(f"{set_column} names more than {MAX_SETS} sets")
-    return counts
+    return materialise(counts, "scores")
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -193,7 +188,7 @@ def score_histogram(counts: DataFrame, bins: int | None = None) -> DataFrame:
         spread = _quantiles(rows, [0.25, 0.75]).select("set", (F.col("q1") - F.col("q0")).alias("iqr"))
         width = F.lit(2.0) * F.col("iqr") / F.pow(F.col("rows").cast("double"), F.lit(1.0 / 3.0))
         chosen = F.when(width > 0, F.ceil((F.col("high") - F.col("low")) / width)).otherwise(F.floor(F.sqrt(F.col("rows").cast("double"))))
-        ends = ends.join(F.broadcast(spread), "set").withColumn("bins", F.greatest(F.lit(1), F.least(F.lit(50), chosen)).cast("int")).drop("iqr")
+        ends = ends.join(spread, "set").withColumn("bins", F.greatest(F.lit(1), F.least(F.lit(50), chosen)).cast("int")).drop("iqr")
     else:
         ends = ends.withColumn("bins", F.lit(bins))
     # scores that are all equal get a range of width one around them
@@ -201,7 +196,7 @@ def score_histogram(counts: DataFrame, bins: int | None = None) -> DataFrame:
     ends = ends.withColumns({"low": F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")),
                              "high": F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))})
     ends = ends.withColumn("step", (F.col("high") - F.col("low")) / F.col("bins").cast("double"))
-    placed = rows.join(F.broadcast(ends.drop("rows", "high")), "set")  # one row per set
+    placed = rows.join(ends.drop("rows", "high"), "set")
     filled = _binned(placed, ["set"], F.col("bins"), F.col("low"), F.col("step")).groupBy("set", "bin").agg(F.sum("n").alias("n"))
     grid = ends.select("*", F.explode(F.sequence(F.lit(1), F.col("bins"))).alias("bin"))
     return grid.join(filled, ["set", "bin"], "left").select(
@@ -216,9 +211,9 @@ def density_curve(counts: DataFrame, points: int = 100, reach: float = 3.0) -> D
     """EV10: ``(set, label, point, x, density)``, the Gaussian kernel estimate per label.
 
     The bandwidth follows Scott's rule; the grid spans the scores and ``reach``
-    bandwidths on both sides. Every distinct score adds its kernel to every grid
-    point; those sums combine before the shuffle. NULL where a label's scores
-    have no spread.
+    bandwidths on both sides. One pass holds a sum for each grid point; every
+    distinct score adds its kernel to all of them, and no row is multiplied. NULL
+    where a label's scores have no spread.
     """
     rows = _by_label(counts)
     n = F.col("n").cast("double")
@@ -226,17 +221,23 @@ def density_curve(counts: DataFrame, points: int = 100, reach: float = 3.0) -> D
         F.sum("n").cast("double").alias("rows"), (F.sum(n * F.col("score")) / F.sum(n)).alias("mean"),
         F.min("score").alias("low"), F.max("score").alias("high"))
     off = F.col("score") - F.col("mean")
-    spread = rows.join(F.broadcast(means), ["set", "label"]).groupBy("set", "label", "rows", "low", "high").agg(F.sum(n * off * off).alias("squares"))
+    spread = rows.join(means, ["set", "label"]).groupBy("set", "label", "rows", "low", "high").agg(F.sum(n * off * off).alias("squares"))
     width = F.sqrt(F.try_divide(F.col("squares"), F.col("rows") - 1)) * F.pow(F.col("rows"), F.lit(-0.2))
     bands = spread.select("set", "label", "rows", "low", "high", F.when(F.col("low") < F.col("high"), width).alias("h"))
     start, stop = F.col("low") - F.lit(reach) * F.col("h"), F.col("high") + F.lit(reach) * F.col("h")
     bands = bands.select("set", "label", "rows", "h", start.alias("start"), ((stop - start) / F.lit(float(points - 1))).alias("step"))
-    at = F.col("start") + F.col("point").cast("double") * F.col("step")
-    spots = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    near = rows.join(F.broadcast(bands), ["set", "label"]).select("*", spots)  # one row per set and label
-    distance = (at - F.col("score")) / F.col("h")
-    kernel = n * F.exp(F.lit(-0.5) * distance * distance) / (F.col("rows") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-    return near.groupBy("set", "label", "point").agg(F.first(at).alias("x"), F.sum(kernel).alias("density"))
+    near = rows.join(bands, ["set", "label"])
+
+    def at(point: int) -> Column:
+        return F.col("start") + F.lit(float(point)) * F.col("step")
+
+    def kernel(point: int) -> Column:
+        distance = (at(point) - F.col("score")) / F.col("h")
+        return n * F.exp(F.lit(-0.5) * distance * distance) / (F.col("rows") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+
+    summed = near.groupBy("set", "label", "start", "step").agg(*[F.sum(kernel(k)).alias(f"d{k}") for k in range(points)])
+    spots = F.array(*[F.struct(F.lit(k).alias("point"), at(k).alias("x"), F.col(f"d{k}").alias("density")) for k in range(points)])
+    return summed.select("set", "label", F.inline(spots))
 
 
 def metric_set(counts: DataFrame, metrics: Sequence[str] = METRICS, *, train: str = "train", holdout: str = "holdout",

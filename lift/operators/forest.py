@@ -7,33 +7,48 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lift.functions.columns import hash_order, label_of, named, probability_of_one, spread
+from lift.functions.columns import hash_order, in_training_order, label_of, named, probability_of_one
 from lift.operators.evaluate import roc_auc, score_counts, top_importances
 from lift.operators.registry import convert_features
 
 GROUP_ROWS = 1024
+# Columns that the models add; no feature has such a name.
+VECTOR, LABEL, WEIGHT, KEY = "__lift_vector", "__lift_label", "__lift_weight", "__lift_key"
+PREDICTION, PROBABILITY, RAW = "__lift_prediction", "__lift_probability", "__lift_raw"
+
+
+def vector_stages(features: Sequence[str]) -> list:
+    """Features of any name as one vector: they are renamed to their positions first."""
+    quoted = ["`" + name.replace("`", "``") + "`" for name in features]
+    renamed = ", ".join(f"cast({name} as double) as __lift_x{i}" for i, name in enumerate(quoted))
+    return [SQLTransformer(statement=f"select *, {renamed} from __THIS__"),
+            VectorAssembler(inputCols=[f"__lift_x{i}" for i in range(len(quoted))], outputCol=VECTOR)]
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], target: str, *, trees: int = 500, min_leaf: int = 5,
-               max_features: float | str = 0.2, max_depth: int = 12, seed: int = 1, memory_mb: int = 1024) -> PipelineModel:
+               max_features: float | str = 0.2, max_depth: int = 12, seed: int = 1, memory_mb: int = 1024,
+               id_column: str | None = None) -> PipelineModel:
     """ML1: a random forest on encoded and filled features.
 
     Depth is bounded because every level is a pass over the data; ``memory_mb``
     sets how many nodes one pass may grow. ``max_features`` is the share of the
     features tried at each split, rounded down, or one of Spark's strategies.
+    With ``id_column`` equal rows are dealt out evenly as well.
     """
     tried = max_features if isinstance(max_features, str) else max(1, int(max_features * len(features)))
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol=target, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
+        featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, probabilityCol=PROBABILITY, rawPredictionCol=RAW, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
         featureSubsetStrategy=str(tried), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
     )
-    rows = spread(train.select(label_of(target).alias(target), *[named(name) for name in features]), train.count())
-    model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(rows)
+    keys = [] if id_column is None else [F.col(KEY)]
+    ids = [] if id_column is None else [named(id_column).alias(KEY)]
+    rows = in_training_order(train.select(label_of(target).alias(LABEL), *ids, *[named(name) for name in features]), *keys)
+    model = Pipeline(stages=[*vector_stages(features), forest]).fit(rows)
     return model.copy()  # a copy has no training summary, which would travel to every task that scores
 
 
@@ -89,7 +104,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], target: str,
 
 def forest_predictor(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
     forest = model.stages[-1]
-    return lambda rows: forest.transform(rows.withColumn("features", array_to_vector("x")))
+    return lambda rows: forest.transform(rows.withColumn(VECTOR, array_to_vector("x"))).withColumn("prediction", F.col(PREDICTION))
 
 
 def feature_importances(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, id_column: str, *,
@@ -99,12 +114,12 @@ def feature_importances(train: DataFrame, test: DataFrame, features: Sequence[st
     A feature that no tree splits on cannot change a prediction, so only the
     others are shuffled.
     """
-    model = fit_forest(train, features, target, seed=seed, **forest)
+    model = fit_forest(train, features, target, seed=seed, id_column=id_column, **forest)
     importances = impurity_importance(model, features, train)
     if permutation:
         used = [row["feature"] for row in importances.where("importance > 0").collect()]
         importances = permutation_importance(test, features, target, id_column, forest_predictor(model), seed=seed, only=used)
-    scored = model.transform(test).select(named(target).alias("y"), probability_of_one(F.col("probability")).alias("pred"))
+    scored = model.transform(test).select(named(target).alias("y"), probability_of_one(F.col(PROBABILITY)).alias("pred"))
     return importances, roc_auc(score_counts(scored, "y", "pred"))
 
 

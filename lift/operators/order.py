@@ -41,7 +41,8 @@ def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: Callable[[DataFr
     rank; only the rows of those buckets, one in 65,536 per rank, are ever
     sorted. Comparing a row with the cuts then needs no shuffle of the rows.
     """
-    keyed = df.select((F.lit(0) if by is None else by).alias("g"), order_key(id_column, seed).alias("k"))
+    # written once, so that the wide input is not read again for the counts and for the buckets
+    keyed = materialise(df.select((F.lit(0) if by is None else by).alias("g"), order_key(id_column, seed).alias("k")), "order")
     keyed = keyed.select("g", "k", F.substring("k.h", 1, _PREFIX).alias("b"))
 
     along = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -67,10 +68,10 @@ def hash_cuts(df: DataFrame, id_column: str, seed: int, wanted: Callable[[DataFr
 
 
 def with_cuts(df: DataFrame, cuts: DataFrame, by: Column | None = None) -> DataFrame:
-    """``df`` plus the column ``cuts`` of its group; at most two rows are broadcast."""
+    """``df`` plus the column ``__cuts`` of its group; at most two rows are broadcast."""
     if by is None:
-        return df.withColumn("cuts", cuts.select("cuts").scalar())
-    groups = F.broadcast(cuts.withColumnRenamed("g", "__g"))
+        return df.withColumn("__cuts", cuts.select("cuts").scalar())
+    groups = F.broadcast(cuts.select(F.col("g").alias("__g"), F.col("cuts").alias("__cuts")))
     return df.join(groups, by == F.col("__g"), "left").drop("__g")
 
 
@@ -115,7 +116,7 @@ def running_sums(df: DataFrame, by: str, along: str, sums: Sequence[str], *, des
     # the window leaves the rows partitioned and sorted by group and range, so this join moves only the offsets
     run = run.join(offsets, (F.col(by) == F.col("__by")) & (F.col("__piece") == F.col("__at")))
     return run.select(
-        *df.columns,
+        *[named(name) for name in df.columns],
         *[(F.col(f"__run_{c}") + F.col(f"__before_{c}")).alias(f"upto_{c}") for c in sums],
         *[F.col(f"total_{c}") for c in sums],
     )
@@ -136,4 +137,4 @@ def ranked(df: DataFrame, order: Sequence[str], rank: str, label: str = "ranked"
     earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("__part"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
     within = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, (within + F.col("__before") + 1).alias(rank))
+    return placed.join(F.broadcast(offsets), "__part").select(*[named(name) for name in df.columns], (within + F.col("__before") + 1).alias(rank))

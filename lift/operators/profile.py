@@ -44,17 +44,24 @@ def _by_kind(df: DataFrame, features: Sequence[str]) -> list[tuple[str, list[str
     return [(kind, names) for kind, names in (("bigint", whole), ("double", real), ("string", rest)) if names]
 
 
+def _compared(name: str, kind: str) -> Column:
+    """A feature as what its values are told apart by: numbers themselves, texts by their digest, whatever their length."""
+    value = named(name).cast(kind)
+    return F.md5(value) if kind == "string" else value
+
+
 def dominant_share(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """AG2: ``(feature, dominant_share)``, the most frequent value's share of all rows.
 
     Every value of every feature is counted. Counts combine before the shuffle,
-    so frequent values are cheap and the shuffle holds distinct values. A
+    so frequent values are cheap and the shuffle holds distinct values, texts as
+    digests of one length. A
     feature without values has share 0.
     """
     counts = []
     for kind, names in _by_kind(df, features):
         cells = F.explode(F.array(*[
-            F.struct(F.lit(name).alias("feature"), named(name).cast(kind).alias("value")) for name in names
+            F.struct(F.lit(name).alias("feature"), _compared(name, kind).alias("value")) for name in names
         ])).alias("cell")
         counted = df.select(cells).groupBy("cell.feature", "cell.value").agg(F.count("*").alias("n"))
         counts.append(counted.groupBy("feature").agg(
@@ -83,8 +90,7 @@ _LOWEST = 1e-3  # below this threshold a sketch would be as large as the full co
 
 def _comparable(df: DataFrame, features: Sequence[str]) -> dict[str, Column]:
     """Features cast to the types of ``_by_kind``; adding 0.0 folds the two zeros of a double into one."""
-    return {name: named(name).cast(kind) + F.lit(0.0) if kind == "double" else named(name).cast(kind)
-            for kind, names in _by_kind(df, features) for name in names}
+    return {name: _compared(name, kind) + F.lit(0.0) if kind == "double" else _compared(name, kind) for kind, names in _by_kind(df, features) for name in names}
 
 
 def survey(df: DataFrame, features: Sequence[str], threshold: float | None = None) -> Survey:
@@ -145,14 +151,16 @@ def dominant_above(df: DataFrame, features: Sequence[str], threshold: float, see
     return _per_feature(row, found, "dominant_share").where(over)
 
 
-def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = None) -> DataFrame:
+def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = None, block: int = 256) -> DataFrame:
     """AG3: ``(pos_i, pos_j, feature_i, feature_j, corr)`` for numeric features, i before j.
 
     Pearson correlation over the rows where both features are present; NULL
     when one of them is constant there. Each task folds its Arrow batches into
     sums of products of the centred columns and ships one row per pair, so the
-    shuffle grows with the tasks, which are coalesced to a few per core, and
-    not with the rows.
+    shuffle grows with the tasks, one for each partition of the input, and not
+    with the rows. A wide table is taken in pairs of blocks of ``block`` columns;
+    a task's memory is set by the block and not by the table's width, and each
+    pair of blocks reads its own columns only.
     """
     names = numeric_columns(df, features)
     size = len(names)
@@ -164,29 +172,31 @@ def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = No
     # a centre is there to keep digits, so a missing or infinite mean counts as 0
     centre = np.array([m if m is not None and math.isfinite(m) else 0.0 for m in (means[name] for name in names)])
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((6, size, size))
-        for batch in batches:
-            raw = np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns]).astype(float)
-            there = (~np.isnan(raw)).astype(float)
-            x = np.where(there > 0, raw - centre, 0.0)
-            square = x * x
-            with np.errstate(invalid="ignore"):
-                sums[0] += there.T @ there
-                sums[1] += x.T @ there
-                sums[2] += there.T @ x
-                sums[3] += square.T @ there
-                sums[4] += there.T @ square
-                sums[5] += x.T @ x
-        upper = np.triu_indices(size, 1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(upper[0].astype(np.int32)), pa.array(upper[1].astype(np.int32)), *[pa.array(s[upper]) for s in sums]],
-            names=["i", "j", "n", "x", "y", "xx", "yy", "xy"],
-        )
-
-    # some tasks per core, fewer for a table so wide that the pairs would outgrow the rows
-    tasks = max(1, min(8 * df.sparkSession.sparkContext.defaultParallelism, 4_000_000_000 // (size * size)))
-    parts = numbers.coalesce(tasks).mapInArrow(fold, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+    def folded(first: range, second: range) -> DataFrame:
+        """Sums for the pairs of one column of each block."""
+        chosen = sorted({*first, *second})
+        left, right = [chosen.index(i) for i in first], [chosen.index(i) for i in second]
+        middle = centre[chosen]
+        at_i, at_j = np.repeat(np.array(first, np.int32), len(right)), np.tile(np.array(second, np.int32), len(left))
+        wanted = at_i < at_j
+
+        def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((6, len(left), len(right)))
+            for batch in batches:
+                raw = np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns]).astype(float)
+                there = (~np.isnan(raw)).astype(float)
+                x = np.where(there > 0, raw - middle, 0.0)
+                square = x * x
+                with np.errstate(invalid="ignore"):
+                    for k, (a, b) in enumerate(((there, there), (x, there), (there, x), (square, there), (there, square), (x, x))):
+                        sums[k] += a[:, left].T @ b[:, right]
+            columns = [pa.array(at_i[wanted]), pa.array(at_j[wanted]), *[pa.array(s.ravel()[wanted]) for s in (sums[k] for k in (0, 1, 2, 3, 4, 5))]]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+        return numbers.select(*[f"f{i}" for i in chosen]).mapInArrow(fold, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+
+    blocks = [range(a, min(a + block, size)) for a in range(0, size, block)]
+    parts = reduce(DataFrame.unionByName, [folded(p, q) for k, p in enumerate(blocks) for q in blocks[k:]])
     total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
     spread_x = F.col("n") * F.col("xx") - F.col("x") * F.col("x")
     spread_y = F.col("n") * F.col("yy") - F.col("y") * F.col("y")

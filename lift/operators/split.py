@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lift.functions.columns import checked_label, named
+from lift.functions.columns import checked_label, free_of, named
 from lift.operators.order import hash_cuts, order_key, with_cuts
 
 TRAIN, HOLDOUT = "train", "holdout"
@@ -49,14 +49,16 @@ def holdout(df: DataFrame, id_column: str, target: str, share: float = 0.2, seed
     def last_held(classes: DataFrame) -> DataFrame:
         return holdout_sizes(classes, share).select("g", F.filter(F.array("held"), lambda r: r > 0).alias("ranks"))
 
+    free_of(df, "split")
     label = checked_label(named(target))
     cuts = hash_cuts(df, id_column, seed, last_held, by=label)
-    held = F.coalesce(order_key(id_column, seed) <= F.get("cuts", F.lit(0)), F.lit(False))
-    return with_cuts(df, cuts, by=label).select(*df.columns, F.when(held, HOLDOUT).otherwise(TRAIN).alias("split"))
+    held = F.coalesce(order_key(id_column, seed) <= F.get("__cuts", F.lit(0)), F.lit(False))
+    return with_cuts(df, cuts, by=label).select(*[named(name) for name in df.columns], F.when(held, HOLDOUT).otherwise(TRAIN).alias("split"))
 
 
 def folds(df: DataFrame, id_column: str, target: str, k: int = 4, seed: int = 1) -> DataFrame:
     """SP2: ``df`` plus ``fold`` from 0 to k-1; a class's fold sizes differ by one at most."""
+    free_of(df, "fold")
     if k < 2:
         raise ValueError("at least two folds are needed")
 
@@ -67,13 +69,15 @@ def folds(df: DataFrame, id_column: str, target: str, k: int = 4, seed: int = 1)
     label = checked_label(named(target))
     cuts = hash_cuts(df, id_column, seed, last_of_each, by=label)
     key = order_key(id_column, seed)
-    fold = sum((F.coalesce(key > F.get("cuts", F.lit(j)), F.lit(False)).cast("int") for j in range(k - 1)), F.lit(0))
-    return with_cuts(df, cuts, by=label).select(*df.columns, fold.alias("fold"))
+    fold = sum((F.coalesce(key > F.get("__cuts", F.lit(j)), F.lit(False)).cast("int") for j in range(k - 1)), F.lit(0))
+    return with_cuts(df, cuts, by=label).select(*[named(name) for name in df.columns], fold.alias("fold"))
 
 
 def sample_rows(df: DataFrame, id_column: str, share: float = 1.0, seed: int = 1) -> DataFrame:
     """PF6: exactly ``round(share * rows)`` rows, halves rounded to even; 1.0 keeps every row."""
-    if share >= 1.0:
+    if not 0.0 <= share <= 1.0:
+        raise ValueError(f"a share lies between 0 and 1, not at {share}")
+    if share == 1.0:
         return df
 
     def last_taken(groups: DataFrame) -> DataFrame:
@@ -81,4 +85,4 @@ def sample_rows(df: DataFrame, id_column: str, share: float = 1.0, seed: int = 1
         return groups.select("g", F.filter(F.array(size), lambda r: r > 0).alias("ranks"))
 
     cuts = hash_cuts(df, id_column, seed, last_taken)
-    return with_cuts(df, cuts).where(order_key(id_column, seed) <= F.get("cuts", F.lit(0))).select(*df.columns)
+    return with_cuts(df, cuts).where(order_key(id_column, seed) <= F.get("__cuts", F.lit(0))).select(*[named(name) for name in df.columns])

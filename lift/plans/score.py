@@ -14,7 +14,7 @@ from lift.operators.boosting import load_model, score
 from lift.operators.encode import apply_categories, fill_constant, load_categories
 from lift.operators.evaluate import score_counts, score_histogram
 from lift.operators.split import sample_rows
-from lift.sources.shared import materialise
+from lift.sources.shared import lasting, scratch
 from lift.sources.tables import save_scores
 
 
@@ -54,10 +54,11 @@ def score_population(population: DataFrame, registry: DataFrame, tables: Tables,
     fitted = load_model(model) if isinstance(model, str) else model
     scored = score(fitted, ready, settings.pred_col).select(named(settings.id_column), named(settings.pred_col))
     if path is None:
-        scored = materialise(scored, "scored")
+        scored = lasting(scored, "scored")
     else:
         scored = save_scores(scored, path, id_column=settings.id_column, pred_column=settings.pred_col, table=table)
     histogram = None
     if settings.histogram:
-        histogram = histogram_of(scored, settings.id_column, settings.pred_col, settings.histogram_share, settings.seed)
+        with scratch(population.sparkSession, "histogram"):
+            histogram = lasting(histogram_of(scored, settings.id_column, settings.pred_col, settings.histogram_share, settings.seed), "histogram")
     return scored, histogram

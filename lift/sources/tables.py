@@ -58,16 +58,30 @@ def last_per_key(rows: DataFrame, keys: Sequence[str], order: str | None) -> Dat
 
 
 def _swap_in(df: DataFrame, table: str, keys: Sequence[str], buckets: int | None) -> None:
-    """Write a complete new version beside ``table``, then take its name."""
+    """Write a complete new version beside ``table``, then take its name.
+
+    The old version is renamed aside and dropped last, so a failure on the way
+    leaves it there under one name or the other.
+    """
     spark = df.sparkSession
-    staged = f"{table}__{uuid.uuid4().hex[:12]}"
+    staged, aside = f"{table}__{uuid.uuid4().hex[:12]}", f"{table}__{uuid.uuid4().hex[:12]}_old"
     if buckets:  # one file per bucket
         columns = [named(key) for key in keys]
         df.repartition(buckets, *columns).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(staged)
     else:
         df.write.format("parquet").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {aside}")
+    else:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+
+
+def bucket_count(spark: SparkSession, table: str) -> int | None:
+    """How many buckets a table has, or None."""
+    about = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return int(about["Num Buckets"]) if "Num Buckets" in about else None
 
 
 def _replaced(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,7 +108,7 @@ def upsert(rows: DataFrame, table: str, primary_key: str | Sequence[str], *, ord
     stored; without it the keys of one load should be unique. Columns go by
     position, as the table's schema is frozen by its first load. With
     ``buckets`` the table is bucketed by its key, and joins on the key need
-    no shuffle.
+    no shuffle; a table that is bucketed stays so.
     """
     spark = rows.sparkSession
     keys = as_list(primary_key)
@@ -107,7 +121,7 @@ def upsert(rows: DataFrame, table: str, primary_key: str | Sequence[str], *, ord
         raise ValueError(f"{table} has {len(old.columns)} columns, the load has {len(new.columns)}")
     typed = [named(name).cast(field.dataType).alias(field.name) for name, field in zip(new.columns, old.schema.fields)]
     keys = [old.columns[new.columns.index(key)] for key in keys]
-    _swap_in(_replaced(old, materialise(new.select(*typed), "load"), keys), table, keys, buckets)
+    _swap_in(_replaced(old, materialise(new.select(*typed), "load"), keys), table, keys, buckets or bucket_count(spark, table))
 
 
 def load_csv(spark: SparkSession, path: str | Sequence[str], table: str, primary_key: str | Sequence[str], *,
@@ -150,6 +164,8 @@ def read_jdbc(spark: SparkSession, url: str, query: str, *, properties: Mapping[
     With a partition column the result is fetched by ``partitions`` tasks.
     """
     reader = spark.read.format("jdbc").option("url", url).options(**dict(properties or {}))
+    if partition_column is not None and None in (lower, upper, partitions):
+        raise ValueError("a partition column needs lower, upper and partitions")
     if partition_column is None:
         return lower_names(reader.option("query", query).load())
     reader = reader.option("dbtable", f"({query}) lift_query").options(
@@ -169,14 +185,33 @@ def replace_load(df: DataFrame, table: str, *, keys: str | Sequence[str] = (), b
 
 
 def replace_load_jdbc(df: DataFrame, url: str, table: str, *, properties: Mapping[str, str] | None = None,
-                      batch_size: int = 10_000, connections: int = 16) -> None:
-    """IO7 into an external database: text columns are sized by IO8's profile."""
-    widths = column_widths(df, [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
-    types = ", ".join(f"{row['column']} VARCHAR({max(row['width'] or 1, 1)})" for row in widths.collect())
-    options = {"createTableColumnTypes": types} if types else {}
-    (df.write.format("jdbc").mode("overwrite").options(**dict(properties or {}), **options)
-       .option("url", url).option("dbtable", table)
-       .option("batchsize", batch_size).option("numPartitions", connections).save())
+                      batch_size: int = 10_000, connections: int | None = None) -> None:
+    """IO7 into an external database, with the types of ``external_types``.
+
+    Every partition of ``df`` writes over a connection of its own, unless
+    ``connections`` says how many the database can take.
+    """
+    typed, types = external_types(df)
+    options = dict(properties or {}) | {"createTableColumnTypes": types, "url": url, "dbtable": table, "batchsize": str(batch_size)}
+    if connections is not None:
+        options["numPartitions"] = str(connections)
+    typed.write.format("jdbc").mode("overwrite").options(**options).save()
+
+
+def external_types(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as an external table takes it, and the types of its columns.
+
+    Integers keep their size, floats and doubles theirs, booleans become the
+    smallest integer, and text is as wide as IO8's profile says.
+    """
+    kinds = {T.ByteType: "TINYINT", T.ShortType: "SMALLINT", T.IntegerType: "INT", T.LongType: "BIGINT", T.FloatType: "FLOAT", T.DoubleType: "DOUBLE",
+             T.BooleanType: "TINYINT"}
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    widths = {row["column"]: max(row["width"] or 1, 1) for row in column_widths(df, texts).collect()}
+    types = [f"`{f.name.replace('`', '``')}` " + (f"VARCHAR({widths[f.name]})" if f.name in widths else kinds.get(type(f.dataType), f.dataType.simpleString().upper()))
+             for f in df.schema.fields]
+    whole = {f.name: named(f.name).cast("tinyint") for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)}
+    return df.select(*[whole.get(name, named(name)).alias(name) for name in df.columns]), ", ".join(types)
 
 
 def column_widths(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

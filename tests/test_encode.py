@@ -63,3 +63,12 @@ def test_ranked_is_one_to_n(spark, pieces):
     pieces(7)
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"))
     assert ranked(df, ["v"], "r").where("r <> v + 1").count() == 0
+
+
+def test_fill_of_booleans_fractions_and_any_name(spark):
+    df = spark.createDataFrame([(1, True, 2, 1.5, "x", 7), (2, None, None, float("nan"), None, None)], "id int, flag boolean, n int, d double, t string, `a.b` long")
+    filled = E.fill_constant(df, ["flag", "n", "d", "t", "a.b"])
+    assert sorted(tuple(row) for row in filled.collect()) == [(1, 1, 2, 1.5, "x", 7), (2, -1, -1, -1.0, None, -1)]
+    half = E.fill_constant(df, ["flag", "n", "a.b"], -0.5)
+    assert as_tuples(half, "id", "flag", "n") == [(1, 1.0, 2.0), (2, -0.5, -0.5)]
+    assert dict(E.fill_constant(df, ["n"]).dtypes)["n"] == "int"

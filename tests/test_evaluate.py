@@ -161,3 +161,11 @@ def test_metric_set_keeps_the_parts_apart(spark, sample):
 def test_top_importances_break_ties_by_name(spark):
     df = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.9)], "feature string, importance double")
     assert [r["feature"] for r in V.top_importances(df, 2).collect()] == ["c", "a"]
+
+
+def test_any_number_of_sets(spark):
+    df = spark.range(3000).select((F.col("id") % 150).alias("part"), (F.floor(F.col("id") / 150) % 3 == 0).cast("int").alias("y"), (F.col("id") % 97 / 97.0).alias("p"))
+    found = V.score_counts(df, "y", "p", "part")
+    assert V.roc_auc(found).count() == 150
+    assert V.density_curve(found).groupBy("set", "label").count().where("count = 100").count() == 300
+    assert V.score_histogram(found).select("set").distinct().count() == 150

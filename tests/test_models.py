@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue.fixtures import SETS_A
-from lift.functions.columns import spread
 from lift.operators import boosting as B
 from lift.operators import forest as RF
 from lift.operators import registry as R
@@ -131,9 +130,27 @@ def test_search_is_repeatable_and_reports_its_trials(rows):
     assert all(low <= one.best[name] <= high for name, (low, high) in ranges.items())
 
 
-def test_training_rows_are_spread_by_their_number(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, 500)
-    assert spread(many, 1000).rdd.getNumPartitions() == 1
-    assert spread(many.coalesce(1), cores * 6_000).rdd.getNumPartitions() == cores
-    assert spread(many, cores * 1_000_000).rdd.getNumPartitions() == 2 * cores
+@pytest.mark.parametrize("id_column", [None, "id"])
+def test_models_do_not_depend_on_the_input_partitions(rows, id_column):
+    layouts = [rows.coalesce(1), rows.repartition(3), rows.repartition(8, "noise")]
+    forests = [RF.fit_forest(df, FEATURES, "y", trees=5, max_depth=4, max_features=1.0, id_column=id_column) for df in layouts]
+    assert len({model.stages[-1].toDebugString.split("\n", 1)[1] for model in forests}) == 1
+    boosted = [as_tuples(B.score(B.fit_boosted(df, FEATURES, "y", PARAMS, seed=2, id_column=id_column), rows), "id", "pred") for df in layouts]
+    assert boosted[0] == boosted[1] == boosted[2]
+
+
+def test_features_of_any_name(rows):
+    names = ["weight", "split", "cuts", "features", "prediction", "probability", "a.b", "__lift", "label"]
+    odd = rows.select("id", "y", *[(F.col("signal") if i == 6 else F.col("noise") * i).alias(name) for i, name in enumerate(names)])
+    model = B.fit_boosted(odd, names, "y", PARAMS, seed=2)
+    scored = B.score(model, odd)
+    assert scored.columns == [*odd.columns, "pred"]
+    assert scored.select(F.corr("pred", "y")).first()[0] > 0.6
+    forest = RF.fit_forest(odd, names, "y", trees=5, max_depth=3, max_features=1.0)
+    assert max(RF.impurity_importance(forest, names, odd).collect(), key=lambda row: row["importance"])["feature"] == "a.b"
+    named_folds = S.folds(odd, "id", "y", 2, 1)
+    trials = B.search(named_folds, names, "y", {"num_iterations": (2, 3)}, init_points=1, n_iter=0, seed=1).trials
+    assert trials.first()["auc"] > 0.7
+    for taken in ("pred", "fold"):
+        with pytest.raises(ValueError, match=taken):
+            B.score(model, odd.withColumn("pred", F.lit(1))) if taken == "pred" else S.folds(odd.withColumn("fold", F.lit(1)), "id", "y")

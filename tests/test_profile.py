@@ -115,3 +115,26 @@ def test_decimals_and_booleans(spark):
     df = spark.createDataFrame([(1, True), (2, False), (3, False)], "i int, b boolean").selectExpr("cast(i as decimal(30,2)) + 1e6BD as d", "b")
     assert as_tuples(P.dominant_share(df, ["d", "b"])) == [("b", 2 / 3), ("d", 1 / 3)]
     assert P.correlation(df, ["d", "b"]).first()["corr"] == pytest.approx(-0.8660254)
+
+
+def test_correlation_in_blocks(spark, numbers):
+    df = spark_frame(spark, numbers, 3)
+    whole = as_tuples(P.correlation(df, list(numbers.columns)), "feature_i", "feature_j", "corr")
+    assert len(whole) == 28
+    for block in (1, 3, 5):
+        blocks = as_tuples(P.correlation(df, list(numbers.columns), block=block), "feature_i", "feature_j", "corr")
+        assert [row[:2] for row in blocks] == [row[:2] for row in whole]
+        assert [row[2] for row in blocks] == pytest.approx([row[2] for row in whole], abs=1e-12)
+
+
+def test_wide_correlation_has_a_task_for_each_partition(spark):
+    df = spark.range(12).repartition(6).select(*[(F.col("id") * i % 7).alias(f"c{i}") for i in range(2000)])
+    found = P.correlation(df, df.columns, block=1000)
+    folds = found._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    assert folds >= 3 and "Coalesce" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_texts_are_compared_by_digest(spark):
+    df = spark.createDataFrame([("a" * 5000,), ("a" * 5000,), ("b" * 9000,), (None,)], "t string")
+    assert as_tuples(P.dominant_above(df, ["t"], 0.3)) == as_tuples(P.dominant_share(df, ["t"])) == [("t", 0.5)]
+    assert all(len(item) == 32 for item in P.survey(df, ["t"], 0.3).frequent["t"])

@@ -101,3 +101,14 @@ def test_copies_of_an_id_stay_together(spark):
     df = spark.range(300).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"), F.lit(1).alias("y"))
     parts = S.holdout(df, "id", "y", 0.2, 1)
     assert parts.count() == 300 and parts.where("id = -1").select("split").distinct().count() == 1
+
+
+def test_shares_and_names(spark):
+    df = spark.range(100).select("id", (F.col("id") % 2).cast("int").alias("y"), F.lit(1).alias("cuts"), F.lit(2).alias("a.b"))
+    for share in (-1, 1.5):
+        with pytest.raises(ValueError, match="between 0 and 1"):
+            S.sample_rows(df, "id", share)
+    assert S.sample_rows(df, "id", 0.2).columns == df.columns
+    assert S.holdout(df, "id", "y").columns == [*df.columns, "split"] and S.folds(df, "id", "y").columns == [*df.columns, "fold"]
+    with pytest.raises(ValueError, match="split"):
+        S.holdout(df.withColumn("split", F.lit(1)), "id", "y")

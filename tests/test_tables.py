@@ -142,3 +142,24 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     kept = materialise(spark.range(3), "kept")
     assert kept.inputFiles() and all(shared_folder(spark) in path for path in kept.inputFiles())
+
+
+def test_a_bucketed_table_stays_bucketed(spark, tmp_path):
+    first, second = write(tmp_path / "a.csv", "id,v\n1,x\n2,y\n"), write(tmp_path / "b.csv", "id,v\n2,z\n3,q\n")
+    tables.load_csv(spark, first, "upsert_buckets", "id", buckets=3)
+    tables.load_csv(spark, second, "upsert_buckets", "id")
+    assert tables.bucket_count(spark, "upsert_buckets") == 3
+    assert as_tuples(spark.table("upsert_buckets")) == [(1, "x"), (2, "z"), (3, "q")]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("upsert_buckets_")]
+
+
+def test_types_of_an_external_table(spark):
+    df = spark.createDataFrame([(1, 2, True, 1.5, "abc")], "a tinyint, b long, c boolean, d float, `e f` string")
+    typed, types = tables.external_types(df)
+    assert types == "`a` TINYINT, `b` BIGINT, `c` TINYINT, `d` FLOAT, `e f` VARCHAR(3)"
+    assert as_tuples(typed) == [(1, 2, 1, 1.5, "abc")]
+
+
+def test_a_partition_column_needs_its_bounds(spark):
+    with pytest.raises(ValueError, match="lower"):
+        tables.read_jdbc(spark, "jdbc:none", "select 1", partition_column="id")
