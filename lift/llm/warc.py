@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lift.functions.columns import named
-from lift.llm.batches import slices, type_of, utf8
+from lift.llm.batches import slices, type_of
 from lift.sources.shared import fresh_path, materialise
 
 #: An archive is closed when it holds so many bytes before compression.
