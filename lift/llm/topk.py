@@ -35,6 +35,7 @@ from lift.sources.shared import materialise
 BLOCK_ROWS = 1 << 16
 GROUP_QUERIES = 256
 LARGEST = float(1 << 24)
+PARTS = ["ids", "low", "first", "slices"]
 
 
 def quantise(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -56,18 +57,31 @@ def pack(bits: np.ndarray) -> np.ndarray:
 class BitSlices:
     """A block's rows as bitmaps, in the order of their ids."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
-        order = np.argsort(ids, kind="stable")
-        self.ids, values = ids[order], values[order]
-        self.low = values.min(axis=0) if values.size else np.zeros(values.shape[1], np.int64)
-        above = values - self.low
-        depth = [int(x).bit_length() for x in (above.max(axis=0) if values.size else self.low)]
-        self.first = np.concatenate(([0], np.cumsum(depth))).astype(np.int64)
-        slices = [above[:, j] >> b & 1 for j in range(values.shape[1]) for b in range(depth[j])]
+    def __init__(self, ids: np.ndarray, low: np.ndarray, first: np.ndarray, slices: np.ndarray) -> None:
+        self.ids, self.low, self.first = ids, low, first
         self.rows = pack(np.ones((1, len(ids)), np.uint8))[0]
-        self.slices = pack(np.array(slices, np.uint8)) if slices else np.zeros((0, len(self.rows)), np.uint64)
+        self.slices = slices.reshape(-1, len(self.rows))
         self.flipped = self.slices ^ self.rows
 
+    @classmethod
+    def of(cls, ids: np.ndarray, values: np.ndarray) -> BitSlices:
+        """The bitmaps of a block of integer vectors."""
+        order = np.argsort(ids, kind="stable")
+        ids, values = ids[order], values[order]
+        low = values.min(axis=0)
+        above = values - low
+        depth = [int(x).bit_length() for x in above.max(axis=0)]
+        first = np.concatenate(([0], np.cumsum(depth))).astype(np.int64)
+        slices = [pack((above[:, j] >> b & 1).astype(np.uint8)) for j in range(values.shape[1]) for b in range(depth[j])]
+        return cls(ids, low, first, np.concatenate(slices) if slices else np.zeros(0, np.uint64))
+
+    def as_bytes(self) -> list[bytes]:
+        return [x.tobytes() for x in (self.ids, self.low, self.first, self.slices)]
+
+    @classmethod
+    def from_bytes(cls, ids: bytes, low: bytes, first: bytes, slices: bytes) -> BitSlices:
+        return cls(*[np.frombuffer(x, np.int64) for x in (ids, low, first)], np.frombuffer(slices, np.uint64))
+
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """The sum's slices, least first, and what must be added to it."""
         by_weight: list[list[np.ndarray]] = [[]]
@@ -143,12 +157,11 @@ def matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
 
 
 def search_block(dims: int, index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    rows = index.to_pylist()
-    ids = np.frombuffer(rows[0]["ids"], np.int64) if rows else np.zeros(0, np.int64)
+    rows = index.select(PARTS).to_pylist()
     asked = queries["id"].to_numpy()
     out: list[list[np.ndarray]] = [[], [], []]
-    if len(ids):
-        block = BitSlices(ids, np.frombuffer(rows[0]["data"], np.int64).reshape(len(ids), dims))
+    if rows:
+        block = BitSlices.from_bytes(*[rows[0][part] for part in PARTS])
         for query, vector in zip(asked.tolist(), matrix(queries["v"], dims)):
             found, score = block.best(vector, query, k)
             for part, values in zip(out, (np.full(len(found), query, np.int64), found, score)):
@@ -164,12 +177,12 @@ def top_k(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: st
     own, numbers = F.xxhash64("id"), lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
     def packed(key: tuple, part: pa.Table) -> pa.Table:
-        data = matrix(part["v"], key[0].as_py())
-        return pa.table({"dims": [key[0].as_py()], "block": [key[1].as_py()], "ids": [part["id"].to_numpy().tobytes()], "data": [data.tobytes()]},
-                        pa.schema([("dims", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("data", pa.binary())]))
+        made = BitSlices.of(part["id"].to_numpy(), matrix(part["v"], key[0].as_py())).as_bytes()
+        return pa.table({"dims": [key[0].as_py()], "block": [key[1].as_py()]} | {name: [value] for name, value in zip(PARTS, made)},
+                        pa.schema([("dims", pa.int32()), ("block", pa.int64()), *[(name, pa.binary()) for name in PARTS]]))
 
     index = rows.withColumn("block", F.pmod(own, F.lit(blocks))).groupBy("dims", "block").applyInArrow(
-        packed, "dims int, block long, ids binary, data binary")
+        packed, "dims int, block long, " + ", ".join(f"{name} binary" for name in PARTS))
     index = materialise(index, "topk-index").withColumn("group", F.explode(numbers(groups)))
     asked = rows.where(queries).withColumn("group", F.pmod(own, F.lit(groups))).withColumn("block", F.explode(numbers(blocks)))
     keys = ("dims", "block", "group")
