@@ -20,9 +20,8 @@ result; other columns are not looked at. Places count code points.
 
 from __future__ import annotations
 
-import hashlib
-import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -89,9 +88,23 @@ def hash_of(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
 
 
+def merged(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Where runs of overlapping spans start and end."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def mentions(text: str, spans: list[Span], reach: int) -> list[tuple[int, int, int, int, int]]:
     """``(term, entity, passage, start, end)`` for every word close to an entity and outside all of them."""
-    covered = sorted((a, b) for _, a, b in spans)
+    starts, ends = merged(spans)
+    outside = lambda m: (k := bisect_right(ends, m.start())) == len(ends) or starts[k] >= m.end()
     found = []
     for _, a, b in spans:
         behind = []
@@ -100,7 +113,7 @@ def mentions(text: str, spans: list[Span], reach: int) -> list[tuple[int, int, i
             if len(behind) == reach:
                 break
         before = list(WORD.finditer(text, max(0, a - 32 * reach), a))[-reach:]
-        close = [m for m in before + behind if not any(x < m.end() and m.start() < y for x, y in covered)]
+        close = [m for m in before + behind if outside(m)]
         passage = hash_of(" ".join(m.group().lower() for m in close))
         entity = hash_of(text[a:b])
         found += [(hash_of(m.group().lower()), entity, passage, m.start(), m.end()) for m in close]
@@ -166,7 +179,9 @@ def find_all(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reac
     """
     found = materialise(find_base(df, id_col, text_col, reach), "pii-spans")
     near = found.where(F.size("mentions") > 0)
-    telling = disclosing(near, term_counts(df, id_col, text_col), reach, support, generalise)
+    # read twice, for the total and for the terms; written, so that the texts are counted once
+    words = materialise(term_counts(df, id_col, text_col), "pii-words")
+    telling = disclosing(near, words, reach, support, generalise)
     places = near.select("id", "digest", F.explode("mentions").alias("m")).select("id", "digest", "m.term", "m.entity", "m.start", "m.end")
     hits = places.join(telling, ["term", "entity"]).groupBy("id", "digest", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")
