@@ -2,9 +2,10 @@
 
 A block of text that may hold a notice is compressed alone, and again with each
 template as a raw zstandard dictionary. The bytes that the dictionary saves, as a
-share of what the template's own text would save, rank the templates. The best
-ranked are confirmed by their exact wording: the least number of words to change,
-leave out or add to get from the template to some run of the block's words.
+share of what the template's own text would save, rank the templates. Every one is
+then confirmed or refused by its exact wording: the least number of words to change,
+leave out or add to get from the template to some run of the block's words. A
+notice's saving in a long block is small against the encoder's noise, so the rank only orders.
 
 A block is what lies around a word that templates use and other texts seldom do (a cue),
 with as many words on both sides as the longest template has; blocks that touch are
@@ -53,8 +54,8 @@ class Notice:
 class Scanner:
     """The templates as dictionaries, and how much of a wording may differ."""
 
-    def __init__(self, templates: Mapping[str, tuple[str, ...]], similarity: float, ranked: int) -> None:
-        self.similarity, self.ranked = similarity, ranked
+    def __init__(self, templates: Mapping[str, tuple[str, ...]], similarity: float) -> None:
+        self.similarity = similarity
         self.names, self.texts = zip(*[(name, text) for name, some in templates.items() for text in some])
         for text in self.texts:
             if not CUE.search(text):
@@ -106,7 +107,7 @@ class Scanner:
         return found
 
     def judge(self, block: str) -> list[Notice]:
-        """Rank the templates by what they save, and confirm the best of them by their wording; again beside what was found."""
+        """Rank the templates by what they save, and confirm each by its wording; again beside what was found."""
         raw = block.lower().encode()
         shares = [self.reduction(raw, k) / most for k, most in enumerate(self.most)]
         order = sorted(range(len(shares)), key=lambda k: (-shares[k], k))
@@ -116,7 +117,7 @@ class Scanner:
         taken = np.zeros(len(run), bool)
         found = []
         confirmed = []
-        for k in order[: self.ranked]:
+        for k in order:
             wanted = np.array([number.get(w, -1) for w in self.words[k]], np.int64)
             limit = int(len(wanted) * (1 - self.similarity) + 1e-9)
             for a, b in occurrences(wanted, run, limit, 0, len(run)):
@@ -162,15 +163,15 @@ def ahead(text: str, at: int, words: int) -> int:
 
 
 def license_notices(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
-                    similarity: float = 0.9, ranked: int = 8) -> DataFrame:
+                    similarity: float = 0.9) -> DataFrame:
     """``(id, license, start, end, saved, changed_words, template_words)`` of every notice; places count code points.
 
-    ``saved`` is the share of the template's own saving, ``ranked`` how many templates are confirmed by their wording.
+    ``saved`` is the share of the template's own saving; in a long block of other words it can be zero or less.
     """
     narrow = id_and_text(df, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, similarity, ranked)
+        scanner = Scanner(templates, similarity)
         types = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
         for batch in batches:
             for part in slices(batch):

@@ -161,5 +161,16 @@ def test_license_notices(spark):
         assert texts[r["doc_id"]][r["start"] : r["end"]].split()[0] in ("Released", "Licensed", "Permission", "This") and r["saved"] > 0
 
 
+def test_every_template_is_confirmed_by_its_wording(spark):
+    rng = random.Random(1)
+    every = [(name, text) for name, some in TEMPLATES.items() for text in some]
+    vocabulary = ["data", "license", "permission", "copyright", "the", "of", "and", "to"] + [f"w{i}" for i in range(300)]
+    other = [" ".join(rng.choice(vocabulary) for _ in range(2000)) for _ in every]
+    rows = [(0, "\n".join(text for _, text in every))] + [(i, f"{x[:6000]}\n{text}\n{x[6000:]}") for i, (x, (_, text)) in enumerate(zip(other, every), 1)]
+    found = license_notices(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    wanted = sorted([(0, name) for name, _ in every] + [(i, name) for i, (name, _) in enumerate(every, 1)])
+    assert pairs(found, "doc_id", "license") == sorted(wanted, key=str)
+
+
 def test_license_rows(spark):
     assert license_notices(odd_documents(spark)).collect() == [] and license_notices(no_documents(spark)).collect() == []
