@@ -61,6 +61,13 @@ def allowed(words: int, similarity: float) -> int:
 
 def edits(item: np.ndarray, run: np.ndarray) -> tuple[int, int, int]:
     """Least edit distance of the item to a run of words within ``run``, and where that begins and ends."""
+    cost, begin = edit_row(item, run)
+    end = int(cost.argmin())
+    return int(cost[end]), int(begin[end]), end
+
+
+def edit_row(item: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every end in ``run``, the least edit distance of the item to a run of words up to there, and where that begins."""
     cost = np.zeros(len(run) + 1, np.int64)
     begin = np.arange(len(run) + 1)
     places = np.arange(len(run) + 1)
@@ -73,8 +80,7 @@ def edits(item: np.ndarray, run: np.ndarray) -> tuple[int, int, int]:
         reach = np.minimum.accumulate(best - places)
         source = np.maximum.accumulate(np.where(best - places == reach, places, 0))
         cost, begin = reach + places, origin[source]
-    end = int(cost.argmin())
-    return int(cost[end]), int(begin[end]), end
+    return cost, begin
 
 
 @dataclass

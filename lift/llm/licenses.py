@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from lift.llm.batches import id_and_text, slices, strings, type_of
-from lift.llm.decontaminate import edits
+from lift.llm.decontaminate import edit_row
 from lift.llm.license_texts import TEMPLATES
 
 #: Words that mark a candidate block. Every template must have one of them.
@@ -120,9 +121,8 @@ class Scanner:
         for k in order:
             wanted = np.array([number.get(w, -1) for w in self.words[k]], np.int64)
             limit = int(len(wanted) * (1 - self.similarity) + 1e-9)
-            for a, b in occurrences(wanted, run, limit, 0, len(run)):
-                cost, begin, end = edits(wanted, run[a:b])
-                confirmed.append((-(len(wanted) - cost), cost, self.names[k], k, a + begin, a + end))
+            for a, b in regions(wanted, run, limit, len(number)):
+                confirmed += [(-(len(wanted) - cost), cost, self.names[k], k, a + begin, a + end) for cost, begin, end in occurrences(wanted, run[a:b], limit)]
         for _, cost, name, k, begin, end in sorted(confirmed):
             if end > begin and not taken[begin:end].any():
                 taken[begin:end] = True
@@ -130,15 +130,46 @@ class Scanner:
         return sorted(found, key=lambda n: n.start)
 
 
-def occurrences(wanted: np.ndarray, run: np.ndarray, limit: int, a: int, b: int) -> Iterator[tuple[int, int]]:
-    """Parts of ``run[a:b]`` that each hold one run of words within ``limit`` changes; what lies beside one is searched again."""
-    if b - a < len(wanted) - limit or np.isin(wanted, run[a:b]).sum() < len(wanted) - limit:
-        return
-    cost, begin, end = edits(wanted, run[a:b])
-    if cost <= limit and end > begin:
-        yield from occurrences(wanted, run, limit, a, a + begin)
-        yield a + begin, a + end
-        yield from occurrences(wanted, run, limit, a + end, b)
+def regions(wanted: np.ndarray, run: np.ndarray, limit: int, numbers: int) -> Iterator[tuple[int, int]]:
+    """Where the words can lie within ``limit`` changes: a run of at most ``len(wanted) + limit`` words has all but ``limit`` of them."""
+    member = np.zeros(numbers + 1, bool)
+    member[wanted] = True  # a word that the block lacks, -1, marks the last place, which no word of the run has
+    known = np.concatenate(([0], np.cumsum(member[run])))
+    size = min(len(wanted) + limit, len(run))
+    begins = np.flatnonzero(known[size:] - known[: len(known) - size] >= max(1, len(wanted) - limit))
+    if len(begins):
+        cut = np.flatnonzero(np.diff(begins) > size)
+        yield from zip(begins[np.concatenate(([0], cut + 1))].tolist(), (begins[np.concatenate((cut, [len(begins) - 1]))] + size).tolist())
+
+
+def occurrences(wanted: np.ndarray, run: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
+    """``(changes, begin, end)`` of runs of words within ``limit`` changes: the best, the first of equals, and again on both sides of it.
+
+    The costs of all ends are computed once. What is taken bounds what lies behind it, but only ends so near that a run
+    could reach back into it have to be computed again.
+    """
+    limit = min(limit, len(wanted) - 1)  # of a notice, one word at least is in place
+    cost, begin = edit_row(wanted, run)
+    far = len(wanted) + limit
+    open_ends = [(c, e) for c, e in zip(cost.tolist(), range(len(cost))) if c <= limit]
+    heapify(open_ends)
+    free = np.ones(len(run) + 1, bool)  # ends that nothing taken covers
+    found = []
+    while open_ends:
+        c, e = heappop(open_ends)
+        if not free[e] or cost[e] != c:  # taken, or computed again since
+            continue
+        a = int(begin[e])
+        found.append((c, a, e))
+        free[a + 1 : e + 1] = False
+        taken = np.flatnonzero(~free[e + 1 : e + far + 1])
+        to = e + int(taken[0]) if len(taken) else min(len(run), e + far)
+        near, origin = edit_row(wanted, run[e:to])
+        old = cost[e + 1 : to + 1].copy()
+        cost[e + 1 : to + 1], begin[e + 1 : to + 1] = near[1:], origin[1:] + e
+        for at in np.flatnonzero((near[1:] <= limit) & (near[1:] != old)).tolist():
+            heappush(open_ends, (int(near[at + 1]), e + 1 + at))
+    return found
 
 
 def back(text: str, at: int, words: int) -> int:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lift.llm import decontaminate, topk
 from lift.llm.decontaminate import allowed, clean_documents, contaminated, edits, words_of
 from lift.llm.license_texts import TEMPLATES
-from lift.llm.licenses import license_notices
+from lift.llm.licenses import license_notices, occurrences, regions
 from lift.llm.topk import top_k
 from tests.llm.helpers import no_documents, odd_documents, pairs
 
@@ -172,5 +172,32 @@ def test_every_template_is_confirmed_by_its_wording(spark):
     assert pairs(found, "doc_id", "license") == sorted(wanted, key=str)
 
 
+def plain_occurrences(wanted, run, limit, a, b):
+    cost, begin, end = edits(wanted, run[a:b])
+    if cost > limit or end == begin:
+        return []
+    return plain_occurrences(wanted, run, limit, a, a + begin) + [(cost, a + begin, a + end)] + plain_occurrences(wanted, run, limit, a + end, b)
+
+
+def test_occurrences_equal_plain_version():
+    rng = np.random.default_rng(5)
+    several = 0
+    for _ in range(500):
+        wanted = rng.integers(-1, 4, rng.integers(1, 9))
+        run = rng.integers(0, 7, rng.integers(1, 60))
+        limit = int(rng.integers(0, 4))
+        found = [(c, a + x, a + y) for a, b in regions(wanted, run, limit, 7) for c, x, y in occurrences(wanted, run[a:b], limit)]
+        assert sorted(found, key=lambda x: x[1]) == plain_occurrences(wanted, run, limit, 0, len(run))
+        several += len(found) > 2
+    assert several > 50
+
+
+def test_thousands_of_copies_of_a_notice(spark):
+    line = "Licensed under CC BY 4.0.\n"
+    found = license_notices(spark.createDataFrame([(1, line * 4000), (2, line)], "doc_id long, text string"))
+    assert found.groupBy("doc_id", "license", "changed_words").count().orderBy("doc_id").collect() == [(1, "CC-BY-4.0", 0, 4000), (2, "CC-BY-4.0", 0, 1)]
+    assert found.where("doc_id = 1").select("start").distinct().count() == 4000
+
+
 def test_license_rows(spark):
     assert license_notices(odd_documents(spark)).collect() == [] and license_notices(no_documents(spark)).collect() == []
