@@ -8,7 +8,11 @@ entity's information that the term carries, estimated over the whole corpus:
     pmi(term, entity) / information(entity),
     pmi = log2(p(term, entity) / (p(term) p(entity))),  information = -log2 p(entity)
 
-with p taken over distinct passages, so that copies of a passage count once. Terms
+with p taken over distinct passages, so that copies of a passage count once. This holds
+for the words of the whole corpus too: a word close to an entity or inside it counts once
+for each distinct passage of that entity (of the first one, if it is close to several);
+what lies apart from entities is cut into passages of about the same size, at
+places that the words themselves decide, and the words of equal ones count once. Terms
 at or above ``remove`` are removed by the sanitiser, those at or above
 ``generalise`` give way to their kind. A term needs ``support`` distinct
 passages with the entity, as a term seen once always seems to tell everything.
@@ -21,10 +25,11 @@ result; other columns are not looked at. Places count code points.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -44,6 +49,8 @@ WORD = re.compile(r"[^\W\d_]{3,}")
 MASKS = {"email": "[email]", "ip": "[ip]", "card": "[card]", "phone": "[phone]", "term": "[term]"}
 #: Words on each side of an entity that count as its passage.
 REACH = 8
+#: Remainders by which the words that are counted are told from others.
+MARKS = 1 << 20
 
 Span = tuple[str, int, int]
 
@@ -101,11 +108,15 @@ def merged(spans: list[Span]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def mentions(text: str, spans: list[Span], reach: int) -> list[tuple[int, int, int, int, int]]:
-    """``(term, entity, passage, start, end)`` for every word close to an entity and outside all of them."""
+def outside(starts: list[int], ends: list[int], m: re.Match) -> bool:
+    """Does the match lie outside of all the runs?"""
+    k = bisect_right(ends, m.start())
+    return k == len(ends) or starts[k] >= m.end()
+
+
+def near(text: str, spans: list[Span], reach: int) -> Iterator[tuple[int, int, int, int, list[re.Match]]]:
+    """``(entity, passage, start, end, words)`` for every span: the words are those close to it and outside all spans."""
     starts, ends = merged(spans)
-    outside = lambda m: (k := bisect_right(ends, m.start())) == len(ends) or starts[k] >= m.end()
-    found = []
     for _, a, b in spans:
         behind = []
         for m in WORD.finditer(text, b, min(len(text), b + 32 * reach)):
@@ -113,11 +124,67 @@ def mentions(text: str, spans: list[Span], reach: int) -> list[tuple[int, int, i
             if len(behind) == reach:
                 break
         before = list(WORD.finditer(text, max(0, a - 32 * reach), a))[-reach:]
-        close = [m for m in before + behind if outside(m)]
-        passage = hash_of(" ".join(m.group().lower() for m in close))
-        entity = hash_of(text[a:b])
-        found += [(hash_of(m.group().lower()), entity, passage, m.start(), m.end()) for m in close]
-    return found
+        close = [m for m in before + behind if outside(starts, ends, m)]
+        yield hash_of(text[a:b]), hash_of(" ".join(m.group().lower() for m in close)), a, b, close
+
+
+def mentions(text: str, spans: list[Span], reach: int) -> list[tuple[int, int, int, int, int]]:
+    """``(term, entity, passage, start, end)`` for every word close to an entity and outside all of them."""
+    return [(hash_of(m.group().lower()), entity, passage, m.start(), m.end()) for entity, passage, _, _, close in near(text, spans, reach) for m in close]
+
+
+class Codes(dict):
+    """A number for every word."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = xxhash.xxh64_intdigest(word.encode())
+        return code
+
+
+def cut(words: list[str], begin: int, end: int, reach: int, codes: Codes) -> Iterator[tuple[int, int]]:
+    """Passages of ``reach`` to five times as many words, cut before every eighth pair of words or so, by the pair's hash; a run of fewer words is one."""
+    reach = max(1, reach)
+    if end - begin < 2 * reach:
+        yield begin, end
+        return
+    code = np.fromiter(map(codes.__getitem__, words[begin:end]), np.uint64, end - begin)
+    mixed = code[1:] * np.uint64(0x9E3779B97F4A7C15) + code[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    marks = (np.flatnonzero(mixed >> np.uint64(61) == 0) + begin + 1).tolist()
+    while begin < end:
+        k = bisect_left(marks, begin + reach)
+        to = min(begin + 4 * reach, end, *marks[k : k + 1])
+        to = end if end - to < reach else to
+        yield begin, to
+        begin = to
+
+
+def passages(text: str, reach: int, codes: Codes) -> Iterator[tuple[int, str]]:
+    """``(passage, words)``: every word of the text in one passage; equal passages are copies, with equal words."""
+    spans = base_spans(text)
+    if not spans:
+        words = " ".join(WORD.findall(text)).lower().split()
+        runs = [(0, len(words))]
+    else:
+        places: dict[Span, None] = {}
+        for entity, passage, a, b, close in near(text, spans, reach):
+            for m in [*WORD.finditer(text, a, b), *close]:
+                place = "", m.start(), m.end()
+                if place not in places:
+                    places[place] = None
+                    word = m.group().lower()
+                    yield hash_of(f"{entity} {passage} {word}"), word
+        starts, ends = merged([*spans, *places])
+        found = list(WORD.finditer(text))
+        words = [m.group().lower() for m in found]
+        taken = [-1, *[k for k, m in enumerate(found) if not outside(starts, ends, m)], len(found)]
+        runs = [(a + 1, b) for a, b in zip(taken, taken[1:])]
+    for begin, end in runs:
+        for a, b in cut(words, begin, end, reach, codes) if begin < end else ():
+            own = " ".join(words[a:b])
+            # so few words are equal by chance: those around them must be, too
+            around = [" ".join(words[max(0, a - reach) : a]), own, " ".join(words[b : b + reach])] if b - a < reach else [own]
+            yield hash_of("\n".join(around)), own
 
 
 def find_base(df: DataFrame, id_col: str, text_col: str, reach: int) -> DataFrame:
@@ -140,27 +207,54 @@ def find_base(df: DataFrame, id_col: str, text_col: str, reach: int) -> DataFram
     return map_slices(narrow, work, f"id {type_of(df, id_col)}, digest long, spans array<{span}>, mentions array<{mention}>")
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(term, texts)``: how often each word occurs in the corpus, counted before anything is moved."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                counts: Counter[str] = Counter()
-                for text in strings(part.column("text")):
-                    counts.update(WORD.findall(text.lower()))
-                yield pa.RecordBatch.from_arrays([pa.array(map(hash_of, counts), pa.int64()), pa.array(counts.values(), pa.int64())], ["term", "times"])
+def marks(pairs: DataFrame) -> bytes:
+    """A byte for each remainder of the terms' hashes, set if some term has it; of bounded size, whatever the vocabulary."""
+    held = np.zeros(MARKS, np.uint8)
+    held[[row["mark"] for row in pairs.select(F.pmod("term", F.lit(MARKS)).cast("int").alias("mark")).distinct().collect()]] = 1
+    return held.tobytes()
 
-    return id_and_text(df, id_col, text_col).mapInArrow(run, "term long, times long").groupBy("term").agg(F.sum("times").alias("times"))
 
+def term_counts(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str, reach: int) -> DataFrame:
+    """``(term, times)``: how often each word of ``pairs`` occurs in the distinct passages of the corpus; a null term has the count of all words.
 
-def disclosing(found: DataFrame, words: DataFrame, reach: int, support: int, generalise: float) -> DataFrame:
-    """``(term, entity, disclosure)`` of the pairs whose term gives the entity away."""
+    Other words are left out of what is moved, except for a few whose hashes agree with one of theirs.
+    """
+    wanted = df.sparkSession.sparkContext.broadcast(marks(pairs))
+
+    def cut_up(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codes, held, known, asked = Codes(), {}, {}, wanted.value
+        for text in strings(batch.column("text")):
+            for passage, words in passages(text, reach, codes):
+                if passage not in held:
+                    split = words.split()
+                    for word in split:
+                        if word not in known:
+                            known[word] = asked[hash_of(word) % MARKS]
+                    held[passage] = len(split), " ".join([word for word in split if known[word]])
+        sizes, kept = zip(*held.values()) if held else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(sizes, pa.int32()), pa.array(kept, pa.string())], ["passage", "size", "words"])
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts = Counter(" ".join(strings(batch.column("words"))).split())
+        terms, times = [None, *map(hash_of, counts)], [pa.compute.sum(batch.column("size")).as_py() or 0, *counts.values()]
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(times, pa.int64())], ["term", "times"])
+
+    cuts = map_slices(id_and_text(df, id_col, text_col), cut_up, "passage long, size int, words string")
+    distinct = cuts.groupBy("passage").agg(F.first("size").alias("size"), F.first("words").alias("words"))
+    return map_slices(distinct.select("size", "words"), count, "term long, times long", "words").groupBy("term").agg(F.sum("times").alias("times"))
+
+
+def close_terms(found: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
+    """``(term, entity, n_pair)`` of the pairs with enough distinct passages, and ``(entity, n_entity)``."""
     mention = found.select(F.explode("mentions").alias("m")).select("m.term", "m.entity", "m.passage").distinct()
     passages = mention.select("entity", "passage").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = mention.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= support)
-    total = words.agg(F.sum("times").alias("words"))  # one row
-    # a passage is 2 * reach words: the corpus holds that many passages, and a word's count bounds those with it
+    return mention.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= support), passages
+
+
+def disclosing(pairs: DataFrame, passages: DataFrame, words: DataFrame, reach: int, generalise: float) -> DataFrame:
+    """``(term, entity, disclosure)`` of the pairs whose term gives the entity away."""
+    total = words.where(F.col("term").isNull()).agg(F.sum("times").alias("words"))  # one row
+    # a passage is 2 * reach words: the distinct ones of the corpus hold that many passages, and a word's count bounds those with it
     p = lambda n: F.col(n) * 2 * reach / F.col("words")
     scored = pairs.join(passages, "entity").join(words, "term").crossJoin(F.broadcast(total))
     scored = scored.withColumn("n_term", F.greatest("times", "n_pair"))
@@ -179,9 +273,11 @@ def find_all(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reac
     """
     found = materialise(find_base(df, id_col, text_col, reach), "pii-spans")
     near = found.where(F.size("mentions") > 0)
-    # read twice, for the total and for the terms; written, so that the texts are counted once
-    words = materialise(term_counts(df, id_col, text_col), "pii-words")
-    telling = disclosing(near, words, reach, support, generalise)
+    pairs, of_entity = close_terms(near, support)
+    pairs = materialise(pairs, "pii-pairs")
+    # read twice, for the total and for the terms; written, so that the passages are counted once
+    words = materialise(term_counts(df, pairs, id_col, text_col, reach), "pii-words")
+    telling = disclosing(pairs, of_entity, words, reach, generalise)
     places = near.select("id", "digest", F.explode("mentions").alias("m")).select("id", "digest", "m.term", "m.entity", "m.start", "m.end")
     hits = places.join(telling, ["term", "entity"]).groupBy("id", "digest", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")

@@ -6,7 +6,10 @@ import hashlib
 import random
 import re
 
-from lift.llm.pii import base_spans, find_all, luhn, pii_digests, sanitise_documents
+import pytest
+from pyspark.sql import functions as F
+
+from lift.llm.pii import WORD, Codes, base_spans, find_all, luhn, passages, pii_digests, sanitise_documents
 from lift.llm.secret_scan import redact, secret_digests
 from tests.llm.helpers import no_documents, odd_documents
 
@@ -99,6 +102,38 @@ def test_telling_terms_are_found_and_common_ones_are_not(spark):
     assert all(clean[i] == text for i, text in rows if i % 40)
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_copies_of_passages_hide_no_telling_term(spark, whole):
+    """Documents copied a thousand times, and passages copied into a thousand documents."""
+    rng = random.Random(2)
+    common = [f"w{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    some = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    copied = [f"{some(12)} zanzibar x.y@mail.example.com {some(12)}" for _ in range(3)]
+    frames = [(some(30), some(30)) for _ in copied]
+    rows = [(i, some(40)) for i in range(400)]
+    for copy in range(3000):
+        before, behind = frames[copy % 3] if whole else (some(8), some(8))
+        rows.append((400 + copy, f"{before} {copied[copy % 3]} {behind}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    terms = find_all(docs).select("id", F.explode("terms").alias("t")).collect()
+    assert sorted({rows[r["id"]][1][r["t"]["start"] : r["t"]["end"]] for r in terms}) == ["zanzibar"]
+    assert len(terms) == 3000 and {(round(r["t"]["disclosure"], 6), r["t"]["action"]) for r in terms} == {(1.0, "remove")}
+    clean = " ".join(r["text"] for r in sanitise_documents(docs).collect())
+    assert "zanzibar" not in clean and "@" not in clean
+
+
+def test_every_word_is_in_one_passage():
+    rng = random.Random(4)
+    parts = ["of", "The", "İstanbul", "x@y.zz", "Ann.b@mail.com", "+49 30 1234567", "1.2.3.4", "river", "stone", "é漢😀", ",", "ab"] + [f"word{a}{b}" for a in "abcdef" for b in "ghijk"]
+    for _ in range(300):
+        text = " ".join(rng.choice(parts[rng.choice([0, 12]) :]) for _ in range(rng.randint(0, 120)))
+        held = list(passages(text, 3, Codes()))
+        if not base_spans(text):
+            assert " ".join(words for _, words in held).split() == [w.lower() for w in WORD.findall(text)]
+        assert set(" ".join(words for _, words in held).split()) == {w.lower() for w in WORD.findall(text)}
+        assert len({key: words for key, words in held}) == len(set(held))
+
+
 def test_personal_data_rows(spark):
     docs = odd_documents(spark)
     found = pii_digests(docs)
