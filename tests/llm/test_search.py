@@ -143,6 +143,19 @@ def test_items_in_parts(spark, monkeypatch):
     assert {d for d, _ in planted}.isdisjoint(r["doc_id"] for r in clean_documents(df, table).collect())
 
 
+@pytest.mark.parametrize("size", [150, 300, 600])
+def test_edited_copies_of_long_items_are_found(size):
+    """A fifth of the words edited: walks over so many words are out of step."""
+    rng = np.random.default_rng(size)
+    item = lambda: " ".join(f"w{k}" for k in rng.integers(0, 3000, size))
+    benchmark = decontaminate.Benchmark([(i, item()) for i in range(4)], 0.8, 0.98, 5)
+    back = dict(zip(benchmark.number.values(), benchmark.number)) | {0: "other"}
+    texts = [f"{item()} {' '.join(back[k] for k in benchmark.edited(benchmark.words[i % 4], rng).tolist())} {item()}" for i in range(40)]
+    found = {(doc, i) for doc, i, *_ in benchmark.passages(texts)}
+    assert sum((doc, doc % 4) in found for doc in range(40)) >= 39
+    assert all(one.recall >= 0.98 for one in benchmark.classes)
+
+
 def test_license_notices(spark):
     mit = TEMPLATES["MIT"][1]
     texts = {
