@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from lift.llm.decontaminate import contaminated
 from lift.llm.langid import predicted_languages
 from lift.llm.licenses import license_notices
+from lift.llm.negatives import hard_negatives
 from lift.llm.pieces import token_digests
 from lift.llm.pii import pii_digests
 from lift.llm.secret_scan import secret_digests
+from lift.llm.shards import sharded_documents
 from lift.llm.simhash import near_copies
 from lift.llm.topk import top_k
 from lift.llm.toxicity import toxicity_scores
+from lift.llm.trie import shared_conversations
 from lift.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +121,42 @@ from f"""
 @query
 def op2_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_notices(table(spark, folder, "documents"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_conversations(table(spark, folder, "conversations"))
+
+
+@query
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharded_documents(table(spark, folder, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+with r as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), p as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.q, b.q) as bigint) as score
+    from r a join r b on a.vec_id <> b.vec_id
+    where a.vec_id % 50 = 0 and len(a.q) = len(b.q)
+), pos as (
+    select anchor_id, vec_id as positive_id, score as positive_score from p where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), neg as (
+    select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank,
+           vec_id as negative_id, positive_score, score as negative_score
+    from pos join p using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from neg where rank <= 3"""
