@@ -31,6 +31,22 @@ def csv_upsert_last_wins(fx: Fixture) -> DataFrame:
     return fx.spark.table(table)
 
 
+@query("""
+    with loads as (
+        select o_custkey, o_orderkey, o_totalprice, o_orderstatus, cast(cast(o_orderdate as date) as varchar) as o_day, o_orderdate,
+               case when o_custkey % 5 <> 0 and o_orderdate < timestamp '1998-01-01 00:00:00' then 1
+                    when o_orderdate < timestamp '1998-01-01 00:00:00' then 2 else 3 end as load
+        from orders)
+    select o_custkey, o_orderkey, o_totalprice, o_orderstatus, o_day from (
+        select *, row_number() over (partition by o_custkey order by load desc, o_orderdate desc, o_orderkey desc) as place from loads) where place = 1""")
+def csv_upsert_parts(fx: Fixture) -> DataFrame:
+    """Three loads into a table of eight parts, of which each load rewrites the ones it meets."""
+    table, early = fx.scratch_table("orders"), "o_orderdate < timestamp_ntz '1998-01-01 00:00:00'"
+    for part, condition in (("most", f"o_custkey % 5 <> 0 and {early}"), ("fifth", f"o_custkey % 5 = 0 and {early}"), ("late", f"not ({early})")):
+        tables.load_csv(fx.spark, _orders_csv(fx, part, condition), table, "o_custkey", parts=8)
+    return tables.keyed_table(fx.spark, table)
+
+
 @query("""
     select * from (values (0, 'o_custkey', 'bigint'), (1, 'o_orderkey', 'bigint'), (2, 'o_totalprice', 'double'),
                           (3, 'o_orderstatus', 'string'), (4, 'o_day', 'string')) as t(pos, name, type)

@@ -51,7 +51,13 @@ def unique_ids(df: DataFrame, id_column: str, name: str) -> DataFrame:
     return checked.where(F.when(F.col("__place") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).drop("__place")
 
 
-def assemble(population: DataFrame, sets: Sequence[FeatureSet], tables: Tables, id_column: str,
+def _known_unique(tables: Tables, name: str, id_column: str) -> bool:
+    """Whether the tables' owner vouches for the id, as ``CatalogTables`` does for tables that were written by upserts."""
+    vouched = getattr(tables, "unique_by", None)
+    return vouched is not None and vouched(name, id_column)
+
+
+def assemble(population: DataFrame | str, sets: Sequence[FeatureSet], tables: Tables, id_column: str,
              target: str | None = None, *, check_ids: bool = True) -> DataFrame:
     """AS3: the population left-joined with every feature set.
 
@@ -60,9 +66,11 @@ def assemble(population: DataFrame, sets: Sequence[FeatureSet], tables: Tables,
     serves them all, and tables bucketed by id join without a shuffle. Small
     tables are broadcast when Spark's size check allows it.
 
-    A repeated id is an error that shows when the result is read.
-    ``check_ids=False`` leaves the check out for tables whose key is known to be
-    unique, as it is after ``load_csv`` or ``upsert``.
+    A repeated id is an error that shows when the result is read. The check needs
+    a table in the order of its ids, which a broadcast or bucketed one is not, so
+    it is left out where the key is known to be unique: for tables that
+    ``tables`` vouches for (``CatalogTables``), the population among them if it is
+    given by name, and for all with ``check_ids=False``.
     """
     sets = [one for one in sets if one.features]
     names = [name for one in sets for name in one.features]
@@ -75,15 +83,18 @@ def assemble(population: DataFrame, sets: Sequence[FeatureSet], tables: Tables,
     def feature_table(one: FeatureSet) -> DataFrame:
         table = set_columns(_table(tables, one.source), id_column, one.features)
         # a NULL id matches no entity
-        return unique_ids(table.where(named(id_column).isNotNull()), id_column, one.source) if check_ids else table
+        table = table.where(named(id_column).isNotNull())
+        return unique_ids(table, id_column, one.source) if check_ids and not _known_unique(tables, one.source, id_column) else table
 
-    base = base_rows(population, id_column, target)
-    base = unique_ids(base, id_column, "population") if check_ids else base
+    by_name = isinstance(population, str)
+    base = base_rows(_table(tables, population) if by_name else population, id_column, target)
+    if check_ids and not (by_name and _known_unique(tables, population, id_column)):
+        base = unique_ids(base, id_column, "population")
     wide = reduce(lambda left, one: add_set(left, feature_table(one), id_column, one.features), sets, base)
     return nan_to_null(wide, names)
 
 
-def load_features(population: DataFrame, registry: DataFrame, tables: Tables, id_column: str, target: str | None = None, *,
+def load_features(population: DataFrame | str, registry: DataFrame, tables: Tables, id_column: str, target: str | None = None, *,
                   feature_sets: str | Sequence[str] = "all", except_sets: str | Sequence[str] | None = None,
                   except_features: str | Sequence[str] | None = None, check_ids: bool = True) -> tuple[DataFrame, list[str]]:
     """AS4, AS5: choose sets, assemble them, and name the features loaded.

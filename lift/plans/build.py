@@ -56,11 +56,11 @@ class Built:
     sizes: dict[str, tuple[int, int]]
 
 
-def build_model(population: DataFrame, registry: DataFrame, tables: Tables, settings: BuildSettings, *,
+def build_model(population: DataFrame | str, registry: DataFrame, tables: Tables, settings: BuildSettings, *,
                 model_path: str | None = None, dictionary_path: str | None = None) -> Built:
     """Assemble, encode, fill, split, search, fit, save and evaluate."""
     target, id_column = settings.target, settings.id_column
-    with scratch(population.sparkSession, "build"):
+    with scratch(registry.sparkSession, "build"):
         wide, features = load_features(population, registry, tables, id_column, target, check_ids=settings.check_ids)
         counted, loaded = observed(wide, "load")
         wide = materialise(counted, "wide")

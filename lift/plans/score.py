@@ -35,7 +35,7 @@ def histogram_of(scored: DataFrame, id_column: str, pred_col: str, share: float
     return score_histogram(score_counts(sampled, "label", "pred"))
 
 
-def score_population(population: DataFrame, registry: DataFrame, tables: Tables, model: PipelineModel | str, settings: ScoreSettings, *,
+def score_population(population: DataFrame | str, registry: DataFrame, tables: Tables, model: PipelineModel | str, settings: ScoreSettings, *,
                      dictionary: DataFrame | str | None = None, path: str | None = None, table: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """``(id, pred)`` for every entity, written as CSV and upserted on request, and its histogram.
 
@@ -59,6 +59,6 @@ def score_population(population: DataFrame, registry: DataFrame, tables: Tables,
         scored = save_scores(scored, path, id_column=settings.id_column, pred_column=settings.pred_col, table=table)
     histogram = None
     if settings.histogram:
-        with scratch(population.sparkSession, "histogram"):
+        with scratch(registry.sparkSession, "histogram"):
             histogram = lasting(histogram_of(scored, settings.id_column, settings.pred_col, settings.histogram_share, settings.seed), "histogram")
     return scored, histogram

@@ -55,9 +55,9 @@ class Selection:
     sizes: dict[str, tuple[int, int]]
 
 
-def select_features(population: DataFrame, registry: DataFrame, tables: Tables, settings: SelectSettings, path: str | None = None) -> Selection:
+def select_features(population: DataFrame | str, registry: DataFrame, tables: Tables, settings: SelectSettings, path: str | None = None) -> Selection:
     """Assemble, prune, rank and export; the chosen registry is saved at ``path``."""
-    spark = population.sparkSession
+    spark = registry.sparkSession
     with scratch(spark, "select"):
         wide, features = load_features(
             population, registry, tables, settings.id_column, settings.target, feature_sets=settings.feature_sets,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lift.operators import assemble as A
 from lift.operators.registry import FeatureSet, registry_from
+from lift.sources.tables import CatalogTables, upsert
 
 from conftest import as_tuples
 
@@ -81,6 +82,29 @@ def test_one_shuffle_per_table_id_check_included(spark):
     assert plan.count("Exchange hashpartitioning") <= 4
 
 
+def test_tables_that_upsert_wrote_are_not_checked(spark):
+    """No window, and no exchange beyond those of the joins: none at all for small or bucketed tables."""
+    rows = spark.range(50).select("id", (F.col("id") * 2).alias("a"), F.lit("x").alias("b"), F.lit(3).alias("c"))
+    for name, columns in (("known_t1", ["id", "a", "b"]), ("known_t2", ["id", "c"]), ("known_all", ["id"])):
+        upsert(rows.select(*columns), name, "id", parts=2 if name == "known_t2" else None)
+    known = CatalogTables(spark)
+    sets = [FeatureSet("s1", "known_t1", ("a", "b")), FeatureSet("s2", "known_t2", ("c",))]
+
+    def plan(population, tables):
+        return A.assemble(population, sets, tables, "id")._jdf.queryExecution().executedPlan().toString()
+
+    vouched = plan("known_all", known)
+    assert "Window" not in vouched and vouched.count("Exchange hashpartitioning") == 0 and vouched.count("BroadcastHashJoin") == 2
+    assert plan(spark.table("known_all"), known).count("Window [") == 1  # a population given as rows is checked
+    assert plan("known_all", spark.table).count("Window [") == 3
+    assert as_tuples(A.assemble("known_all", sets, known, "id")) == [(i, 2 * i, "x", 3) for i in range(50)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan("known_all", known).count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_narrowing_bounds_are_strict(spark):
     df = spark.createDataFrame([(0, 0, -128, 2, 2**40, None, 1.5), (127, 126, 5, 32767, 1, None, 2049.0)],
                                "a long, b long, c long, d long, e long, f long, g double")

@@ -95,6 +95,91 @@ def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     assert as_tuples(spark.table("upsert_lines")) == [(1, "a\nb"), (2, 'say "hi"')]
 
 
+def test_types_are_found_in_one_read(spark, tmp_path):
+    rows = ["+5,1e3,TRUE,9223372036854775807,,x1", "-7,.5,false,99999999999999999999,,", ",NaN,,1,,2.5", "0,-Infinity,true,2,,3"]
+    path = write(tmp_path / "a.csv", "i,f,b,big,none,t\n" + "\n".join(rows) + "\n")
+    assert tables.infer_csv_schema(spark, path).simpleString() == "struct<i:bigint,f:double,b:boolean,big:string,none:string,t:string>"
+    read = spark.read.csv(path, header=True, schema=tables.infer_csv_schema(spark, path), mode="FAILFAST")
+    assert read.select("i", "f", "b").collect()[0] == (5, 1000.0, True)
+    empty = write(tmp_path / "b.csv", "i,t\n")
+    assert tables.infer_csv_schema(spark, empty).simpleString() == "struct<i:string,t:string>"
+
+
+def test_a_first_load_reads_its_files_once(spark, tmp_path, monkeypatch):
+    path = write(tmp_path / "a.csv", "id,v,w\n1,2.5,true\n2,3,false\n1,4,true\n")
+    reads = []
+    monkeypatch.setattr(tables, "read_csv_in_order", lambda *a, _read=tables.read_csv_in_order, **how: reads.append(a) or _read(*a, **how))
+    monkeypatch.setattr(tables, "infer_csv_schema", None)
+    tables.load_csv(spark, path, "upsert_once", "id")
+    assert as_tuples(spark.table("upsert_once")) == [(1, 4.0, True), (2, 3.0, False)] and len(reads) == 1
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        tables.load_csv(spark, write(tmp_path / "b.csv", "id,v\n1\n"), "upsert_once_bad", "id")
+
+
+def files_by_part(spark, table):
+    rows = spark.table(table).select(tables.PART, F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return {part: {r["file"] for r in rows if r[tables.PART] == part} for part in {r[tables.PART] for r in rows}}
+
+
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_a_load_rewrites_only_the_parts_it_meets(spark, buckets):
+    rows = spark.range(400).select("id", (F.col("id") * 2).alias("v"), F.lit("a").alias("t"))
+    table = f"parted_{buckets or 0}"
+    tables.upsert(rows, table, "id", parts=4, buckets=buckets)
+    assert tables.part_count(spark, table) == 4 and tables.unique_key(spark, table) == ["id"] and tables.bucket_count(spark, table) == buckets
+    before = files_by_part(spark, table)
+    assert len(before) == 4
+    load = spark.range(400).where(tables.part_of(["id"], 4) == 2).limit(5).select("id", F.lit(-1).cast("long").alias("v"), F.lit("b").alias("t"))
+    ids = [r["id"] for r in load.collect()]
+    tables.upsert(spark.createDataFrame([(i, -1, "b") for i in ids], "id long, v long, t string"), table, "id")
+    after = files_by_part(spark, table)
+    assert {part for part in before if before[part] != after[part]} == {2}
+    assert as_tuples(tables.keyed_table(spark, table)) == [(i, -1 if i in ids else 2 * i, "b" if i in ids else "a") for i in range(400)]
+    # new keys, and a load that meets nothing
+    tables.upsert(spark.createDataFrame([(1000, 1, "c")], "id long, v long, t string"), table, "id")
+    assert tables.keyed_table(spark, table).count() == 401
+    settled = files_by_part(spark, table)
+    tables.upsert(spark.createDataFrame([], "id long, v long, t string"), table, "id")
+    assert files_by_part(spark, table) == settled
+    if buckets:  # still one file per bucket, and no shuffle before a join on the key
+        assert sum(len(files) for files in settled.values()) == buckets
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            one, two = (tables.keyed_table(spark, table).alias(name) for name in "xy")
+            assert "Exchange" not in one.join(two, "id")._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_parts_of_null_and_composite_keys(spark):
+    rows = [(1, "a", 1), (1, None, 2), (None, "a", 3), (None, None, 4)]
+    tables.upsert(spark.createDataFrame(rows, "a int, b string, v int"), "parted_pair", "a, b", parts=3)
+    tables.upsert(spark.createDataFrame([(None, None, 5), (1, None, 6), (2, "z", 7)], "a int, b string, v int"), "parted_pair", "a, b")
+    assert as_tuples(tables.keyed_table(spark, "parted_pair")) == [(1, "a", 1), (1, None, 6), (2, "z", 7), (None, "a", 3), (None, None, 5)]
+
+
+def test_another_number_of_parts_writes_the_table_anew(spark):
+    rows = spark.range(50).select("id", F.lit(1).alias("v"))
+    tables.upsert(rows, "parted_more", "id")
+    assert tables.part_count(spark, "parted_more") is None
+    for parts in (2, 5, None):
+        tables.upsert(spark.createDataFrame([(7, parts or 9)], "id long, v int"), "parted_more", "id", parts=parts)
+        assert tables.part_count(spark, "parted_more") == (parts or 5)
+    assert tables.keyed_table(spark, "parted_more").columns == ["id", "v"]
+    assert as_tuples(tables.keyed_table(spark, "parted_more").where("v <> 1")) == [(7, 9)]
+    with pytest.raises(ValueError, match="divide"):
+        tables.upsert(rows, "parted_odd", "id", parts=3, buckets=8)
+
+
+def test_a_replaced_table_is_not_vouched_for(spark):
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.upsert(rows, "vouched", "k")
+    known = tables.CatalogTables(spark)
+    assert known.unique_by("vouched", "k") and not known.unique_by("vouched", "v") and not known.unique_by("nowhere", "k")
+    tables.replace_load(rows.unionAll(rows), "vouched")
+    assert not known.unique_by("vouched", "k")
+
+
 def test_replace_load_keeps_duplicates_and_drops_the_old_rows(spark):
     tables.replace_load(spark.createDataFrame([(1, "a")], "k int, v string"), "replaced")
     tables.replace_load(spark.createDataFrame([(2, "b"), (2, "b")], "k int, v string"), "replaced")
@@ -160,6 +245,22 @@ def test_types_of_an_external_table(spark):
     assert as_tuples(typed) == [(1, 2, 1, 1.5, "abc")]
 
 
+def test_remainders_divide_all_whole_numbers(spark):
+    predicates = tables.remainder_predicates("n", 3)
+    rows = spark.createDataFrame([(n,) for n in [*range(-7, 8), None]], "n int")
+    rows.createOrReplaceTempView("remainders")
+    met = [spark.sql(f"select n from remainders where {p}").collect() for p in predicates]
+    assert sorted((r["n"] for part in met for r in part), key=str) == sorted([*range(-7, 8), None], key=str)
+    assert len(predicates) == 3 and tables.remainder_predicates("n", 1) == ["1 = 1"]
+
+
+def test_bounds_are_asked_of_the_query(spark):
+    spark.range(5, 20).createOrReplaceTempView("bounded")
+    assert tuple(spark.sql(tables.bounds_query("select id as n from bounded where id > 6", "n")).first()) == (7, 19)
+
+
 def test_a_partition_column_needs_its_bounds(spark):
-    with pytest.raises(ValueError, match="lower"):
+    with pytest.raises(ValueError, match="partitions"):
         tables.read_jdbc(spark, "jdbc:none", "select 1", partition_column="id")
+    with pytest.raises(ValueError, match="partitions"):
+        tables.read_jdbc(spark, "jdbc:none", "select 1", spread_by="hash(id)")
