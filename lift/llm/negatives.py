@@ -63,7 +63,7 @@ def matrix(batch: pa.RecordBatch | pa.Table, dims: int, scale: int) -> np.ndarra
     table = pa.table(batch) if isinstance(batch, pa.RecordBatch) else batch
     wide = table["x"].is_valid().to_numpy()
     if not wide.any():
-        return table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dims)
+        return table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(table), dims)
     made = quantised([x if x is not None else [0.0] * dims for x in table["x"].to_pylist()], dims, scale)
     for i, v in enumerate(table["v"].to_pylist()):
         if v is not None:
