@@ -13,12 +13,15 @@ Blocks have a bounded number of rows and queries are dealt out in bounded groups
 each pair of a block and a group is a task's unit of work, and the best rows of
 the blocks are merged per query.
 
+Vectors with huge components, whose scores could leave 64 bits, have blocks of
+their own. Bitmaps hold integers of any size, so the same steps serve them; only
+what is read off the bitmaps is then a whole Python number.
+
 Defined results: vectors that are null, or hold a null or a number that is not
-finite, take no part, nor do rows without an id, nor vectors with a component
-beyond 2^24 in size; vectors of different lengths are not compared; of
-rows that repeat an id the one with the least vector counts; ties go to the smaller id; a query
-with fewer candidates than k returns all; an empty table gives an empty result;
-other columns are not looked at.
+finite, take no part, nor do rows without an id; vectors of different lengths are not compared; of
+rows that repeat an id the one with the least vector counts, a huge one last; ties go to the smaller id; a query
+with fewer candidates than k returns all; scores beyond 64 bits rank by their true value and are
+returned as the nearest long; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,21 +33,27 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lift.functions.columns import named
+from lift.llm.wide import column_pair, quantised
 from lift.sources.shared import materialise
 
 BLOCK_ROWS = 1 << 16
 GROUP_QUERIES = 256
-LARGEST = float(1 << 24)
+#: Sizes of integers and numbers of components whose scores fit in 64 bits.
+LARGEST, LARGEST_DIMS = float(1 << 24), 1 << 12
+#: Rows of a block of huge vectors, which have some thousand bitmaps per component.
+HUGE_ROWS = 1 << 12
 PARTS = ["ids", "low", "first", "slices"]
 
 
 def quantise(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``(id, v, dims)``: integer vectors of the rows that take part, one per id."""
-    vector = named(vector_col)
-    fit = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) <= LARGEST))
-    rows = df.where(named(id_col).isNotNull() & vector.isNotNull() & fit).select(
-        named(id_col).cast("long").alias("id"), F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dims", F.size("v"))
+    """``(id, v, x, dims, huge)``: integer vectors ``v`` of the rows that take part, one per id, or the components ``x`` of huge ones."""
+    vector = F.transform(named(vector_col), lambda x: x.cast("double"))
+    finite = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    rows = df.where(named(id_col).isNotNull() & named(vector_col).isNotNull() & finite).select(named(id_col).cast("long").alias("id"), vector.alias("x"))
+    huge = F.exists("x", lambda x: F.abs(x) > LARGEST / scale) | (F.size("x") > LARGEST_DIMS)
+    parts = F.struct(huge.alias("huge"), F.when(~huge, F.transform("x", lambda x: F.floor(x * scale).cast("long"))).alias("v"), F.when(huge, F.col("x")).alias("x"))
+    rows = rows.select("id", parts.alias("row")).groupBy("id").agg(F.min("row").alias("row")).select("id", "row.*")
+    return rows.withColumn("dims", F.size(F.coalesce("v", "x")))
 
 
 def pack(bits: np.ndarray) -> np.ndarray:
@@ -65,27 +74,29 @@ class BitSlices:
 
     @classmethod
     def of(cls, ids: np.ndarray, values: np.ndarray) -> BitSlices:
-        """The bitmaps of a block of integer vectors."""
+        """The bitmaps of a block of integer vectors, which may be whole Python numbers."""
         order = np.argsort(ids, kind="stable")
         ids, values = ids[order], values[order]
-        low = values.min(axis=0)
+        low = values.min(axis=0) if values.shape[1] else values[0]
         above = values - low
-        depth = [int(x).bit_length() for x in above.max(axis=0)]
+        depth = [int(x).bit_length() for x in above.max(axis=0)] if values.shape[1] else []
         first = np.concatenate(([0], np.cumsum(depth))).astype(np.int64)
         slices = [pack((above[:, j] >> b & 1).astype(np.uint8)) for j in range(values.shape[1]) for b in range(depth[j])]
         return cls(ids, low, first, np.concatenate(slices) if slices else np.zeros(0, np.uint64))
 
     def as_bytes(self) -> list[bytes]:
-        return [x.tobytes() for x in (self.ids, self.low, self.first, self.slices)]
+        low = self.low.tobytes() if self.low.dtype == np.int64 else " ".join(str(x) for x in self.low).encode()
+        return [self.ids.tobytes(), low, self.first.tobytes(), self.slices.tobytes()]
 
     @classmethod
-    def from_bytes(cls, ids: bytes, low: bytes, first: bytes, slices: bytes) -> BitSlices:
-        return cls(*[np.frombuffer(x, np.int64) for x in (ids, low, first)], np.frombuffer(slices, np.uint64))
+    def from_bytes(cls, ids: bytes, low: bytes, first: bytes, slices: bytes, *, huge: bool = False) -> BitSlices:
+        least = np.array([int(x) for x in low.split()], object) if huge else np.frombuffer(low, np.int64)
+        return cls(np.frombuffer(ids, np.int64), least, np.frombuffer(first, np.int64), np.frombuffer(slices, np.uint64))
 
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """The sum's slices, least first, and what must be added to it."""
         by_weight: list[list[np.ndarray]] = [[]]
-        extra = int((query * self.low).sum())
+        extra = sum(int(x) * int(y) for x, y in zip(query, self.low)) if object in (query.dtype, self.low.dtype) else int((query * self.low).sum())
         for j in np.flatnonzero(query).tolist():
             size, a, b = int(query[j]), int(self.first[j]), int(self.first[j + 1])
             source = self.slices
@@ -145,51 +156,59 @@ class BitSlices:
         places = np.flatnonzero(np.unpackbits(sure.view(np.uint8), bitorder="little"))
         if need:  # all open rows have one score: the smaller ids come first
             places = np.concatenate((places, np.flatnonzero(np.unpackbits(open_rows.view(np.uint8), bitorder="little"))[:need]))
-        score = np.full(len(places), extra, np.int64)
+        kind = np.int64 if len(total) < 62 and abs(extra) < 1 << 62 else object
+        score = np.full(len(places), extra, kind)
         for weight, bitmap in enumerate(total):
-            score += (bitmap[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << weight
+            score += (bitmap[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)).astype(kind) << weight
         return self.ids[places], score
 
 
-def matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
-    flat = column.combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dims) if dims else np.zeros((len(column), 0), np.int64)
+def matrix(rows: pa.Table, dims: int, scale: int) -> np.ndarray:
+    """The integer vectors of rows that are all huge, or all not."""
+    if len(rows) and not rows["v"].null_count:
+        flat = rows["v"].combine_chunks().flatten()
+        return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(rows), dims)
+    return quantised(rows["x"].to_pylist(), dims, scale)
 
 
-def search_block(dims: int, index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+def search_block(dims: int, huge: bool, index: pa.Table, queries: pa.Table, k: int, scale: int) -> pa.Table:
     rows = index.select(PARTS).to_pylist()
-    asked = queries["id"].to_numpy()
-    out: list[list[np.ndarray]] = [[], [], []]
+    out: list[dict] = []
     if rows:
-        block = BitSlices.from_bytes(*[rows[0][part] for part in PARTS])
-        for query, vector in zip(asked.tolist(), matrix(queries["v"], dims)):
-            found, score = block.best(vector, query, k)
-            for part, values in zip(out, (np.full(len(found), query, np.int64), found, score)):
-                part.append(values)
-    return pa.table([pa.array(np.concatenate(part) if part else np.zeros(0, np.int64)) for part in out], ["query_id", "vec_id", "score"])
+        block = BitSlices.from_bytes(*[rows[0][part] for part in PARTS], huge=huge)
+        for asked in (queries.filter(queries["huge"]), queries.filter(pa.compute.invert(queries["huge"]))):
+            for query, vector in zip(asked["id"].to_pylist(), matrix(asked, dims, scale)):
+                for found, score in zip(*[x.tolist() for x in block.best(vector, query, k)]):
+                    out.append(dict(zip(FOUND.names, (query, found, *column_pair(score)))))
+    return pa.Table.from_pylist(out, FOUND)
+
+
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("wide", pa.binary())])
 
 
 def top_k(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, scale: int = 64) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the best rows for each row where ``queries`` holds (a condition on ``id``)."""
     rows = materialise(quantise(df, id_col, vector_col, scale), "topk-rows")
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
-    blocks, groups = -(-counts["n"] // BLOCK_ROWS) or 1, -(-counts["q"] // GROUP_QUERIES) or 1
-    own, numbers = F.xxhash64("id"), lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("huge"), 1)).alias("huge"), F.count(F.when(queries, 1)).alias("q")).first()
+    groups, own, numbers = -(-counts["q"] // GROUP_QUERIES) or 1, F.xxhash64("id"), lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    # blocks of huge vectors are numbered behind the others
+    blocks, behind = -(-(counts["n"] - counts["huge"]) // BLOCK_ROWS) or 1, -(-counts["huge"] // HUGE_ROWS)
+    block = F.when(F.col("huge"), F.pmod(own, F.lit(max(behind, 1))) + blocks).otherwise(F.pmod(own, F.lit(blocks)))
 
     def packed(key: tuple, part: pa.Table) -> pa.Table:
-        made = BitSlices.of(part["id"].to_numpy(), matrix(part["v"], key[0].as_py())).as_bytes()
+        made = BitSlices.of(part["id"].to_numpy(), matrix(part, key[0].as_py(), scale)).as_bytes()
         return pa.table({"dims": [key[0].as_py()], "block": [key[1].as_py()]} | {name: [value] for name, value in zip(PARTS, made)},
                         pa.schema([("dims", pa.int32()), ("block", pa.int64()), *[(name, pa.binary()) for name in PARTS]]))
 
-    index = rows.withColumn("block", F.pmod(own, F.lit(blocks))).groupBy("dims", "block").applyInArrow(
+    index = rows.withColumn("block", block).groupBy("dims", "block").applyInArrow(
         packed, "dims int, block long, " + ", ".join(f"{name} binary" for name in PARTS))
     index = materialise(index, "topk-index").withColumn("group", F.explode(numbers(groups)))
-    asked = rows.where(queries).withColumn("group", F.pmod(own, F.lit(groups))).withColumn("block", F.explode(numbers(blocks)))
+    asked = rows.where(queries).withColumn("group", F.pmod(own, F.lit(groups))).withColumn("block", F.explode(numbers(blocks + behind)))
     keys = ("dims", "block", "group")
 
     def pair(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return search_block(key[0].as_py(), left, right, k)
+        return search_block(key[0].as_py(), key[1].as_py() >= blocks, left, right, k, scale)
 
-    best = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(pair, "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(pair, "query_id long, vec_id long, score long, wide binary")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("wide"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -44,6 +45,27 @@ def test_top_k_equals_plain_version(spark, monkeypatch, rows_in_block):
     assert pairs(top_k(df, F.col("id") % 20 == 0), "query_id", "rank", "vec_id", "score") == plain_top(rows, 20)
 
 
+def test_huge_components_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(topk, "HUGE_ROWS", 9)
+    monkeypatch.setattr(topk, "GROUP_QUERIES", 2)
+    rng = random.Random(7)
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * rng.choice([1.0, 1.0, 2e7, 3e15, 1e300]) for _ in range(3)]) for i in range(80)]
+    rows += [(100, [2e7, 1.0, 0.0]), (101, [2e7, 1.0, 0.0]), (102, [2.0**80, 0.0, 0.0]), (103, [2.0**80, 0.0, 0.0])]
+
+    def plain():
+        near = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+        ints = {i: [math.floor(64 * Fraction(x)) for x in v] for i, v in rows}
+        for i, v in ints.items():
+            if i % 20 == 0:
+                scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in ints.items() if j != i)
+                yield from ((i, r, j, near(-s)) for r, (s, j) in enumerate(scores[:20], 1))
+
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert pairs(top_k(df, F.col("id") % 20 == 0), "query_id", "rank", "vec_id", "score") == sorted(plain(), key=str)
+    small = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2e7, 1.0]), (2, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    assert pairs(top_k(small, F.col("id") % 20 == 0), "query_id", "rank", "vec_id") == [(0, 1, 1), (0, 2, 2)]
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df, F.col("id") % 20 == 0).collect() == []
