@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from lift.functions.columns import named
 from lift.llm.batches import held_out, id_and_text, map_slices, may_learn, slices, strings, type_of, utf8
 
+#: Letters, and numbers of other kinds than digits, such as fractions.
 LETTER = re.compile(r"[^\W\d_]")
 UNIT = 1 << 16
 #: Stands for the bytes before a text.
@@ -183,6 +184,10 @@ def build_model(lang: np.ndarray, gram: np.ndarray, times: np.ndarray, order: in
     return model
 
 
+def has_letter(text: str) -> bool:
+    return any(found.group().isalpha() for found in LETTER.finditer(text))
+
+
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 3, per_language: int = 400) -> LanguageModel:
     """Fit on about ``per_language`` documents of each language among those that are not held out."""
     rows = df.where(may_learn(named(id_col)) & named(lang_col).isNotNull()).select(
@@ -201,7 +206,7 @@ def identify(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_c
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = shared.value
         texts = utf8(batch.column("text"))
-        spoken = np.array([LETTER.search(t) is not None for t in strings(batch.column("text"))])
+        spoken = np.array([has_letter(t) for t in strings(batch.column("text"))])
         names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
         if known.languages:
             bits = known.code_lengths(texts) / UNIT
