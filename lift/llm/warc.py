@@ -44,6 +44,8 @@ from lift.sources.shared import fresh_path, materialise
 ARCHIVE_BYTES = 32 << 20
 PIECE = 1 << 20
 GZIP = 31  # zlib's window bits for a gzip wrapper
+#: The name of a page without an id; an empty id is URN alone.
+NO_PAGE = "urn:page"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:page:"
 
@@ -56,7 +58,7 @@ def record(page: str | None, url: str, payload: bytes, refers_to: str | None, da
     """One record, before compression. A revisit keeps the response's header only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{URN}{quote(page or '', safe='')}>",
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{NO_PAGE if page is None else URN + quote(page, safe='')}>",
             f"WARC-Target-URI: {quote(url, safe='%/:?#[]@!$&()*+,;=~')}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest_of(payload)}"]
     if refers_to is not None:
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{URN}{quote(refers_to, safe='')}>"]
@@ -71,7 +73,8 @@ def fields(head: bytes) -> dict[str, str]:
 
 def page_of(value: str | None) -> str | None:
     """The page that ``<urn:page:...>`` names."""
-    return unquote(value.strip("<>")[len(URN):]) or None if value else None
+    name = value.strip("<>") if value else NO_PAGE
+    return None if name == NO_PAGE else unquote(name[len(URN):])
 
 
 def located(uri: str) -> tuple[pafs.FileSystem, str]:

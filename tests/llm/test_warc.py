@@ -45,6 +45,13 @@ def test_round_trip(spark):
     assert archived_pages(frame(spark, [])).collect() == []
 
 
+def test_an_empty_id_is_not_a_missing_one(spark):
+    rows = [("", "u", "<p>same</p>"), ("b", "u", "<p>same</p>"), (None, "u", "<p>same</p>"), ("c", "u", "alone")]
+    found = rows_of(archived_pages(spark.createDataFrame(rows, "page_id string, url string, html string")))
+    assert sorted(((r[0], *r[3:5]) for r in found), key=str) == sorted(
+        [("", "response", None), ("b", "revisit", ""), (None, "revisit", ""), ("c", "response", None)], key=str)
+
+
 def test_small_payloads_do_not_revisit(spark):
     written = write_archives(frame(spark), fresh_path(spark, "warc"), least_bytes=100)
     found = read_back(normalise(written, fresh_path(spark, "warc")))
