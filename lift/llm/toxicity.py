@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lift.functions.columns import named
@@ -256,7 +255,10 @@ def best_threshold(score: np.ndarray, labels: np.ndarray) -> float:
 
 
 def gather(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, max_rows: int, max_bytes: int) -> list[Row]:
-    """At most ``max_rows`` labelled documents of ``max_bytes`` in all, in an order that depends on their ids alone."""
+    """At most ``max_rows`` labelled documents of ``max_bytes`` in all, in an order that depends on their ids alone.
+
+    A text that doesn't fit into what is left is passed over; the next ones may fit.
+    """
     usable = labels.where(may_learn(named(id_col)) & named(label_col).isNotNull())
     picked = usable.groupBy(named(id_col).alias("key")).agg(F.max(named(label_col)).alias("label")).orderBy(F.xxhash64("key"), "key").limit(max_rows)
     # at most max_rows narrow rows: their bound makes the broadcast safe
@@ -264,9 +266,17 @@ def gather(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_co
     rows = read.join(F.broadcast(picked), F.col("own") == F.col("key")).select("key", "text", "lang", F.col("label").cast("int").alias("label"))
     one_each = materialise(rows.groupBy("key").agg(F.min(F.struct("text", "lang", "label")).alias("row")).select("key", "row.*"), "toxicity-sample")
     order = (F.xxhash64("key"), "key")
-    sizes = one_each.select("key", F.sum(F.octet_length("text")).over(W.orderBy(*order)).alias("so_far"))  # max_rows narrow rows
-    fitting = F.broadcast(sizes.where(F.col("so_far") <= max_bytes).select("key"))
-    return one_each.join(fitting, "key").orderBy(*order).collect()
+    left, passed, kinds = max_bytes, [], [set(), set()]
+    for row in one_each.select("key", F.octet_length("text").alias("size"), "label").orderBy(*order).collect():  # max_rows narrow rows
+        fits = row["size"] <= left
+        left -= row["size"] if fits else 0
+        kinds[fits].add(bool(row["label"]))
+        if not fits:
+            passed.append(row["key"])
+    if len(kinds[False] | kinds[True]) == 2 > len(kinds[True]):
+        raise ValueError(f"no labelled text of one kind fits into max_bytes={max_bytes}")
+    kept = one_each.where(~F.col("key").isin(passed)) if passed else one_each
+    return kept.orderBy(*order).collect()
 
 
 def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic",

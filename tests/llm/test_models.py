@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -57,6 +58,28 @@ def test_code_lengths_equal_plain_version(spark, direct):
             assert abs(found[i, k] - plain_length(text, lang, 2)) < 1e-3
 
 
+def test_only_letters_make_a_language(spark):
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(["½ ² ①", "٣ 12", "²a", "ß", None, "the snow"] * 4)], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predicted_languages(docs).collect()}
+    assert [found[i] for i in range(6)] == ["und", "und", "en", "en", "und", "en"]
+
+
+def test_long_texts_are_passed_over(spark):
+    """The bound on bytes passes over what doesn't fit and goes on; it never ends with nothing learned."""
+    ids = [i for i in range(200) if toxicity_may_learn(i)]
+    texts = {i: ("long " * 2000 if n in (0, 7) else f"text {n}") for n, i in enumerate(ids)}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    rows = toxicity.gather(docs, labels, "doc_id", "text", "lang", "toxic", 1000, 9000)
+    assert sorted(r["text"] for r in rows) == sorted(t for t in texts.values() if len(t) < 9000)
+    with pytest.raises(ValueError, match="max_bytes"):
+        toxicity.gather(docs, labels, "doc_id", "text", "lang", "toxic", 1000, 3)
+
+
+def toxicity_may_learn(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 != 2
+
+
 def test_block_borders_change_nothing(monkeypatch):
     grams = langid.grams_of("the snow falls and then".encode(), 3)
     model = langid.build_model(np.array(["en"] * len(grams), object), grams, np.ones(len(grams), np.int64), 3)
