@@ -2,8 +2,8 @@
 
 Patterns find candidates; the value of every candidate is hashed, and the hashes
 are counted by distinct repositories and distinct owners over the whole corpus. A
-value that many owners have is a copied example; one that few owners have and
-that looks random is live. Beside the named patterns, long mixed tokens are
+value that many owners have, or that lies in very many repositories, is a copied
+example; one that few owners have in few places and that looks random is live. Beside the named patterns, long mixed tokens are
 candidates too, and are reported only if the counts say that they are live.
 
 Everything is DataFrame and SQL functions. Spark has no function for the places
@@ -97,14 +97,15 @@ def candidates(df: DataFrame, id_col: str, text_col: str, repo_col: str, owner_c
         "more", F.filter("token", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))).drop("token")
 
 
-def ownership(spans: DataFrame, max_owners: int) -> DataFrame:
+def ownership(spans: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
     """``(hash, n_repos, n_owners, live)`` for every candidate value of the corpus."""
     seen = spans.groupBy("hash", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repo", F.lit("")).alias("repo")).agg(
         F.max("random").alias("random"))
     by_owner = seen.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("random").alias("random"))
     # a repository has one owner; the same name under two owners is two repositories
     per_value = by_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.max("random").alias("random"))
-    return per_value.select("hash", "n_repos", "n_owners", ((F.col("n_owners") <= max_owners) & F.col("random")).alias("live"))
+    few = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+    return per_value.select("hash", "n_repos", "n_owners", (few & F.col("random")).alias("live"))
 
 
 def joined(spans: Column) -> Column:
@@ -113,18 +114,19 @@ def joined(spans: Column) -> Column:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
-         max_owners: int = 2) -> DataFrame:
+         max_owners: int = 2, max_repos: int = 500) -> DataFrame:
     """One row per row of ``df``: ``(id, digest, n_assign, n_access, n_hex, base, found)``.
 
     ``base`` holds the spans of the patterns, ``found`` all spans with what the
-    corpus says: ``n_repos``, ``n_owners``, ``live``. Tokens are in it only if live.
+    corpus says: ``n_repos``, ``n_owners``, ``live``. Tokens are in it only if live:
+    in at most ``max_repos`` repositories of at most ``max_owners`` owners.
     ``digest`` is a hash of the text, which tells rows of one id apart.
     """
     rows = materialise(candidates(df, id_col, text_col, repo_col, owner_col), "secret-candidates")
     some = rows.where((F.size("base") > 0) | (F.size("more") > 0))
     spans = some.select("id", "digest", "repo", "owner", F.explode(F.concat("base", "more")).alias("span")).select(
         "id", "digest", "repo", "owner", "span", "span.hash", "span.random")
-    verdicts = ownership(spans, max_owners)
+    verdicts = ownership(spans, max_owners, max_repos)
     judged = spans.select("id", "digest", "span", "hash").distinct().join(verdicts, "hash").where((F.col("span.kind") != "token") | F.col("live"))
     entry = F.struct("span.start", "span.place", "span.kind", "span.end", "n_repos", "n_owners", "live")
     per_row = judged.groupBy("id", "digest").agg(F.array_sort(F.collect_list(entry)).alias("found"))
