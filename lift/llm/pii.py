@@ -82,7 +82,8 @@ def emails(text: str) -> Iterator[Span]:
 def base_spans(text: str) -> list[Span]:
     """The spans of the patterns, by kind and then start; matches that fail their test are dropped."""
     spans = list(emails(text))
-    spans += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    parts = lambda m: [part.lstrip("0") for part in m.group().split(".")]
+    spans += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts(m))]
     for m in CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
         if 16 <= len(digits) <= 19 and luhn(digits):

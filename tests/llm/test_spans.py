@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lift.llm.pii import WORD, Codes, base_spans, find_all, luhn, passages, pii_digests, sanitise_documents
-from lift.llm.secret_scan import redact, secret_digests
+from lift.llm.secret_scan import ownership, redact, scan, secret_digests
 from tests.llm.helpers import no_documents, odd_documents
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("(?:", "(?i:"))
@@ -53,6 +53,31 @@ def test_ownership_separates_examples_from_live_secrets(spark):
     assert clean[10]["text"] == f"b {copied}" and len(clean) == len(rows)
 
 
+def plain_ownership(rows, max_owners, max_repos):
+    found = {}
+    for value, repo, owner, varied in rows:
+        found.setdefault(value, []).append((owner or "", repo or "", varied))
+    out = []
+    for value, seen in found.items():
+        repos, owners = len({(o, r) for o, r, _ in seen}), len({o for o, _, _ in seen})
+        out.append((value, repos, owners, owners <= max_owners and repos <= max_repos and any(v for *_, v in seen)))
+    return sorted(out)
+
+
+def test_ownership_equals_plain_counts(spark):
+    rng = random.Random(3)
+    rows = [(f"v{rng.randint(0, 30)}", rng.choice([None, "", *map(str, range(9))]), rng.choice([None, "a", "b", "c"]), rng.random() < 0.1) for _ in range(600)]
+    spans = spark.createDataFrame(rows, "hash string, repo string, owner string, random boolean").repartition(4)
+    assert sorted(tuple(r) for r in ownership(spans, 3, 12).collect()) == plain_ownership(rows, 3, 12)
+
+
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    text = "token = 9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    docs = spark.createDataFrame([(i, f"{i} {text}", "s1") for i in range(30)], "doc_id long, text string, source string")
+    live = lambda **how: {x["live"] for r in scan(docs, **how).collect() for x in r["found"]}
+    assert live() == {True} and live(max_repos=29) == {False} and live(max_repos=30) == {True}
+
+
 def test_secret_rows(spark):
     docs = odd_documents(spark)
     assert secret_digests(docs).count() == docs.count() and redact(docs).columns == docs.columns
@@ -83,6 +108,12 @@ def test_base_personal_data_equals_plain_version():
         assert base_spans(text) == plain_pii(text), text
 
 
+def test_long_runs_of_digits_are_numbers_too():
+    zeros, nines = "1.2.3." + "0" * 5000, "1.2.3." + "9" * 5000
+    assert base_spans(zeros) == [("ip", 0, len(zeros))]
+    assert base_spans(nines) == [] and base_spans("0" * 5000 + "255.1.1.1") == [("ip", 0, 5009)]
+
+
 def test_telling_terms_are_found_and_common_ones_are_not(spark):
     rng = random.Random(1)
     common = [f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" for k in range(100)]
