@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from lift.functions.columns import hash_order, in_training_order, label_of, named, probability_of_one
 from lift.operators.evaluate import roc_auc, score_counts, top_importances
 from lift.operators.registry import convert_features
+from lift.operators.trees import flat_forest, moved_outcomes
+from lift.sources.shared import materialise
 
 GROUP_ROWS = 1024
+#: Feature ``f`` is taken from this many times ``f`` places on, within the size of the group.
+_SHIFT = 7919
 # Columns that the models add; no feature has such a name.
 VECTOR, LABEL, WEIGHT, KEY = "__lift_vector", "__lift_label", "__lift_weight", "__lift_key"
 PREDICTION, PROBABILITY, RAW = "__lift_prediction", "__lift_probability", "__lift_raw"
@@ -74,17 +78,13 @@ def permutation_importance(df: DataFrame, features: Sequence[str], target: str,
     """
     features = list(features)
     places = [i for i, name in enumerate(features) if only is None or name in set(only)]
-    hashed = hash_order(seed, named(id_column))
-    groups = max(1, math.ceil(df.count() / group_rows))
-    group = F.pmod(F.conv(F.substring(hashed, 1, 8), 16, 10).cast("bigint"), F.lit(groups)).alias("g")
-    row = F.struct(hashed.alias("h"), label_of(target).alias("y"),
-                   F.array(*[named(name).cast("double") for name in features]).alias("x")).alias("r")
-    grouped = df.select(group, row).groupBy("g").agg(F.sort_array(F.collect_list("r")).alias("rows"))
+    dealt = _in_groups(df, features, target, id_column, seed, group_rows)
+    grouped = dealt.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("h", "y", "x"))).alias("rows"))
 
     size = F.size("rows")
 
     def shift(f):
-        return F.when(size > 1, F.lit(1) + F.pmod(f * F.lit(7919), F.greatest(size - 1, F.lit(1)))).otherwise(F.lit(0))
+        return F.when(size > 1, F.lit(1) + F.pmod(f * F.lit(_SHIFT), F.greatest(size - 1, F.lit(1)))).otherwise(F.lit(0))
 
     def with_shuffled(r, i):
         moved = F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)), lambda f: F.get(F.get(F.col("rows"), F.pmod(i + shift(f), size))["x"], f))
@@ -94,14 +94,45 @@ def permutation_importance(df: DataFrame, features: Sequence[str], target: str,
     variants = rows.select("*", F.explode(F.array(*[F.lit(i) for i in [-1, *places]])).alias("f"))
     changed = F.transform("x", lambda v, k: F.when(k == F.col("f"), F.get(F.col("z"), k)).otherwise(v))
     scored = predict(variants.select("y", "f", F.when(F.col("f") >= 0, changed).otherwise(F.col("x")).alias("x")))
-    hits = scored.groupBy("f").agg(F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("y")).alias("hits"))
-    # one row per feature from here on
+    return _losses(scored.groupBy("f").agg(F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("y")).alias("hits")), features)
+
+
+def _in_groups(df: DataFrame, features: Sequence[str], target: str, id_column: str, seed: int, group_rows: int) -> DataFrame:
+    """``(g, h, y, x)``: rows dealt into groups of about ``group_rows`` by a hash of the id, with the label and the features as an array."""
+    hashed = hash_order(seed, named(id_column))
+    groups = max(1, math.ceil(df.count() / group_rows))
+    group = F.pmod(F.conv(F.substring(hashed, 1, 8), 16, 10).cast("bigint"), F.lit(groups))
+    return df.select(group.alias("g"), hashed.alias("h"), label_of(target).alias("y"), F.array(*[named(name).cast("double") for name in features]).alias("x"))
+
+
+def _losses(hits: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, importance)`` from ``(f, n, hits)``, one row per feature and one, with ``f`` -1, for the rows as they are."""
     base = F.max(F.when(F.col("f") < 0, F.col("hits"))).over(Window.partitionBy(F.lit(0)))
     loss = hits.select("f", ((base - F.col("hits")).cast("double") / F.col("n").cast("double")).alias("importance"))
-    names = df.sparkSession.createDataFrame(list(enumerate(features)), "f int, feature string")
+    names = hits.sparkSession.createDataFrame(list(enumerate(features)), "f int, feature string")
     return names.join(loss, "f", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
+def forest_permutation(df: DataFrame, features: Sequence[str], target: str, id_column: str, model: PipelineModel, *, seed: int = 1,
+                       only: Sequence[str] | None = None, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+    """ML3 and ML4 of a forest in one pass: ``permutation_importance`` with the forest's predictions, and its ``score_counts``.
+
+    Rows are moved as there, and the results are equal. But no row is multiplied:
+    a group is scored where it lies, from the forest's nodes as arrays, and only the ways through
+    its trees that a moved feature can change are walked again. What is shuffled beside the rows
+    is a count per group and feature, and the counts of the unmoved scores.
+    """
+    features = list(features)
+    places = [i for i, name in enumerate(features) if only is None or name in set(only)]
+    dealt = _in_groups(df, features, target, id_column, seed, group_rows)
+    forest = flat_forest(df.sparkSession, model.stages[-1])
+    outcomes = materialise(moved_outcomes(dealt, forest, places, [f * _SHIFT for f in range(len(features))]), "outcomes")
+    importances = _losses(outcomes.groupBy("f").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")), features)
+    unmoved = outcomes.where("f = -1").groupBy("score").agg(
+        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg"))
+    return importances, unmoved.select(F.lit("all").alias("set"), "score", "pos", "neg")
+
+
 def forest_predictor(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
     forest = model.stages[-1]
     return lambda rows: forest.transform(rows.withColumn(VECTOR, array_to_vector("x"))).withColumn("prediction", F.col(PREDICTION))
@@ -118,7 +149,8 @@ def feature_importances(train: DataFrame, test: DataFrame, features: Sequence[st
     importances = impurity_importance(model, features, train)
     if permutation:
         used = [row["feature"] for row in importances.where("importance > 0").collect()]
-        importances = permutation_importance(test, features, target, id_column, forest_predictor(model), seed=seed, only=used)
+        importances, counts = forest_permutation(test, features, target, id_column, model, seed=seed, only=used)
+        return importances, roc_auc(counts)
     scored = model.transform(test).select(named(target).alias("y"), probability_of_one(F.col(PROBABILITY)).alias("pred"))
     return importances, roc_auc(score_counts(scored, "y", "pred"))
 

@@ -85,6 +85,30 @@ def test_permutation_importance_against_brute_force(rows, pieces, n, group_rows)
     assert got == pytest.approx(expected, abs=1e-12) and got["flat"] == 0.0
 
 
+@pytest.mark.parametrize("n_features, trees", [(3, 30), (70, 12)])
+def test_forest_permutation_equals_moved_rows_scored_whole(spark, parts, n_features, trees, monkeypatch):
+    """Beside 64 features, over several slices of trees, with missing-like and equal values."""
+    monkeypatch.setattr("lift.operators.trees.PAIRS", 4000)
+    train, test = ((df.select("id", "y", "signal", "noise", "flat", *[
+        (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(5)) + F.col("signal") * (i % 3)).alias(f"x{i}") for i in range(n_features - 3)]) for df in parts))
+    names = [name for name in train.columns if name not in ("id", "y")]
+    model = RF.fit_forest(train, names, "y", trees=trees, max_depth=6, seed=3, max_features=0.4)
+    importances, counts = RF.forest_permutation(test, names, "y", "id", model, seed=4, group_rows=100)
+    whole = RF.permutation_importance(test, names, "y", "id", RF.forest_predictor(model), seed=4, group_rows=100)
+    assert as_tuples(importances) == as_tuples(whole)
+    scored = model.transform(test).select("y", RF.probability_of_one(F.col(RF.PROBABILITY)).alias("pred"))
+    assert as_tuples(counts) == as_tuples(RF.score_counts(scored, "y", "pred"))
+
+
+def test_forest_permutation_of_one_row_and_of_no_used_feature(parts):
+    train, test = parts
+    model = RF.fit_forest(train, FEATURES, "y", trees=5, max_depth=3, seed=3)
+    importances, counts = RF.forest_permutation(test.limit(1), FEATURES, "y", "id", model, only=[])
+    assert as_tuples(importances) == [("flat", 0.0), ("noise", 0.0), ("signal", 0.0)] and counts.count() == 1
+    importances, counts = RF.forest_permutation(test.where("id < 0"), FEATURES, "y", "id", model)
+    assert as_tuples(importances) == [("flat", 0.0), ("noise", 0.0), ("signal", 0.0)] and not counts.count()
+
+
 def test_permutation_threshold_is_strict_and_top_does_not_apply(spark):
     registry = R.registry_from(spark, SETS_A)
     importances = spark.createDataFrame(
