@@ -207,37 +207,51 @@ def score_histogram(counts: DataFrame, bins: int | None = None) -> DataFrame:
     )
 
 
-def density_curve(counts: DataFrame, points: int = 100, reach: float = 3.0) -> DataFrame:
+def density_curve(counts: DataFrame, points: int = 100, reach: float = 3.0, *, exact: int = 1 << 14, fineness: int = 256) -> DataFrame:
     """EV10: ``(set, label, point, x, density)``, the Gaussian kernel estimate per label.
 
-    The bandwidth follows Scott's rule; the grid spans the scores and ``reach``
-    bandwidths on both sides. One pass holds a sum for each grid point; every
-    distinct score adds its kernel to all of them, and no row is multiplied. NULL
-    where a label's scores have no spread.
+    The bandwidth ``h`` follows Scott's rule; the grid spans the scores and ``reach``
+    bandwidths on both sides. NULL where a label's scores have no spread.
+
+    A label with at most ``exact`` distinct scores has each of them summed. With more, every score is first
+    divided between the two nearest of a row of nodes ``h / fineness`` apart, in proportion to its nearness, and the
+    kernel runs over the nodes. That is off by at most ``0.05 / (h * fineness ** 2)``, a millionth of the kernel's
+    height, as the kernel's second derivative is at most 0.4 over ``h`` cubed. A score or
+    node counts at the points within 39 bandwidths; beyond, the kernel is 0 as a double.
     """
-    rows = _by_label(counts)
+    rows, key = _by_label(counts), ["set", "label"]
     n = F.col("n").cast("double")
-    means = rows.groupBy("set", "label").agg(
-        F.sum("n").cast("double").alias("rows"), (F.sum(n * F.col("score")) / F.sum(n)).alias("mean"),
+    means = rows.groupBy(*key).agg(
+        F.sum("n").cast("double").alias("rows"), F.count(F.lit(1)).alias("scores"), (F.sum(n * F.col("score")) / F.sum(n)).alias("mean"),
         F.min("score").alias("low"), F.max("score").alias("high"))
     off = F.col("score") - F.col("mean")
-    spread = rows.join(means, ["set", "label"]).groupBy("set", "label", "rows", "low", "high").agg(F.sum(n * off * off).alias("squares"))
+    spread = rows.join(means, key).groupBy(*key, "rows", "scores", "low", "high").agg(F.sum(n * off * off).alias("squares"))
     width = F.sqrt(F.try_divide(F.col("squares"), F.col("rows") - 1)) * F.pow(F.col("rows"), F.lit(-0.2))
-    bands = spread.select("set", "label", "rows", "low", "high", F.when(F.col("low") < F.col("high"), width).alias("h"))
+    bands = spread.select(*key, "rows", "scores", "low", "high", F.when(F.col("low") < F.col("high"), width).alias("h"))
     start, stop = F.col("low") - F.lit(reach) * F.col("h"), F.col("high") + F.lit(reach) * F.col("h")
-    bands = bands.select("set", "label", "rows", "h", start.alias("start"), ((stop - start) / F.lit(float(points - 1))).alias("step"))
-    near = rows.join(bands, ["set", "label"])
-
-    def at(point: int) -> Column:
-        return F.col("start") + F.lit(float(point)) * F.col("step")
-
-    def kernel(point: int) -> Column:
-        distance = (at(point) - F.col("score")) / F.col("h")
-        return n * F.exp(F.lit(-0.5) * distance * distance) / (F.col("rows") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-
-    summed = near.groupBy("set", "label", "start", "step").agg(*[F.sum(kernel(k)).alias(f"d{k}") for k in range(points)])
-    spots = F.array(*[F.struct(F.lit(k).alias("point"), at(k).alias("x"), F.col(f"d{k}").alias("density")) for k in range(points)])
-    return summed.select("set", "label", F.inline(spots))
+    # a row per set and label, read three times
+    bands = materialise(bands.select(*key, "rows", "scores", "low", "h", start.alias("start"), ((stop - start) / F.lit(float(points - 1))).alias("step")), "bands")
+
+    cell = F.col("h") / F.lit(float(fineness))
+    place = (F.col("score") - F.col("low")) / cell
+    before, share = F.floor(place), place - F.floor(place)
+    whole = F.array(F.struct(F.col("score").alias("at"), n.alias("weight")))
+    divided = F.array(F.struct((F.col("low") + before * cell).alias("at"), (n * (F.lit(1.0) - share)).alias("weight")),
+                      F.struct((F.col("low") + (before + 1) * cell).alias("at"), (n * share).alias("weight")))
+    nodes = rows.join(bands.where("h is not null"), key).select(*key, F.inline(F.when(F.col("scores") <= exact, whole).otherwise(divided)))
+    nodes = nodes.groupBy(*key, "at").agg(F.sum("weight").alias("weight")).join(bands, key)
+
+    far = F.lit(39.0) * F.col("h")
+    first = F.greatest(F.ceil((F.col("at") - far - F.col("start")) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((F.col("at") + far - F.col("start")) / F.col("step")), F.lit(points - 1))
+    near = nodes.withColumns({"first": first, "last": last}).where("first <= last").withColumn("point", F.explode(F.sequence("first", "last")))
+    x = F.col("start") + F.col("point").cast("double") * F.col("step")
+    distance = (x - F.col("at")) / F.col("h")
+    height = F.col("weight") * F.exp(F.lit(-0.5) * distance * distance) / (F.col("rows") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    summed = near.groupBy(*key, "point").agg(F.sum(height).alias("density"))
+    grid = bands.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
+    known = F.when(F.col("h").isNotNull(), F.coalesce("density", F.lit(0.0)))
+    return grid.join(summed, [*key, "point"], "left").select(*key, F.col("point").cast("int").alias("point"), x.alias("x"), known.alias("density"))
 
 
 def metric_set(counts: DataFrame, metrics: Sequence[str] = METRICS, *, train: str = "train", holdout: str = "holdout",

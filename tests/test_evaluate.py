@@ -143,6 +143,30 @@ def test_density_is_the_kernel_estimate(spark, sample):
         assert [m[2] for m in mine] == pytest.approx(expected.tolist(), abs=1e-12)
 
 
+@pytest.mark.parametrize("fineness", [8, 256])
+def test_density_over_nodes_is_within_its_bound(spark, fineness):
+    rng = np.random.default_rng(4)
+    p = np.concatenate([rng.beta(2, 5, 3000), [0.0, 1.0, 0.999]])
+    y = np.arange(len(p)) % 2
+    rows = V.density_curve(counts(spark, y, p), points=40, exact=100, fineness=fineness).collect()
+    for label in (0, 1):
+        x = p[y == label]
+        h = x.std(ddof=1) * len(x) ** -0.2
+        grid = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 40)
+        expected = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+        mine = np.array([d for _, d in sorted((r["point"], r["density"]) for r in rows if r["label"] == label)])
+        assert 0 < np.abs(mine - expected).max() <= 0.05 / (h * fineness**2)
+
+
+def test_density_far_from_all_scores_is_zero(spark):
+    """Two narrow crowds a million bandwidths apart: most points see no score."""
+    p = [i * 1e-9 for i in range(2000)] + [1 - i * 1e-9 for i in range(2)]
+    rows = V.density_curve(counts(spark, [1] * len(p), p), points=50).collect()
+    assert len(rows) == 50 and all(r["density"] is not None for r in rows)
+    same = V.density_curve(counts(spark, [0] * 3, [0.5] * 3), points=7).collect()
+    assert len(same) == 7 and all(r["density"] is None for r in same)
+
+
 def test_metric_set_keeps_the_parts_apart(spark, sample):
     y, p = sample
     df = frame(spark, y, p).withColumn("part", F.when(F.monotonically_increasing_id() % 3 == 0, "holdout").otherwise("train"))
