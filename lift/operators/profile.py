@@ -9,6 +9,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -156,10 +158,10 @@ def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = No
 
     Pearson correlation over the rows where both features are present; NULL
     when one of them is constant there. Each task folds its Arrow batches into
-    sums of products of the centred columns and ships one row per pair, so the
-    shuffle grows with the tasks, one for each partition of the input, and not
-    with the rows. A wide table is taken in pairs of blocks of ``block`` columns;
-    a task's memory is set by the block and not by the table's width, and each
+    matrices of sums of products of the centred columns and ships them as one row, so the
+    rows that are shuffled are as many as the tasks, however many pairs there are.
+    Matrices are added in two levels, first among some of the tasks. A wide table is taken in pairs of
+    blocks of ``block`` columns; a task's memory is set by the block and not by the table's width, and each
     pair of blocks reads its own columns only.
     """
     names = numeric_columns(df, features)
@@ -177,8 +179,6 @@ def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = No
         chosen = sorted({*first, *second})
         left, right = [chosen.index(i) for i in first], [chosen.index(i) for i in second]
         middle = centre[chosen]
-        at_i, at_j = np.repeat(np.array(first, np.int32), len(right)), np.tile(np.array(second, np.int32), len(left))
-        wanted = at_i < at_j
 
         def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((6, len(left), len(right)))
@@ -190,14 +190,22 @@ def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = No
                 with np.errstate(invalid="ignore"):
                     for k, (a, b) in enumerate(((there, there), (x, there), (there, x), (square, there), (there, square), (x, x))):
                         sums[k] += a[:, left].T @ b[:, right]
-            columns = [pa.array(at_i[wanted]), pa.array(at_j[wanted]), *[pa.array(s.ravel()[wanted]) for s in (sums[k] for k in (0, 1, 2, 3, 4, 5))]]
-            yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+            yield pa.RecordBatch.from_arrays([pa.array([sums.ravel()], pa.list_(pa.float64()))], names=["sums"])
 
-        return numbers.select(*[f"f{i}" for i in chosen]).mapInArrow(fold, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+        made = numbers.select(*[f"f{i}" for i in chosen]).mapInArrow(fold, "sums array<double>")
+        return made.select(*[F.lit(x).alias(name) for name, x in zip(where, (first.start, second.start, len(left), len(right)))],
+                           array_to_vector("sums").alias("sums"), F.pmod(F.spark_partition_id(), F.lit(pieces)).alias("some"))
 
+    where, pieces = ("a", "b", "height", "width"), max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = [range(a, min(a + block, size)) for a in range(0, size, block)]
     parts = reduce(DataFrame.unionByName, [folded(p, q) for k, p in enumerate(blocks) for q in blocks[k:]])
-    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    parts = parts.groupBy(*where, "some").agg(Summarizer.sum(F.col("sums")).alias("sums"))
+    total = parts.groupBy(*where).agg(vector_to_array(Summarizer.sum(F.col("sums"))).alias("sums"))
+    cells = F.col("height") * F.col("width")
+    pair = F.transform(F.sequence(F.lit(0), cells - 1), lambda t: F.struct(
+        (F.col("a") + F.floor(t / F.col("width"))).cast("int").alias("i"), (F.col("b") + F.pmod(t, F.col("width"))).cast("int").alias("j"),
+        *[F.get("sums", F.lit(k) * cells + t).alias(name) for k, name in enumerate(("n", "x", "y", "xx", "yy", "xy"))]))
+    total = total.select(F.inline(pair)).where("i < j")
     spread_x = F.col("n") * F.col("xx") - F.col("x") * F.col("x")
     spread_y = F.col("n") * F.col("yy") - F.col("y") * F.col("y")
     together = F.col("n") * F.col("xy") - F.col("x") * F.col("y")
