@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lift.functions.columns import named
 from lift.operators.assemble import Tables, load_features, narrow
-from lift.operators.boosting import DEFAULT_RANGES, Search, fit_boosted, save_model, score, search
+from lift.operators.boosting import DEFAULT_RANGES, Halving, Search, fit_boosted, save_model, score, search
 from lift.operators.encode import encode_categories, fill_constant
 from lift.operators.evaluate import METRICS, metric_set, score_counts, score_histogram
 from lift.operators.profile import observed
@@ -34,6 +34,7 @@ class BuildSettings:
     n_iter: int = 100
     seed: int = 1
     parallelism: int = 4
+    halving: Halving | None = None
     metrics: Sequence[str] = METRICS
     prob_kde: bool = True
     cm_threshold: float = 0.5
@@ -70,7 +71,7 @@ def build_model(population: DataFrame | str, registry: DataFrame, tables: Tables
         ready = materialise(fill_constant(encoded, features, settings.na_value), "ready")
         train = ready.where(F.col("split") == TRAIN)
         found = search(folds(train, id_column, target, settings.cv_splits, settings.seed), features, target, settings.ranges, init_points=settings.init_points,
-                       n_iter=settings.n_iter, seed=settings.seed, parallelism=settings.parallelism, id_column=id_column)
+                       n_iter=settings.n_iter, seed=settings.seed, parallelism=settings.parallelism, id_column=id_column, halving=settings.halving)
         model = fit_boosted(train, features, target, found.best, seed=settings.seed, id_column=id_column)
         if model_path is not None:
             save_model(model, model_path)

@@ -154,6 +154,20 @@ def test_search_is_repeatable_and_reports_its_trials(rows):
     assert all(low <= one.best[name] <= high for name, (low, high) in ranges.items())
 
 
+def test_halving_finds_the_best_of_a_full_run(rows):
+    folded = materialise(S.folds(rows, "id", "y", 3, 1), "folded")
+    ranges = {"num_iterations": (6, 9), "max_depth": (1, 3), "learning_rate": (0.001, 0.6)}
+    full = B.search(folded, FEATURES, "y", ranges, init_points=6, n_iter=0, seed=4)
+    short = B.search(folded, FEATURES, "y", ranges, init_points=6, n_iter=0, seed=4, halving=B.Halving(rungs=((1 / 3, 1 / 3), (1.0, 1.0))))
+    assert short.best == full.best and short.auc == full.auc
+    rungs = {row["trial"]: row["rung"] for row in short.trials.collect()}
+    assert sorted(rungs.values()) == [1, 1, 1, 1, 2, 2] and "rung" not in full.trials.columns
+    stopped = B.search(folded, FEATURES, "y", ranges, init_points=2, n_iter=2, seed=4, halving=B.Halving(tolerance=0.5))
+    assert sorted(row["rung"] for row in stopped.trials.collect()) == [1, 1, 3, 3] and stopped.auc > 0.6
+    with pytest.raises(ValueError, match="shares"):
+        B.search(folded, FEATURES, "y", ranges, halving=B.Halving(rungs=((0.0, 1.0),)))
+
+
 @pytest.mark.parametrize("id_column", [None, "id"])
 def test_models_do_not_depend_on_the_input_partitions(rows, id_column):
     layouts = [rows.coalesce(1), rows.repartition(3), rows.repartition(8, "noise")]
