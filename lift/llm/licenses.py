@@ -1,19 +1,17 @@
 """License notices in texts, by conditional compression.
 
-A block of text that may hold a notice is compressed alone, and again with each
-template as a raw zstandard dictionary. The bytes that the dictionary saves, as a
-share of what the template's own text would save, rank the templates. Every one is
-then confirmed or refused by its exact wording: the least number of words to change,
-leave out or add to get from the template to some run of the block's words. A
-notice's saving in a long block is small against the encoder's noise, so the rank only orders.
-
-A block is what lies around a word that templates use and other texts seldom do (a cue),
-with as many words on both sides as the longest template has; blocks that touch are
-one. Equal blocks are judged once per worker.
-
-Defined results: a null or empty text, and one without cues, has no notices;
-a notice that several templates confirm belongs to the one with most of its words
-in place, then to the first by name; a notice that stands twice in a text gives two
+A candidate is a run of words that is some template but for a few words changed, left out or added.
+Runs are found without loss: within ``d`` changes, a run of a template of ``n`` words has at least
+``n - d`` words that the template has, among ``n + d`` in a row, and that is counted for all
+templates over all words of all texts. Where it holds, the exact wording differences confirm or refuse the template.
+
+Several templates may confirm runs that overlap, as licenses are made from each other's wording. Each run is
+compressed alone, and again with its template as a raw zstandard dictionary. The runs are ranked
+by the bytes that the dictionary saves, and the winner of overlapping ones is the one that saves most: its
+template explains most of what stands there, punctuation and order included. Only equal savings are settled by the fewer
+changed words, then by the name.
+
+Defined results: a null or empty text has no notices; a notice that stands twice in a text gives two
 rows; repeated rows give their notices once each; ids may be null or
 repeat; an empty table gives an empty result; other columns are not looked at.
 """
@@ -24,6 +22,7 @@ import re
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +33,26 @@ from lift.llm.batches import id_and_text, slices, strings, type_of
 from lift.llm.decontaminate import edit_row
 from lift.llm.license_texts import TEMPLATES
 
-#: Words that mark a candidate block. Every template must have one of them.
-CUE = re.compile(r"licen[sc]e|permission|redistribut|free software|public domain|copyright|creative commons|source code form|unencumbered", re.IGNORECASE)
-CUE_PARTS = ("icen", "ermission", "edistribut", "ree software", "ublic domain", "opyright", "reative commons", "ource code form", "nencumbered")
 WORD = re.compile(r"\w+")
+#: Results and words that a worker remembers at a time.
 REMEMBERED = 50_000
 LEVEL = 3
 
 
+class Numbers(dict):
+    """Words as they stand in texts, by the number of their lower case; 0 for words of no template."""
+
+    def __init__(self, known: Mapping[str, int]) -> None:
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 20 * REMEMBERED:
+            self.clear()
+        self[word] = number = self.known.get(word.lower(), 0)
+        return number
+
+
 @dataclass(frozen=True)
 class Notice:
     license: str
@@ -53,82 +64,80 @@ class Notice:
 
 
 class Scanner:
-    """The templates as dictionaries, and how much of a wording may differ."""
+    """The templates as words and as dictionaries, and how much of a wording may differ."""
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]], similarity: float) -> None:
-        self.similarity = similarity
         self.names, self.texts = zip(*[(name, text) for name, some in templates.items() for text in some])
-        for text in self.texts:
-            if not CUE.search(text):
-                raise ValueError(f"no cue marks the template: {text[:60]}")
-        self.words = [[w.lower() for w in WORD.findall(text)] for text in self.texts]
-        self.reach = max(map(len, self.words))
+        words = [[w.lower() for w in WORD.findall(text)] for text in self.texts]
+        known = {word: i for i, word in enumerate(sorted({w for some in words for w in some}), 1)}
+        self.numbers, self.known = Numbers(known), len(known)
+        self.words = [np.array([known[w] for w in some], np.int64) for some in words]
+        self.limits = [int(len(some) * (1 - similarity) + 1e-9) for some in words]
+        self.member = np.zeros((len(words), len(known) + 1), bool)
+        for k, some in enumerate(self.words):
+            self.member[k, some] = True
         plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.plain = plain
         self.packers = []
         for text in self.texts:
             dictionary = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.packers.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False))
-        self.most = [max(1, self.reduction(text.lower().encode(), k)) for k, text in enumerate(self.texts)]
-        self.judged: dict[str, list[Notice]] = {}
+        self.most = [max(1, self.reduction(text, k)) for k, text in enumerate(self.texts)]
+        self.confirmed: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
 
-    def reduction(self, block: bytes, k: int) -> int:
+    def reduction(self, run: str, k: int) -> int:
         """The bytes that template ``k`` as a dictionary saves."""
-        return len(self.plain.compress(block)) - len(self.packers[k].compress(block))
-
-    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Where the candidate blocks begin and end."""
-        if not any(part in text for part in CUE_PARTS) and not CUE.search(text):
-            return
-        cues = [m.start() for m in CUE.finditer(text)]
-        if not cues:
-            return
-        # the words before and behind each cue, as far as the longest template reaches
-        begin = end = -1
-        for cue in cues:
-            a, b = back(text, cue, self.reach), ahead(text, cue, self.reach)
-            if a <= end:
-                end = max(end, b)
-            else:
-                if begin >= 0:
-                    yield begin, end
-                begin, end = a, b
-        yield begin, end
-
-    def notices(self, text: str) -> list[Notice]:
-        """The notices of a text, by place."""
-        found = []
-        for a, b in self.blocks(text):
-            block = text[a:b]
-            if block not in self.judged:
-                if len(self.judged) >= REMEMBERED:
-                    self.judged.clear()
-                self.judged[block] = self.judge(block)
-            found += [Notice(n.license, n.start + a, n.end + a, n.saved, n.changed, n.words) for n in self.judged[block]]
-        return found
-
-    def judge(self, block: str) -> list[Notice]:
-        """Rank the templates by what they save, and confirm each by its wording; again beside what was found."""
-        raw = block.lower().encode()
-        shares = [self.reduction(raw, k) / most for k, most in enumerate(self.most)]
-        order = sorted(range(len(shares)), key=lambda k: (-shares[k], k))
-        spans = list(WORD.finditer(block))
-        number: dict[str, int] = {}
-        run = np.array([number.setdefault(m.group().lower(), len(number)) for m in spans], np.int64)
-        taken = np.zeros(len(run), bool)
-        found = []
-        confirmed = []
-        for k in order:
-            wanted = np.array([number.get(w, -1) for w in self.words[k]], np.int64)
-            limit = int(len(wanted) * (1 - self.similarity) + 1e-9)
-            for a, b in regions(wanted, run, limit, len(number)):
-                confirmed += [(-(len(wanted) - cost), cost, self.names[k], k, a + begin, a + end) for cost, begin, end in occurrences(wanted, run[a:b], limit)]
-        for _, cost, name, k, begin, end in sorted(confirmed):
-            if end > begin and not taken[begin:end].any():
+        raw = run.lower().encode()
+        return len(self.plain.compress(raw)) - len(self.packers[k].compress(raw))
+
+    def notices(self, texts: list[str]) -> Iterator[tuple[int, Notice]]:
+        """The notices of each text, by place."""
+        lists = [WORD.findall(text) for text in texts]
+        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+        offset = np.concatenate(([0], np.cumsum([len(some) for some in lists])))
+        held: dict[int, list[int]] = {}
+        for k, wanted in enumerate(self.words):
+            size = len(wanted) + self.limits[k]
+            known = np.concatenate(([0], np.cumsum(self.member[k][words], dtype=np.int32)))
+            # a run of size words from each place on; it may reach into the next text, which only adds candidates
+            has = known[np.minimum(np.arange(len(words)) + size, len(words))] - known[:-1]
+            begins = np.flatnonzero(has >= max(1, len(wanted) - self.limits[k]))
+            for row in np.unique(np.searchsorted(offset, begins, side="right") - 1).tolist():
+                held.setdefault(row, []).append(k)
+        for row in sorted(held):
+            for notice in self.judge(texts[row], words[offset[row]:offset[row + 1]], held[row]):
+                yield row, notice
+
+    def judge(self, text: str, run: np.ndarray, templates: list[int]) -> list[Notice]:
+        """Confirm templates by their wording, and give overlapping runs to the one that saves most."""
+        confirmed = [(k, cost, a + begin, a + end) for k in templates for a, b in regions(self.words[k], run, self.limits[k], self.known)
+                     for cost, begin, end in self.within(k, run[a:b]) if end > begin]
+        if not confirmed:
+            return []
+        spans = [m.span() for m in WORD.finditer(text)]
+        saving: dict[tuple[int, str], int] = {}
+        ranked = []
+        for k, cost, begin, end in confirmed:
+            own = text[spans[begin][0]:spans[end - 1][1]]
+            if (k, own) not in saving:
+                saving[k, own] = self.reduction(own, k)
+            ranked.append((-saving[k, own], cost, self.names[k], k, begin, end))
+        taken, found = np.zeros(len(run), bool), []
+        for less, cost, name, k, begin, end in sorted(ranked):
+            if not taken[begin:end].any():
                 taken[begin:end] = True
-                found.append(Notice(name, spans[begin].start(), spans[end - 1].end(), round(shares[k], 4), cost, len(self.words[k])))
+                found.append(Notice(name, spans[begin][0], spans[end - 1][1], round(-less / self.most[k], 4), cost, len(self.words[k])))
         return sorted(found, key=lambda n: n.start)
 
+    def within(self, k: int, run: np.ndarray) -> list[tuple[int, int, int]]:
+        """``occurrences`` of a template, reckoned once for equal runs."""
+        key = k, run.tobytes()
+        if key not in self.confirmed:
+            if len(self.confirmed) >= REMEMBERED:
+                self.confirmed.clear()
+            self.confirmed[key] = occurrences(self.words[k], run, self.limits[k])
+        return self.confirmed[key]
+
 
 def regions(wanted: np.ndarray, run: np.ndarray, limit: int, numbers: int) -> Iterator[tuple[int, int]]:
     """Where the words can lie within ``limit`` changes: a run of at most ``len(wanted) + limit`` words has all but ``limit`` of them."""
@@ -172,32 +181,11 @@ def occurrences(wanted: np.ndarray, run: np.ndarray, limit: int) -> list[tuple[i
     return found
 
 
-def back(text: str, at: int, words: int) -> int:
-    """Where the last so many words before ``at`` begin."""
-    reach = 16 * words
-    while True:
-        low = max(0, at - reach)
-        found = [m.start() for m in WORD.finditer(text, low, at)]
-        if low == 0 or len(found) > words:
-            return found[-words] if len(found) >= words else 0
-        reach *= 2
-
-
-def ahead(text: str, at: int, words: int) -> int:
-    """Where so many words from ``at`` on end."""
-    end = at
-    for count, m in enumerate(WORD.finditer(text, at), 1):
-        end = m.end()
-        if count > words:
-            break
-    return end
-
-
 def license_notices(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
                     similarity: float = 0.9) -> DataFrame:
     """``(id, license, start, end, saved, changed_words, template_words)`` of every notice; places count code points.
 
-    ``saved`` is the share of the template's own saving; in a long block of other words it can be zero or less.
+    ``saved`` is what the template saves on the notice, as a share of what it saves on its own text.
     """
     narrow = id_and_text(df, id_col, text_col)
 
@@ -207,10 +195,9 @@ def license_notices(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             for part in slices(batch):
                 rows, hits = [], []
-                for row, text in enumerate(strings(part.column("text"))):
-                    for n in scanner.notices(text):
-                        rows.append(row)
-                        hits.append((n.license, n.start, n.end, n.saved, n.changed, n.words))
+                for row, n in scanner.notices(strings(part.column("text"))):
+                    rows.append(row)
+                    hits.append((n.license, n.start, n.end, n.saved, n.changed, n.words))
                 columns = zip(*hits) if hits else [()] * len(types)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, types)]],
                                                  ["id", "license", "start", "end", "saved", "changed_words", "template_words"])

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lift.llm import decontaminate, topk
+from lift.llm import decontaminate, licenses, topk
 from lift.llm.decontaminate import allowed, clean_documents, contaminated, edits, words_of
 from lift.llm.license_texts import TEMPLATES
 from lift.llm.licenses import license_notices, occurrences, regions
@@ -227,6 +228,64 @@ def test_occurrences_equal_plain_version():
     assert several > 50
 
 
+def edited_words(words, edits, rng, first):
+    """``edits`` words of a text changed, left out or followed by another, those at ``first`` before others."""
+    places = list(first) + rng.sample([i for i in range(len(words)) if i not in set(first)], len(words) - len(first))
+    out = list(words)
+    for at in sorted(places[:edits], reverse=True):
+        kind = rng.randrange(3)
+        out[at:at + 1] = [["changed"], [], [out[at], "added"]][kind]
+    return out
+
+
+def brute_notices(text, scanner):
+    """Every run of words of every template, over the whole text."""
+    spans = [m for m in licenses.WORD.finditer(text)]
+    numbers = np.array([scanner.numbers[m.group()] for m in spans], np.int64)
+    found = []
+    for k, wanted in enumerate(scanner.words):
+        for cost, begin, end in plain_occurrences(wanted, numbers, min(scanner.limits[k], len(wanted) - 1), 0, len(numbers)):
+            found.append((-scanner.reduction(text[spans[begin].start():spans[end - 1].end()], k), cost, scanner.names[k], begin, end))
+    chosen = []
+    for less, cost, name, begin, end in sorted(found):
+        if all(end <= a or b <= begin for *_, a, b in chosen):
+            chosen.append((name, cost, spans[begin].start(), spans[end - 1].end(), begin, end))
+    return sorted((name, cost, a, b) for name, cost, a, b, *_ in chosen)
+
+
+def test_every_template_is_found_with_any_edits_within_the_limit(spark):
+    """The words that mark licenses are edited first: nothing but the wording as a whole tells a notice."""
+    rng = random.Random(11)
+    cue = re.compile("licen|permission|redistribut|free|public|domain|copyright|creative|commons|source|unencumbered", re.IGNORECASE)
+    texts, scanner = [], licenses.Scanner(TEMPLATES, 0.9)
+    vocabulary = ["the", "of", "and", "to", "license", "software"] + [f"w{i}" for i in range(200)]
+    for (name, text), limit in zip([(n, t) for n, some in TEMPLATES.items() for t in some], scanner.limits):
+        words = text.split()
+        marked = [i for i, w in enumerate(words) if cue.search(w)]
+        for first in (marked, []):
+            some = [rng.choice(vocabulary) for _ in range(rng.randrange(60))]
+            while True:
+                copy = " ".join(edited_words(words, limit, rng, first[:limit]))
+                if edits(scanner.words[scanner.texts.index(text)], np.array([scanner.numbers[w] for w in licenses.WORD.findall(copy)]))[0] <= limit:
+                    break
+            texts.append((name, " ".join([*some[:20], copy, *some[20:]])))
+    rows = [(i, text) for i, (_, text) in enumerate(texts)]
+    found = {}
+    for r in license_notices(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        found.setdefault(r["doc_id"], []).append((r["license"], r["changed_words"], r["start"], r["end"]))
+    assert {i: sorted(v) for i, v in found.items()} == {i: brute_notices(text, scanner) for i, text in rows}
+    assert sum(name in {x[0] for x in found[i]} for i, (name, _) in enumerate(texts)) >= len(texts) - 2  # a fellow's wording may be nearer
+
+
+def test_savings_decide_between_equal_wordings(monkeypatch):
+    """Two templates of the same words: the bytes that a template saves pick the one whose writing it is."""
+    templates = {"A": ("grant, to all! of the: work",), "B": ("grant to (all) of the work",)}
+    names = lambda text: [n.license for _, n in licenses.Scanner(templates, 0.9).notices([text])]
+    assert names("x Grant, to all! of the: work x") == ["A"] and names("x Grant to (all) of the work x") == ["B"]
+    monkeypatch.setattr(licenses.Scanner, "reduction", lambda *_: 0)
+    assert names("x Grant to (all) of the work x") == ["A"]
+
+
 def test_thousands_of_copies_of_a_notice(spark):
     line = "Licensed under CC BY 4.0.\n"
     found = license_notices(spark.createDataFrame([(1, line * 4000), (2, line)], "doc_id long, text string"))
