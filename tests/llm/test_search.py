@@ -197,6 +197,55 @@ def test_license_notices(spark):
         assert texts[r["doc_id"]][r["start"] : r["end"]].split()[0] in ("Released", "Licensed", "Permission", "This") and r["saved"] > 0
 
 
+def test_pieces_of_long_items():
+    for words in [*range(5, 400), 1200, 6000]:
+        cut = decontaminate.pieces_of(words)
+        assert sum(length for _, length in cut) == words and [a for a, _ in cut] == [0, *np.cumsum([length for _, length in cut])[:-1]]
+        assert len(cut) == 1 if words <= 60 else all(30 <= length <= 60 for _, length in cut)
+        # however the edits fall, some piece has at most its share
+        assert sum(allowed(length, 0.8) + 1 for _, length in cut) > allowed(words, 0.8)
+        assert all(decontaminate.class_size(length) <= length < 1.2 * decontaminate.class_size(length) + 1 for _, length in cut)
+
+
+@pytest.mark.parametrize("size", [1200, 6000])
+def test_very_long_items_in_a_long_text(size):
+    """Found within a text of 20,000 words over the item's own words, most edits made, and not where too many are."""
+    rng = np.random.default_rng(size)
+    item = " ".join(f"w{k}" for k in rng.integers(0, 500, size))
+    benchmark = decontaminate.Benchmark([(7, item)], 0.8, 0.98, 5)
+    assert not any(one.exact for one in benchmark.classes) and max(one.size for one in benchmark.classes) <= 60
+    back = dict(zip(benchmark.number.values(), benchmark.number)) | {0: "other"}
+    around = [f"w{k}" for k in rng.integers(0, 500, 20000 - size)]
+    copy = [back[k] for k in benchmark.edited(benchmark.words[0], rng).tolist()]
+    broken = list(copy)
+    for at in rng.choice(len(copy), size // 8, replace=False):
+        broken[at] = "broken"
+    found = benchmark.passages([" ".join([*around[:5000], *text, *around[5000:]]) for text in (copy, broken, [])])
+    (doc, item_at, cost, a, b), = found
+    assert (doc, item_at) == (0, 0) and cost <= allowed(size, 0.8) and abs(a - 5000) < 20 and abs(b - 5000 - len(copy)) < 20
+
+
+def test_each_item_has_the_recall_it_is_promised():
+    """New copies, which ended no measuring; items of few words over and over among them."""
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "bcdfgh" for b in ("an", "er", "ist", "ol")]
+    texts = [" ".join(rng.choice(words[: rng.choice([3, 8, 24])]) for _ in range(n)) for n in (5, 6, 9, 12, 15, 15, 20, 30, 45, 60, 75, 130)] + ["one " * 12, "a b " * 9]
+    benchmark = decontaminate.Benchmark(list(enumerate(texts)), 0.8, 0.98, 5)
+    back = dict(zip(benchmark.number.values(), benchmark.number)) | {0: "other"}
+    fresh = np.random.default_rng(1)
+    for i, item in enumerate(benchmark.words):
+        found = benchmark.passages([" ".join(back[k] for k in benchmark.edited(item, fresh).tolist()) for _ in range(200)])
+        assert sum(hit[1] == i for hit in found) >= 190, (i, texts[i])
+
+
+def test_items_are_measured_in_tasks(spark):
+    items, _, _ = passages(5, False)
+    listed, = decontaminate.parts(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 0.8, 0.98, 5)
+    for key, text, repeats, recall in listed:
+        words = words_of(text)
+        assert (repeats, recall) == (decontaminate.calibrated(words, 0.8, 0.98, decontaminate.SEED) if len(words) >= 5 else (0, 1.0))
+
+
 def test_every_template_is_confirmed_by_its_wording(spark):
     rng = random.Random(1)
     every = [(name, text) for name, some in TEMPLATES.items() for text in some]
