@@ -8,8 +8,9 @@ all 256 bytes alike. The escape probability is that of method C: as many escapes
 as different bytes have been seen. The statistics are frozen: scoring a text
 doesn't change them. The language whose code for the whole text is shortest wins.
 
-The trees are flattened into one table: for each context of any language and
-each byte, the code length in every language in units of 2^-16 bits. Sums are of
+Each language's tree is flattened into a table: for each of its own contexts and
+bytes the code length in units of 2^-16 bits. The tables grow with what a language has been seen to use, and
+another language adds its own table and nothing to the others'. Sums are of
 integers, so they are exact and don't depend on how the rows are dealt out.
 
 Learning takes about ``per_language`` documents of each language, chosen by a
@@ -44,10 +45,9 @@ BLOCK = 1 << 20
 
 
 @dataclass
-class LanguageModel:
-    """``lengths[context * symbols + symbol, language]`` with the contexts found through ``trie``."""
+class ContextTable:
+    """One language: ``lengths[context * symbols + symbol]``."""
 
-    languages: list[str]
     order: int
     code_of: np.ndarray  # byte -> symbol
     symbols: int
@@ -80,28 +80,47 @@ class LanguageModel:
                 node = np.where(known[at] == tail, self.first[size] + at, node)
         return node
 
+
+@dataclass
+class LanguageModel:
+    """The tables of all languages."""
+
+    languages: list[str]
+    order: int
+    tables: list[ContextTable]
+
+    @property
+    def direct(self) -> list[np.ndarray | None]:
+        return [table.direct for table in self.tables]
+
+    @direct.setter
+    def direct(self, value: None) -> None:
+        """Do without the tables of codes, as languages of very many bytes do."""
+        for table in self.tables:
+            table.direct = value
+
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """The exact code length of each text in each language, in units."""
-        total = np.zeros((len(texts), len(self.languages)), np.int64)
+        total = np.zeros((len(self.tables), len(texts)), np.int64)
         pad = bytes(self.order)
         sizes = np.array([len(t) + self.order for t in texts], np.int64)
         flat = np.frombuffer(b"".join(part for t in texts for part in (pad, t)), np.uint8)
-        codes = self.code_of[flat]
         begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         own = np.repeat(np.arange(len(texts)), sizes)
         is_pad = np.zeros(len(flat), bool)
         for k in range(self.order):
             is_pad[begins + k] = True
-        codes[is_pad] = BEFORE
         for a in range(0, len(flat), BLOCK):
             lead = min(self.order, a)
-            rows = self.rows_of(codes[a - lead : a + BLOCK])[lead:]
             use = ~is_pad[a : a + BLOCK]
-            rows, owner = rows[use], own[a : a + BLOCK][use]
-            if len(rows):
-                starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-                total[owner[starts]] += np.add.reduceat(self.lengths[rows], starts, axis=0, dtype=np.int64)
-        return total
+            owner = own[a : a + BLOCK][use]
+            if not len(owner):
+                continue
+            starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+            for sums, table in zip(total, self.tables):
+                codes = np.where(is_pad[a - lead : a + BLOCK], BEFORE, table.code_of[flat[a - lead : a + BLOCK]])
+                sums[owner[starts]] += np.add.reduceat(table.lengths[table.rows_of(codes)[lead:][use]], starts, dtype=np.int64)
+        return total.T
 
 
 def gather_counts(sample: DataFrame, order: int) -> DataFrame:
@@ -132,10 +151,14 @@ def grams_of(text: bytes, order: int) -> np.ndarray:
 
 
 def build_model(lang: np.ndarray, gram: np.ndarray, times: np.ndarray, order: int) -> LanguageModel:
-    """Flatten the context trees of all languages into one table of code lengths."""
+    """Flatten the context trees of all languages."""
     languages = sorted(set(lang.tolist()))
-    number = np.searchsorted(np.array(languages), lang) if languages else np.zeros(0, np.int64)
-    digits = np.stack([gram // 257 ** (order - k) % 257 for k in range(order + 1)], axis=1).astype(np.int64) if len(gram) else np.zeros((0, order + 1), np.int64)
+    return LanguageModel(languages, order, [context_table(gram[lang == one], times[lang == one], order) for one in languages])
+
+
+def context_table(gram: np.ndarray, times: np.ndarray, order: int) -> ContextTable:
+    """The code lengths of one language."""
+    digits = np.stack([gram // 257 ** (order - k) % 257 for k in range(order + 1)], axis=1).astype(np.int64)
     used = np.unique(digits[:, -1])  # byte + 1
     # symbol 0: before the text, symbol 1: any byte the sample doesn't have
     symbols = len(used) + 2
@@ -154,34 +177,29 @@ def build_model(lang: np.ndarray, gram: np.ndarray, times: np.ndarray, order: in
         contexts.append(np.unique(history))
         first.append(n_nodes)
         n_nodes += len(contexts[-1])
-    lengths = np.empty((n_nodes, symbols, len(languages)), np.int32)
-    for k in range(len(languages)):
-        own = number == k
-        chances = np.tile(width / 256, (1, 1))  # of one context: the empty one before any byte
-        below = None
-        for size in range(order + 1):
-            nodes = contexts[size]
-            if size == 0:
-                parent = chances
-            else:  # a context's next shorter one is its history without the oldest byte
-                parent = below[np.searchsorted(contexts[size - 1], nodes % symbols ** (size - 1))]
-            at = np.searchsorted(nodes, histories[size][own])
-            counts = np.zeros((len(nodes), symbols))
-            np.add.at(counts, (at, digits[own, order]), times[own])
-            seen = counts > 0
-            kinds, total = seen.sum(axis=1, keepdims=True), counts.sum(axis=1, keepdims=True)
-            rest = np.where(seen, 0, parent)
-            left = rest.sum(axis=1, keepdims=True)
-            # nothing seen: no escape to pay; nothing left below: no escape possible
-            escape = np.where(total == 0, 1.0, np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0.0))
-            share = np.where(seen, counts / np.maximum(total, 1) * (1 - escape), 0)
-            below = share + escape * rest / np.where(left > 0, left, 1)
-            bits = -np.log2(np.maximum(below, 2.0**-60) / np.maximum(width, 1))
-            lengths[first[size] : first[size] + len(nodes), :, k] = np.rint(bits * UNIT)
-    model = LanguageModel(languages, order, code_of, symbols, contexts, first, None, lengths.reshape(n_nodes * symbols, len(languages)))
+    lengths = np.empty((n_nodes, symbols), np.int32)
+    below = np.tile(width / 256, (1, 1))  # of one context: the empty one before any byte
+    for size in range(order + 1):
+        nodes = contexts[size]
+        # a context's next shorter one is its history without the oldest byte
+        parent = below[np.searchsorted(contexts[size - 1], nodes % symbols ** (size - 1))] if size else below
+        at = np.searchsorted(nodes, histories[size])
+        counts = np.zeros((len(nodes), symbols))
+        np.add.at(counts, (at, digits[:, order]), times)
+        seen = counts > 0
+        kinds, total = seen.sum(axis=1, keepdims=True), counts.sum(axis=1, keepdims=True)
+        rest = np.where(seen, 0, parent)
+        left = rest.sum(axis=1, keepdims=True)
+        # nothing left below: no escape possible
+        escape = np.where(left > 0, kinds / (total + kinds), 0.0)
+        share = counts / total * (1 - escape)
+        below = share + escape * rest / np.where(left > 0, left, 1)
+        bits = -np.log2(np.maximum(below, 2.0**-60) / np.maximum(width, 1))
+        lengths[first[size] : first[size] + len(nodes)] = np.rint(bits * UNIT)
+    table = ContextTable(order, code_of, symbols, contexts, first, None, lengths.reshape(-1))
     if symbols**order <= 1 << 24:
-        model.direct = model.longest(np.arange(symbols**order, dtype=np.int64)).astype(np.int32)
-    return model
+        table.direct = table.longest(np.arange(symbols**order, dtype=np.int64)).astype(np.int32)
+    return table
 
 
 def has_letter(text: str) -> bool:
