@@ -128,6 +128,45 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return shared_conversations(table(spark, folder, "conversations"))
 
 
+ORACLES["op11_prefix_trie"] = """
+with turns as (
+    select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+           coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null
+), sizes as (
+    select c, max(pos) as n,
+           xor(list_reduce([4294967295] || list_transform(string_split(cast(c as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+               lambda crc, byte: list_reduce([xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda r, i: xor(r >> 1, (r & 1) * 3988292384))), 4294967295) % 9 as h
+    from turns group by c
+), made as (
+    select s.c, pos - h + least(h, coalesce((select n from sizes b where b.c = s.c - s.c % 5), 0)) as depth, role, text
+    from turns join sizes s using (c) where pos > h
+    union all
+    select s.c, pos, role, text from sizes s join turns t on t.c = s.c - s.c % 5 where pos <= h
+), whole as (
+    select sizes.c, coalesce(list({'role': role, 'text': text} order by depth) filter (where depth is not null), []) as turns from sizes left join made using (c) group by sizes.c
+), prefixes as (
+    select c, d, turns[1:d] as prefix, len(turns) as n from whole, lateral (select unnest(range(0, len(turns) + 1)) as d)
+), nodes as (
+    select prefix, d, min(c) as conv_id, count(*) as n_convs, coalesce(strlen(prefix[d].text), 0) as bytes,
+           sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where n = d), '')) as ends_sha256
+    from prefixes group by prefix, d
+), ways as (
+    select c, d, nodes.conv_id as node from prefixes join nodes using (prefix, d)
+), tree as (
+    select nodes.*, up.node as parent from nodes left join ways up on up.c = nodes.conv_id and up.d = nodes.d - 1
+), children as (
+    select parent, d - 1 as d, count(*) as n from tree where parent is not null group by all
+), known as (
+    select tree.*, coalesce(children.n, 0) as n_children from tree left join children on children.parent = tree.conv_id and children.d = tree.d
+), totals as (
+    select ways.node, ways.d, count(case when n_children = 0 then 1 end) as n_leaves, cast(sum((n_convs - 1) * bytes) as bigint) as saved_tokens
+    from known join ways on ways.c = known.conv_id and ways.d <= known.d group by all
+)
+select conv_id, cast(known.d as bigint) as depth, parent as parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+from known join totals on totals.node = known.conv_id and totals.d = known.d"""
+
+
 @query
 def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharded_documents(table(spark, folder, "documents"))
