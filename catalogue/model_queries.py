@@ -128,6 +128,48 @@ def rf_auc(fx: Fixture) -> DataFrame:
     return _lang_importances(fx, False)[1].select("set", F.round("auc", 3).alias("auc"))
 
 
+# Forests that may try every feature at every split find the label's rule in each tree. So every importance is known: no
+# other feature has any, and moving the deciding one gives a row the label of the row that its value comes from.
+_RANKED = held_sql("b_lang", "doc_id", "target") | {
+    "held_out": "select target, md5(concat('5|', cast(doc_id as varchar))) as h from parted where split = 'holdout'",
+    "dealt": "select *, cast(concat('0x', substr(h, 1, 8)) as bigint) % greatest(1, cast(ceil((select count(*) from held_out) / 1024e0) as bigint)) as g from held_out",
+    "stood": "select *, row_number() over (partition by g order by h) - 1 as i, count(*) over (partition by g) as c from dealt",
+    "moved": "select count(case when s.target <> p.target then 1 end) * 1e0 / count(*) as loss from stood p join stood s on s.g = p.g and s.i = "
+             f"(p.i + case when p.c > 1 then 1 + ({FEATURES_B.index('lang')} * 7919) % (p.c - 1) else 0 end) % p.c",
+    "ranked": "select feature, case when feature = 'lang' then (select loss from moved) else 0e0 end as importance from (values " +
+              ", ".join(f"('{name}')" for name in FEATURES_B) + ") as f(feature)",
+}
+
+
+def _whole_forest(fx: Fixture, permutation: bool) -> tuple[DataFrame, DataFrame]:
+    ready, _ = _ready_lang(fx)
+    return forest.feature_importances(_part(ready, "train"), _part(ready, "holdout"), FEATURES_B, "target", "doc_id",
+                                      permutation=permutation, seed=SEED, trees=TREES, max_features=1.0)
+
+
+@query("select feature, case when feature = 'lang' then 1e0 else 0e0 end as importance from (values " + ", ".join(f"('{name}')" for name in FEATURES_B) + ") as f(feature)")
+def rf_importance_rows(fx: Fixture) -> DataFrame:
+    """The impurity importance of every feature."""
+    return _whole_forest(fx, False)[0].select("feature", F.round("importance", 8).alias("importance"))
+
+
+@query(with_views("select feature, round(importance, 8) as importance from ranked", "b_lang", extra=_RANKED))
+def rf_permutation_rows(fx: Fixture) -> DataFrame:
+    """The permutation importance of every feature, from a forest's own arrays."""
+    return _whole_forest(fx, True)[0].select("feature", F.round("importance", 8).alias("importance"))
+
+
+@query(with_views("select feature, round(importance, 8) as importance, cast(importance > 0.0005e0 as int) as chosen from ranked", "b_lang", extra=_RANKED))
+def select_ranking(fx: Fixture) -> DataFrame:
+    """The ranking of a selection that drops nothing before it, and the registry it saved, read back."""
+    settings = SelectSettings(target="target", id_column="doc_id", missing_threshold=1.0, disbalance_threshold=1.0, collinear_threshold=1.0, seed=SEED,
+                              forest={"trees": TREES, "max_features": 1.0})
+    path = fresh_path(fx.spark, "top")
+    found = select(fx["b_lang"], fx.registry_b(), fx, settings, path).importances
+    chosen = registry.load_registry(fx.spark, path).select("feature", F.lit(1).alias("chosen"))
+    return found.join(chosen, "feature", "left").select("feature", F.round("importance", 8).alias("importance"), F.coalesce("chosen", F.lit(0)).alias("chosen"))
+
+
 @query("select cast(trial as integer) as trial, 1 as in_ranges, 1 as is_area from (select unnest(range(0, 4)) as trial)")
 def gbt_search(fx: Fixture) -> DataFrame:
     """As many trials as asked for, each with parameters inside their ranges and an area."""
