@@ -37,7 +37,8 @@ from lift.llm.wide import column_pair, quantised
 from lift.sources.shared import materialise
 
 BLOCK_ROWS = 1 << 16
-GROUP_QUERIES = 256
+#: Queries that are asked of one copy of a block; and the fewest, if only few blocks are there to keep the cores busy.
+GROUP_QUERIES, LEAST_QUERIES = 1 << 14, 256
 #: Sizes of integers and numbers of components whose scores fit in 64 bits.
 LARGEST, LARGEST_DIMS = float(1 << 24), 1 << 12
 #: Rows of a block of huge vectors, which have some thousand bitmaps per component.
@@ -173,14 +174,17 @@ def matrix(rows: pa.Table, dims: int, scale: int) -> np.ndarray:
 
 def search_block(dims: int, huge: bool, index: pa.Table, queries: pa.Table, k: int, scale: int) -> pa.Table:
     rows = index.select(PARTS).to_pylist()
-    out: list[dict] = []
+    out: list[tuple[np.ndarray, np.ndarray, list]] = []
     if rows:
         block = BitSlices.from_bytes(*[rows[0][part] for part in PARTS], huge=huge)
         for asked in (queries.filter(queries["huge"]), queries.filter(pa.compute.invert(queries["huge"]))):
             for query, vector in zip(asked["id"].to_pylist(), matrix(asked, dims, scale)):
-                for found, score in zip(*[x.tolist() for x in block.best(vector, query, k)]):
-                    out.append(dict(zip(FOUND.names, (query, found, *column_pair(score)))))
-    return pa.Table.from_pylist(out, FOUND)
+                found, score = block.best(vector, query, k)
+                pairs = [column_pair(x) for x in score.tolist()] if score.dtype == object else list(zip(score.tolist(), [None] * len(score)))
+                out.append((np.full(len(found), query, np.int64), found, pairs))
+    pairs = [pair for *_, some in out for pair in some]
+    columns = [np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in (0, 1)]
+    return pa.Table.from_arrays([*map(pa.array, columns), pa.array([x for x, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.binary())], schema=FOUND)
 
 
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("wide", pa.binary())])
@@ -190,9 +194,11 @@ def top_k(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: st
     """``(query_id, rank, vec_id, score)``: the best rows for each row where ``queries`` holds (a condition on ``id``)."""
     rows = materialise(quantise(df, id_col, vector_col, scale), "topk-rows")
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("huge"), 1)).alias("huge"), F.count(F.when(queries, 1)).alias("q")).first()
-    groups, own, numbers = -(-counts["q"] // GROUP_QUERIES) or 1, F.xxhash64("id"), lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    own, numbers = F.xxhash64("id"), lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
     # blocks of huge vectors are numbered behind the others
     blocks, behind = -(-(counts["n"] - counts["huge"]) // BLOCK_ROWS) or 1, -(-counts["huge"] // HUGE_ROWS)
+    wanted = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-counts["q"] // LEAST_QUERIES))
+    groups = max(-(-counts["q"] // GROUP_QUERIES), -(-wanted // (blocks + behind)), 1)
     block = F.when(F.col("huge"), F.pmod(own, F.lit(max(behind, 1))) + blocks).otherwise(F.pmod(own, F.lit(blocks)))
 
     def packed(key: tuple, part: pa.Table) -> pa.Table:
