@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +135,67 @@ def test_telling_terms_are_found_and_common_ones_are_not(spark):
     assert all(clean[i] == text for i, text in rows if i % 40)
 
 
+def plain_terms(texts, reach=8, support=3, generalise=0.8, remove=0.95):
+    """``{text number: {(start, end, action, disclosure)}}``, all counts by loops over words."""
+    counted, beside, rest = set(), set(), []  # (entity, passage, word); (entity, passage); words apart from entities
+    mentioned = []
+    for i, text in enumerate(texts):
+        words, spans = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", text)], sorted((a, b) for _, a, b in base_spans(text))
+        free = [(a, b) for a, b in words if not any(a < y and x < b for x, y in spans)]
+        taken = set()
+        for _, x, y in base_spans(text):
+            inside = [(a, b) for a, b in words if x <= a and b <= y]
+            close = [w for w in words if w[1] <= x][-reach:] + [w for w in words if w[0] >= y][:reach]
+            close = [w for w in close if w in free]
+            passage = " ".join(text[a:b].lower() for a, b in close)
+            for w in close:
+                mentioned.append((i, *w, text[w[0]:w[1]].lower(), text[x:y], passage))
+                beside.add((text[x:y], passage))
+            for w in [*inside, *close]:
+                if w not in taken:
+                    taken.add(w)
+                    counted.add((text[x:y], passage, text[w[0]:w[1]].lower()))
+        rest += [text[a:b].lower() for a, b in words if (a, b) not in taken and not any(a < y and x < b for x, y in spans)]
+    times = Counter(rest) + Counter(word for *_, word in counted)
+    total = sum(times.values())
+    pairs = Counter((word, entity) for word, entity, _ in {(m[3], m[4], m[5]) for m in mentioned})
+    entities = Counter(entity for entity, _ in beside)
+    found = {}
+    for i, a, b, word, entity, _ in mentioned:
+        n, n_entity = pairs[word, entity], entities[entity]
+        p = lambda k: k * 2 * reach / total
+        if n >= support and p(n_entity) < 1:
+            told = math.log2(p(n) / (p(max(times[word], n)) * p(n_entity))) / -math.log2(p(n_entity))
+            if told >= generalise:
+                found.setdefault(i, {})[a, b] = max(told, found.get(i, {}).get((a, b), told))
+    return {i: {(a, b, "remove" if t >= remove else "generalise", round(t, 9)) for (a, b), t in spans.items()} for i, spans in found.items()}
+
+
+def test_terms_equal_plain_version(spark):
+    rng = random.Random(6)
+    common = [f"w{a}{b}" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"]
+    entities = ["x.y@mail.example.com", "10.20.30.40", "+49 30 1234567", "ann@b.example.org", "4539 5787 6362 1486"]
+    texts = []
+    for i in range(500):
+        words = [rng.choice(common) for _ in range(rng.randint(25, 70))]
+        if i % 9 == 0:
+            who = rng.randrange(len(entities))
+            words.insert(12, entities[who])
+            words[8:8] = [f"close{'abcde'[who]}"] * (rng.random() < 0.8) + [rng.choice(["often", "rarely", "never"])] * (rng.random() < 0.5)
+            if i % 2:
+                words.insert(rng.randrange(len(words)), entities[rng.randrange(len(entities))])
+        if i % 4 == 0:
+            words.append("often")
+        if i % 70 == 1:
+            words.append("closea")
+        texts.append(" ".join(words))
+    assert len(set(texts)) == len(texts)
+    found = find_all(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    got = {r["id"]: {(t["start"], t["end"], t["action"], round(t["disclosure"], 9)) for t in r["terms"]} for r in found if r["terms"]}
+    want = plain_terms(texts)
+    assert got == want and {a for some in want.values() for *_, a, _ in some} == {"remove", "generalise"}
+
+
 @pytest.mark.parametrize("whole", [True, False])
 def test_copies_of_passages_hide_no_telling_term(spark, whole):
     """Documents copied a thousand times, and passages copied into a thousand documents."""
