@@ -87,7 +87,16 @@ class Survey:
     means: dict[str, float | None]
 
 
-_LOWEST = 1e-3  # below this threshold a sketch would be as large as the full count
+#: Items that a sketch tracks, and the most passes over the table, each with sketches of a share of the values.
+_TRACKED, _MOST_PASSES = 80_000, 128
+#: Values of a feature that are counted by an expression each; more are counted as rows of a join.
+_FEW = 16
+
+
+def _passes(threshold: float) -> int:
+    """Passes whose sketches, together, tell shares of a tenth of the threshold; 0 if that takes too many."""
+    needed = math.ceil(80 / threshold / _TRACKED - 1e-9) if threshold > 80 / _TRACKED / (_MOST_PASSES + 1) else 0
+    return needed if needed <= _MOST_PASSES else 0
 
 
 def _comparable(df: DataFrame, features: Sequence[str]) -> dict[str, Column]:
@@ -95,12 +104,23 @@ def _comparable(df: DataFrame, features: Sequence[str]) -> dict[str, Column]:
     return {name: _compared(name, kind) + F.lit(0.0) if kind == "double" else _compared(name, kind) for kind, names in _by_kind(df, features) for name in names}
 
 
+def _sketches(features: Sequence[str], threshold: float, part: int, passes: int) -> list[Column]:
+    """The frequent values among those whose hash falls to this pass."""
+    slack = threshold / 10
+    few = math.ceil(1 / (threshold - slack)) + 1  # NULL may take one place
+    tracked = min(_TRACKED, math.ceil(8 / slack))
+    own = lambda name: f"if(pmod(xxhash64({name}), {passes}) = {part}, {name}, null)" if passes > 1 else name
+    return [F.expr(f"approx_top_k({own(f'f{i}')}, {min(few, tracked)}, {tracked})").alias(f"t{i}") for i in range(len(features))]
+
+
 def survey(df: DataFrame, features: Sequence[str], threshold: float | None = None) -> Survey:
-    """Counts, means and frequent values of all features in one pass, nothing shuffled but one row per task.
+    """Counts, means and frequent values of all features, nothing shuffled but one row per task.
 
     A sketch of frequent items whose error stays within a thirtieth of the
     threshold misses no value above it; the few it names beside those are
-    weeded out by an exact count.
+    weeded out by an exact count. One pass serves thresholds down to a thousandth. Below, the values are divided by
+    hash, and each pass has sketches for one share of them; a value that makes its share too large for the
+    sketch is far above the threshold itself, and is what is asked for.
     """
     features = list(features)
     place = {name: i for i, name in enumerate(features)}
@@ -111,26 +131,33 @@ def survey(df: DataFrame, features: Sequence[str], threshold: float | None = Non
     )
     aggregates = [F.count(F.lit(1)).alias("rows"), *[F.count(f"f{i}").alias(f"c{i}") for i in range(len(features))]]
     aggregates += [F.avg(f"d{place[name]}").alias(f"m{place[name]}") for name in numbers]
-    if threshold is not None:
-        slack = threshold / 10
-        few = math.ceil(1 / (threshold - slack)) + 1  # NULL may take one place
-        tracked = math.ceil(8 / slack)
-        aggregates += [F.expr(f"approx_top_k(f{i}, {few}, {tracked})").alias(f"t{i}") for i in range(len(features))]
-    row = typed.agg(*aggregates).first().asDict()
-    frequent = {
-        name: [entry["item"] for entry in row.get(f"t{i}") or [] if entry["item"] is not None and entry["count"] > 0.9 * threshold * row["rows"]]
-        for i, name in enumerate(features)
-    }
-    return Survey(row["rows"], {name: row[f"c{i}"] for i, name in enumerate(features)}, frequent,
+    passes = 0 if threshold is None else _passes(threshold)
+    if threshold is not None and not passes:
+        raise ValueError(f"a threshold of {threshold} takes more than {_MOST_PASSES} passes")
+    row: dict = {}
+    frequent: dict[str, list[tuple]] = {name: [] for name in features}
+    for part in range(max(passes, 1)):
+        found = typed.agg(*([] if part else aggregates), *(_sketches(features, threshold, part, passes) if passes else [])).first().asDict()
+        row |= {name: value for name, value in found.items() if not name.startswith("t")}
+        for i, name in enumerate(features):
+            entries = [(entry["item"], entry["count"]) for entry in found.get(f"t{i}") or [] if entry["item"] is not None]
+            frequent[name] += [(item, n) for item, n in entries if n > 0.9 * threshold * row["rows"]]
+    return Survey(row["rows"], {name: row[f"c{i}"] for i, name in enumerate(features)}, {name: _leading(some, threshold, row["rows"]) for name, some in frequent.items()},
                   {name: row.get(f"m{i}") for i, name in enumerate(features)})
 
 
+def _leading(entries: list[tuple], threshold: float | None, rows: int) -> list:
+    """The values that can be the most frequent one, as far as the sketches tell; the best of them comes first."""
+    most = max((n for _, n in entries), default=0)
+    return [item for item, n in sorted(entries, key=lambda entry: -entry[1]) if n >= most - 0.2 * threshold * rows]
+
+
 def dominant_above(df: DataFrame, features: Sequence[str], threshold: float, seen: Survey | None = None) -> DataFrame:
     """AG2 as a filter: features whose dominant share is above ``threshold``, with the exact share.
 
-    A value above the threshold is among the frequent ones that a survey names
-    in one pass; a second pass counts those exactly. No row is shuffled. Tiny
-    thresholds go through the full count instead.
+    A value above the threshold is among the frequent ones that a survey names; one more pass
+    counts those exactly. No row is shuffled but for counts of named values. Only thresholds below some
+    hundred-thousandths, where nearly all values count, go through the full count.
     """
     spark = df.sparkSession
     features = list(features)
@@ -138,19 +165,27 @@ def dominant_above(df: DataFrame, features: Sequence[str], threshold: float, see
     if not features:
         return empty
     over = F.col("dominant_share") > F.lit(float(threshold))
-    if threshold < _LOWEST:
+    if not _passes(threshold):
         return dominant_share(df, features).where(over)
     seen = survey(df, features, threshold) if seen is None else seen
     values = _comparable(df, features)
-    found = [name for name in features if seen.frequent[name]]
-    if not found:
-        return empty
-    shares = []
-    for name in found:
-        each = [F.count(F.when(values[name] == F.lit(item), 1)) for item in seen.frequent[name]]
-        shares.append((F.greatest(*each) if len(each) > 1 else each[0]).cast("double") / F.count(F.lit(1)).cast("double"))
-    row = df.agg(*[share.alias(f"v{i}") for i, share in enumerate(shares)])
-    return _per_feature(row, found, "dominant_share").where(over)
+    found = [name for name in features if 0 < len(seen.frequent[name]) <= _FEW]
+    many = [name for name in features if len(seen.frequent[name]) > _FEW]
+    results = []
+    if found:
+        shares = []
+        for name in found:
+            each = [F.count(F.when(values[name] == F.lit(item), 1)) for item in seen.frequent[name]]
+            shares.append((F.greatest(*each) if len(each) > 1 else each[0]).cast("double") / F.count(F.lit(1)).cast("double"))
+        row = df.agg(*[share.alias(f"v{i}") for i, share in enumerate(shares)])
+        results.append(_per_feature(row, found, "dominant_share").where(over))
+    for kind, names in _by_kind(df, many):
+        # at most a value for each threshold's share of the rows, by feature
+        asked = spark.createDataFrame([(name, item) for name in names for item in seen.frequent[name]], f"feature string, value {kind}")
+        cells = df.select(F.inline(F.array(*[F.struct(F.lit(name).alias("feature"), values[name].alias("value")) for name in names])))
+        counted = cells.join(F.broadcast(asked), ["feature", "value"]).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        results.append(counted.groupBy("feature").agg((F.max("n").cast("double") / F.lit(float(max(seen.rows, 1)))).alias("dominant_share")).where(over))
+    return reduce(DataFrame.unionByName, results) if results else empty
 
 
 def correlation(df: DataFrame, features: Sequence[str], seen: Survey | None = None, block: int = 256) -> DataFrame:
@@ -238,7 +273,7 @@ def elimination_record(df: DataFrame, features: Sequence[str], *, missing: float
     for exact counts of frequent values, and for the correlations.
     """
     features = list(features)
-    seen = survey(df, features, dominant if dominant >= _LOWEST else None)
+    seen = survey(df, features, dominant if _passes(dominant) else None)
     shares = {name: (seen.rows - seen.present[name]) / seen.rows if seen.rows else 0.0 for name in features}
     rows = [("missing", name, share) for name, share in shares.items() if share > missing]
     left = [name for name in features if shares[name] <= missing]

@@ -42,6 +42,20 @@ def test_dominant_above_equals_the_full_count(spark):
         assert as_tuples(P.dominant_above(df, df.columns, threshold)) == as_tuples(full)
 
 
+def test_tiny_thresholds_take_several_passes(spark, monkeypatch):
+    """Down to a ten-thousandth, with as many candidates as there are values; shuffled rows are counts of candidates."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 7000 < 9, F.lit(-1)).otherwise(F.col("id")).alias("rare"), F.col("id").alias("distinct"), (F.col("id") % 5000).alias("even"),
+        F.when(F.col("id") % 10 < 4, F.lit(1.5)).otherwise(F.col("id") / 7).alias("heavy"), F.concat(F.lit("v"), (F.col("id") % 9001).cast("string")).alias("text"))
+    assert [P._passes(t) for t in (0.5, 0.001, 0.0001, 0.00001, 0.0)] == [1, 1, 10, 100, 0]
+    monkeypatch.setattr(P, "dominant_share", None)
+    for threshold, wanted in ((0.0001, {"rare", "heavy", "even", "text"}), (0.0011, {"rare", "heavy"})):
+        found = {r["feature"]: r["dominant_share"] for r in P.dominant_above(df, df.columns, threshold).collect()}
+        assert set(found) == wanted
+        assert found["heavy"] == 0.4 and found["rare"] == 81 / 60_000 and found.get("even", 0.0002) == 0.0002 and found.get("text", 7 / 60_000) == 7 / 60_000
+    assert P.dominant_above(df, ["distinct"], 0.0001).count() == 0
+
+
 def test_features_already_missing_are_not_counted_again(spark):
     df = spark.createDataFrame([(None,)] * 8 + [(1,)] * 2, "a int")
     assert as_tuples(P.elimination_record(df, ["a"], missing=0.7, dominant=0.1, collinear_above=0.9), "reason") == [("missing",)]
