@@ -239,12 +239,12 @@ def rolled_up_in_tasks(small: DataFrame, values: list[str]) -> DataFrame:
 def rolled_up(nodes: DataFrame, paths: DataFrame, values: list[str], most_nodes: int = NODES) -> DataFrame:
     """``(conv, depth, <value>)``: for every node the totals of ``values`` over its subtree.
 
-    ``nodes`` has ``(conv, depth, parent, weight)`` and the values: a node is known by its smallest conversation and
-    its depth, its parent by ``parent`` and one depth less; ``weight`` is the number of turns at or below it. ``paths`` has
-    ``(conv, depth, node)``: the smallest conversation of the node that ``conv`` is at after ``depth`` turns.
+    ``nodes`` has ``(conv, depth, parent, weight, top_conv, top_depth)`` and the values: a node is known by its smallest
+    conversation and its depth, its parent by ``parent`` and one depth less; ``weight`` is the number of turns at or below
+    it; the last two name its tree's root. ``paths`` has ``(conv, depth, node, parent)``: the smallest conversations of the node that
+    ``conv`` is at after ``depth`` turns, and of that node's parent.
     """
-    top = nodes.agg(F.min(F.struct("depth", "conv")).alias("top")).first()["top"]
-    current = nodes.withColumns({"top_conv": F.lit(top["conv"]).cast("long"), "top_depth": F.lit(top["depth"]).cast("long")})
+    current = nodes
     component = ["top_conv", "top_depth"]
     shares: list[DataFrame] = []  # what each round adds to which nodes
 
@@ -299,6 +299,7 @@ def prefix_trie(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     nodes = rows.groupBy("depth", "node").agg(
         F.min("conv").alias("rep"), F.count(F.lit(1)).alias("n_convs"), F.first("bytes").alias("bytes"), F.sum(F.col("length") - F.col("depth") + 1).alias("weight"))
     nodes = materialise(nodes, "trie-nodes")
+    root = nodes.agg(F.min("rep").alias("rep")).first()["rep"]
     names = nodes.select(F.col("depth").alias("d"), F.col("node").alias("key"), "rep")
     paths = rows.select("conv", "depth", "node").join(names, (F.col("depth") == F.col("d")) & (F.col("node") == F.col("key")))
     paths = paths.select("conv", "depth", F.col("rep").alias("node"))
@@ -311,12 +312,15 @@ def prefix_trie(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     children = paths.where("node = conv and parent is not null").groupBy(F.col("parent").alias("conv"), (F.col("depth") - 1).alias("depth")).agg(
         F.count(F.lit(1)).alias("n_children"))
     tree = tree.join(children, ["conv", "depth"], "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
-    tree = tree.withColumns({"n_leaves": (F.col("n_children") == 0).cast("long"), "saved_tokens": (F.col("n_convs") - 1) * F.col("bytes")})
+    tree = tree.withColumns({
+        "top_conv": F.lit(root).cast("long"), "top_depth": F.lit(0).cast("long"),
+        "n_leaves": (F.col("n_children") == 0).cast("long"), "saved_tokens": (F.col("n_convs") - 1) * F.col("bytes")})
     tree = materialise(tree, "trie-tree")
     if tree.isEmpty():
         return tree.select(F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
                            "saved_tokens", F.lit("").alias("ends_sha256"))
-    totals = rolled_up(tree.select("conv", "depth", "parent", "weight", "n_leaves", "saved_tokens"), paths, ["n_leaves", "saved_tokens"], most_nodes)
+    summed = ["n_leaves", "saved_tokens"]
+    totals = rolled_up(tree.select("conv", "depth", "parent", "weight", "top_conv", "top_depth", *summed), paths, summed, most_nodes)
     ends = end_digests(rows.where("depth = length").select(F.concat(F.lpad(F.hex("depth"), 16, "0").cast("binary"), "node").alias("node"), "conv"))
     ends = ends.withColumnRenamed("node", "end_node")
     key = F.concat(F.lpad(F.hex("depth"), 16, "0").cast("binary"), "node")
