@@ -92,6 +92,7 @@ class SortedLists:
     def met(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int | None]]:
         """Runs of rows not met before, their scores, and the threshold after each (none at the end)."""
         n, seen = len(self.ids), np.zeros(len(self.ids), bool)
+        wide = self.values.dtype == object or anchor.dtype == object
         up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
         if not len(up) and not len(down):  # every score is 0
             yield np.arange(n), np.zeros(n, np.int64), None
@@ -104,11 +105,13 @@ class SortedLists:
             new[entries] = True
             rows = np.flatnonzero(new & ~seen)
             seen |= new
-            wide = self.values.dtype == object or anchor.dtype == object
             ends = np.concatenate((self.sizes[up, n - to], self.sizes[down, to - 1]))
             weights = np.concatenate((anchor[up], anchor[down]))
             threshold = sum(int(a) * int(b) for a, b in zip(ends, weights)) if wide else int(ends @ weights)
-            yield rows, self.score(rows, anchor), threshold if to < n else None
+            done = to == n or seen.all()
+            yield rows, self.score(rows, anchor), None if done else threshold
+            if done:
+                return
             at, run = to, 2 * run
 
     def first(self, scores: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
