@@ -371,7 +371,8 @@ def parts(items: DataFrame, item_col: str, item_text: str, similarity: float, re
             yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("text"), pa.array([n for n, _ in found], pa.int32()),
                                               pa.array([share for _, share in found], pa.float64())], ["item", "text", "repeats", "recall"])
 
-    spread = rows.repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), "item", "text")
+    # dealt out by turns: the partitioning of the distinct rows would be kept, and its small partitions made one
+    spread = rows.repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = materialise(spread.mapInArrow(measure, f"item {type_of(items, item_col)}, text string, repeats int, recall double"), "benchmark")
     size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     count = -(-size // PART_BYTES)
