@@ -41,7 +41,9 @@ from lift.sources.shared import materialise
 BLOCK_VALUES, LEAST_ROWS, GROUP_ANCHORS = 1 << 20, 2048, 1 << 16
 #: Sizes and dimensions whose inner products fit in 64 bits; the rest is reckoned in whole Python numbers.
 NARROW, NARROW_DIMS = float(1 << 24), 1 << 14
-RUN = 8
+RUN = 32
+#: Rows of one product with an anchor; larger ones wake the threads of the linear algebra, which costs more than it saves.
+PRODUCT_ROWS = 4096
 FOUND = "anchor_id long, positive_id long, id long, score long, wide binary"
 FOUND_ARROW = pa.schema([("anchor_id", pa.int64()), ("positive_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64()), ("wide", pa.binary())])
 
@@ -82,7 +84,7 @@ class SortedLists:
         self.largest = 0 if values.dtype == object or not values.size else int(np.abs(values).max())
         self.floats = self.values.astype(np.float64) if self.largest <= NARROW and values.dtype != object else None
 
-    def score(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    def score(self, rows: np.ndarray | slice, anchor: np.ndarray) -> np.ndarray:
         if self.floats is None or anchor.dtype == object:
             return (self.values[rows].astype(object) * anchor.astype(object)).sum(axis=1) if anchor.size else np.zeros(len(rows), object)
         if self.largest * int(np.abs(anchor).sum()) < 1 << 53:  # the products are whole numbers that doubles hold
@@ -90,8 +92,11 @@ class SortedLists:
         return self.values[rows] @ anchor
 
     def met(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int | None]]:
-        """Runs of rows not met before, their scores, and the threshold after each (none at the end)."""
-        n, seen = len(self.ids), np.zeros(len(self.ids), bool)
+        """Runs of rows not met before, their scores, and the threshold after each (none at the end).
+
+        Once a run meets much of the block, one product scores all rows, which costs less than copying those met.
+        """
+        n, seen, whole = len(self.ids), np.zeros(len(self.ids), bool), None
         wide = self.values.dtype == object or anchor.dtype == object
         up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
         if not len(up) and not len(down):  # every score is 0
@@ -109,7 +114,9 @@ class SortedLists:
             weights = np.concatenate((anchor[up], anchor[down]))
             threshold = sum(int(a) * int(b) for a, b in zip(ends, weights)) if wide else int(ends @ weights)
             done = to == n or seen.all()
-            yield rows, self.score(rows, anchor), None if done else threshold
+            if whole is None and not wide and 4 * len(rows) > n:
+                whole = np.concatenate([self.score(slice(a, a + PRODUCT_ROWS), anchor) for a in range(0, n, PRODUCT_ROWS)])
+            yield rows, self.score(rows, anchor) if whole is None else whole[rows], None if done else threshold
             if done:
                 return
             at, run = to, 2 * run
@@ -127,11 +134,20 @@ class SortedLists:
 
     def best(self, anchor: np.ndarray, fit: np.ndarray, windows: list[tuple[int | None, int | None]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each window ``(low, high)`` of a hundredfold score, the best ``k`` rows among ``fit``, as scores and ids."""
-        kept = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
-        open_windows = set(range(len(windows)))
+        none = np.zeros(0, np.int64)
+        kept, open_windows, met = [(none, none) for _ in windows], set(range(len(windows))), []
+        most, lowest = None, max((low for low, _ in windows if low is not None), default=None)
         for rows, scores, threshold in self.met(anchor):
             mine = fit[rows]
             rows, scores = rows[mine], scores[mine]
+            met.append((scores, rows))
+            if len(scores):
+                most = scores.max() if most is None else max(most, scores.max())
+            # windows close only when the threshold is below a score that was met, or below a lower end
+            if threshold is not None and (most is None or threshold >= most) and (lowest is None or 100 * threshold >= lowest):
+                continue
+            met = [tuple(np.concatenate(some) for some in zip(*met))]
+            scores, rows = met[0]
             for w in list(open_windows):
                 low, high = windows[w]
                 inside = np.ones(len(rows), bool)
@@ -139,9 +155,7 @@ class SortedLists:
                     inside &= (scores >= -(-low // 100)).astype(bool)
                 if high is not None:
                     inside &= (scores <= high // 100).astype(bool)
-                if inside.any():
-                    before = kept[w]
-                    kept[w] = self.first(np.concatenate((before[0], scores[inside])), np.concatenate((before[1], rows[inside])), k)
+                kept[w] = self.first(scores[inside], rows[inside], k)
                 found = kept[w][0]
                 full = len(found) == k and threshold is not None and threshold < found[-1]
                 if full or (low is not None and threshold is not None and 100 * threshold < low):

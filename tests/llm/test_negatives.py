@@ -73,6 +73,22 @@ def test_reading_stops_before_the_end():
     assert sum(read) < 2000
 
 
+def test_windows_are_filled_once_all_rows_are_met():
+    """Scores that stay below the threshold until then are not sorted run by run."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = rng.integers(-256, 256, (9000, 64))
+    lists, first, calls = module.SortedLists(np.arange(9000), np.zeros(9000, np.int64), values), module.SortedLists.first, []
+    lists.first = lambda *of: calls.append(1) or first(lists, *of)
+    scores = values @ values[0]
+    windows = [(50 * top, 95 * top) for top in (200_000, 300_000, 400_000)]
+    found = lists.best(values[0], np.ones(9000, bool), windows, 3)
+    want = [sorted((-int(s), i) for i, s in enumerate(scores) if low <= 100 * s <= high)[:3] for low, high in windows]
+    assert [[(-s, i) for s, i in zip(a.tolist(), b.tolist())] for a, b in found] == want
+    assert len(calls) == len(windows)
+
+
 def test_huge_components_are_exact(spark):
     rng = random.Random(4)
     size = [1.0, 2e7, 3e9, 1e300]
