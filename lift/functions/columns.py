@@ -92,16 +92,16 @@ def free_of(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns {', '.join(sorted(taken))} are added here and exist already")
 
 
-def in_training_order(df: DataFrame, *keys: Column) -> DataFrame:
+def in_training_order(df: DataFrame, *keys: Column, most: int | None = None) -> DataFrame:
     """``df`` on a fixed number of partitions in a fixed order, as a tree fit depends on both.
 
     Rows are dealt out by a hash of ``keys``, or of all columns without any, and
     sorted. The number of partitions is the session's
     ``spark.sql.shuffle.partitions``: a setting made for the data, and not the
     cores that happen to be there. So the same rows give the same model however
-    they were stored.
+    they were stored. With ``most`` there are no more partitions than that.
     """
     columns = [named(name) for name in df.columns]
     mixed = F.xxhash64(*(keys or columns))
     pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(pieces, mixed).sortWithinPartitions(mixed, *columns)
+    return df.repartition(pieces if most is None else min(pieces, most), mixed).sortWithinPartitions(mixed, *columns)

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lift.functions.columns import hash_order, in_training_order, label_of, named, probability_of_one
 from lift.operators.evaluate import roc_auc, score_counts, top_importances
 from lift.operators.registry import convert_features
 from lift.operators.trees import flat_forest, moved_outcomes
-from lift.sources.shared import materialise
+from lift.sources.shared import fresh_path, materialise
 
 GROUP_ROWS = 1024
+#: Every partition counts every node of a level, so a fit has no more than it takes to give each this many rows, or this few.
+PIECE_ROWS, FEW_PIECES = 1 << 16, 8
+#: Trees of one fit, which holds two numbers for each of its trees beside every row.
+TREES_AT_ONCE = 50
 #: Feature ``f`` is taken from this many times ``f`` places on, within the size of the group.
 _SHIFT = 7919
 # Columns that the models add; no feature has such a name.
@@ -42,20 +47,46 @@ def fit_forest(train: DataFrame, features: Sequence[str], target: str, *, trees:
     Depth is bounded because every level is a pass over the data; ``memory_mb``
     sets how many nodes one pass may grow. ``max_features`` is the share of the
     features tried at each split, rounded down, or one of Spark's strategies.
-    With ``id_column`` equal rows are dealt out evenly as well.
+    With ``id_column`` equal rows are dealt out evenly as well. Many trees are
+    fitted some at a time, each time with another seed, so that what a fit holds
+    beside the rows doesn't grow with them.
     """
     tried = max_features if isinstance(max_features, str) else max(1, int(max_features * len(features)))
-    forest = RandomForestClassifier(
-        featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, probabilityCol=PROBABILITY, rawPredictionCol=RAW, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
-        featureSubsetStrategy=str(tried), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
-    )
     keys = [] if id_column is None else [F.col(KEY)]
     ids = [] if id_column is None else [named(id_column).alias(KEY)]
-    rows = in_training_order(train.select(label_of(target).alias(LABEL), *ids, *[named(name) for name in features]), *keys)
-    model = Pipeline(stages=[*vector_stages(features), forest]).fit(rows)
+    pieces = max(FEW_PIECES, math.ceil(train.count() / PIECE_ROWS))
+    rows = in_training_order(train.select(label_of(target).alias(LABEL), *ids, *[named(name) for name in features]), *keys, most=pieces)
+
+    def fitted(trees: int, seed: int) -> PipelineModel:
+        forest = RandomForestClassifier(
+            featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, probabilityCol=PROBABILITY, rawPredictionCol=RAW, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
+            featureSubsetStrategy=str(tried), seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True,
+        )
+        return Pipeline(stages=[*vector_stages(features), forest]).fit(rows)
+
+    sizes = [min(TREES_AT_ONCE, trees - a) for a in range(0, trees, TREES_AT_ONCE)] or [trees]
+    models = [fitted(size, seed + i) for i, size in enumerate(sizes)]
+    model = models[0] if len(models) == 1 else PipelineModel([*models[0].stages[:-1], _one_forest(train.sparkSession, [m.stages[-1] for m in models])])
     return model.copy()  # a copy has no training summary, which would travel to every task that scores
 
 
+def _one_forest(spark: SparkSession, forests: Sequence[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """The trees of all ``forests`` as one forest, joined as saved models."""
+    whole, trees = fresh_path(spark, "forest"), 0
+    for forest in forests:
+        path = fresh_path(spark, "forest-part")
+        forest.write().save(path)
+        for part in ("data", "treesMetadata"):
+            rows = spark.read.parquet(f"{path}/{part}")
+            tree = rows.schema[0]
+            rows.withColumn(tree.name, (F.col(tree.name) + F.lit(trees)).cast(tree.dataType)).write.mode("append").parquet(f"{whole}/{part}")
+        trees += forest.getNumTrees
+    about = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    about["numTrees"] = about["paramMap"]["numTrees"] = trees
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{whole}/metadata")
+    return RandomForestClassificationModel.load(whole)
+
+
 def impurity_importance(model: PipelineModel, features: Sequence[str], df: DataFrame) -> DataFrame:
     """ML2: ``(feature, importance)`` from the forest itself; the importances sum to 1."""
     values = model.stages[-1].featureImportances.toArray()

@@ -29,46 +29,72 @@ class FlatForest:
     right: np.ndarray
     votes: np.ndarray  # class shares of the node's training rows, by class and node
 
-    def walk(self, x: np.ndarray, node: np.ndarray, row: np.ndarray, tested: np.ndarray | None = None) -> np.ndarray:
-        """The leaf that each pair of a node and a row of ``x`` ends in; ``tested`` takes a bit for every feature on the way."""
+    def walk(self, x: np.ndarray, node: np.ndarray, row: np.ndarray, z: np.ndarray | None = None, moved: np.ndarray | None = None) -> np.ndarray:
+        """The leaf that each pair of a node and a row of ``x`` ends in; with ``moved``, a feature for each pair, that one is taken from ``z``."""
         node, live = node.copy(), np.arange(len(node))
         while len(live):
-            f = self.feature[node[live]]
-            live, f = live[f >= 0], f[f >= 0]
-            if tested is not None:
-                tested[f // WORD, live] |= np.uint64(1) << (f % WORD).astype(np.uint64)
             at = node[live]
-            node[live] = np.where(x[row[live], f] <= self.threshold[at], self.left[at], self.right[at])
+            f = self.feature[at]
+            inner = np.flatnonzero(f >= 0)
+            live, at, f = live[inner], at[inner], f[inner]
+            value = x[row[live], f]
+            if moved is not None:
+                other = np.flatnonzero(moved[live] == f)
+                value[other] = z[row[live[other]], f[other]]
+            node[live] = np.where(value <= self.threshold[at], self.left[at], self.right[at])
         return node
 
+    def partings(self, x: np.ndarray, z: np.ndarray, node: np.ndarray, row: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The leaf of each pair, and where its way parts once a ``wanted`` feature is taken from ``z``: pairs, features and the nodes behind.
+
+        Up to the first test of the feature that falls out differently both ways are one; a way without such a test ends in the same leaf.
+        """
+        node, live = node.copy(), np.arange(len(node))
+        parted = np.zeros((-(-x.shape[1] // WORD), len(node)), np.uint64)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, self.left.dtype))]
+        while len(live):
+            at = node[live]
+            f = self.feature[at]
+            inner = np.flatnonzero(f >= 0)
+            live, at, f = live[inner], at[inner], f[inner]
+            bound, rows = self.threshold[at], row[live]
+            down = x[rows, f] <= bound
+            part = np.flatnonzero((down != (z[rows, f] <= bound)) & wanted[f])
+            word, bit = f[part] // WORD, np.uint64(1) << (f[part] % WORD).astype(np.uint64)
+            first = (parted[word, live[part]] & bit) == 0
+            part, word, bit = part[first], word[first], bit[first]
+            parted[word, live[part]] |= bit
+            found.append((live[part], f[part], np.where(down[part], self.right[at[part]], self.left[at[part]])))
+            node[live] = np.where(down, self.left[at], self.right[at])
+        return node, *[np.concatenate(some) for some in zip(*found)]
+
     def moved(self, x: np.ndarray, z: np.ndarray, places: Sequence[int]) -> Iterator[tuple[int, np.ndarray]]:
         """The summed votes ``(class, row)`` of the rows ``x`` as they are (place -1), and with one feature at a time taken from ``z``.
 
-        A tree is walked again only for the rows whose way through it tests the
-        feature, and whose value is another one. Votes are added tree by tree, as the
+        A tree is walked again only for the rows that a test of the feature sends another
+        way, and only from that test on. Votes are added tree by tree, as the
         forest itself adds them, so that ties fall the same way.
         """
         n = len(x)
         sums = {f: np.zeros((len(self.votes), n)) for f in (-1, *places)}
-        differs = {f: ~((x[:, f] == z[:, f]) | (np.isnan(x[:, f]) & np.isnan(z[:, f]))) for f in places}
+        wanted = np.zeros(x.shape[1], bool)
+        wanted[list(places)] = True
         step = max(1, PAIRS // max(n, 1))
         for a in range(0, len(self.roots), step):
             roots = self.roots[a:a + step]
             row = np.tile(np.arange(n), len(roots))
-            tested = np.zeros((-(-x.shape[1] // WORD), len(row)), np.uint64)
-            leaf = self.walk(x, np.repeat(roots, n), row, tested)
+            leaf, pairs, features, behind = self.partings(x, z, np.repeat(roots, n), row, wanted)
+            other = self.walk(x, behind, row[pairs], z, features)
+            votes = self.votes[:, leaf]
+            by_tree = votes.reshape(len(self.votes), len(roots), n)
             for f in sums:
-                ends = leaf
-                if f >= 0:
-                    again = np.flatnonzero((tested[f // WORD] >> np.uint64(f % WORD) & np.uint64(1)).astype(bool) & differs[f][row])
-                    if len(again):
-                        other = x.copy()
-                        other[:, f] = z[:, f]
-                        ends = leaf.copy()
-                        ends[again] = self.walk(other, np.repeat(roots, n)[again], row[again])
-                votes = self.votes[:, ends].reshape(len(self.votes), len(roots), n)
+                again = np.flatnonzero(features == f)
+                changed = pairs[again]
+                before = votes[:, changed]
+                votes[:, changed] = self.votes[:, other[again]]
                 for t in range(len(roots)):
-                    sums[f] += votes[:, t]
+                    sums[f] += by_tree[:, t]
+                votes[:, changed] = before
         yield from sums.items()
 
 

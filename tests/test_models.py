@@ -100,6 +100,47 @@ def test_forest_permutation_equals_moved_rows_scored_whole(spark, parts, n_featu
     assert as_tuples(counts) == as_tuples(RF.score_counts(scored, "y", "pred"))
 
 
+def test_only_rows_that_a_test_sends_another_way_are_walked_again(monkeypatch):
+    import numpy as np
+    from lift.operators.trees import FlatForest
+
+    # x0 <= 1 ? (x1 <= 5 ? a : b) : (x0 <= 3 ? c : d)
+    forest = FlatForest(np.array([0]), np.array([0, 1, 0, -1, -1, -1, -1]), np.array([1.0, 5, 3, 0, 0, 0, 0]), np.array([1, 3, 5, -1, -1, -1, -1]),
+                        np.array([2, 4, 6, -1, -1, -1, -1]), np.array([[0.5, 0.5, 0.5, 0.9, 0.8, 0.7, 0.6], [0.5, 0.5, 0.5, 0.1, 0.2, 0.3, 0.4]]))
+    x, z = np.array([[0.0, 4.0], [2.0, 4.0], [4.0, 6.0]]), np.array([[1.0, 6.0], [3.0, 0.0], [0.0, 0.0]])
+    walk, walked = FlatForest.walk, []
+    monkeypatch.setattr(FlatForest, "walk", lambda self, x, node, row, *more: walked.append(len(row)) or walk(self, x, node, row, *more))
+    votes = {f: v[0].tolist() for f, v in forest.moved(x, z, [0, 1])}
+    assert votes == {-1: [0.9, 0.7, 0.6], 0: [0.9, 0.7, 0.8], 1: [0.8, 0.7, 0.6]}
+    assert walked == [2]
+
+
+def test_a_fit_has_few_partitions_for_few_rows(rows, pieces, monkeypatch):
+    """Each partition counts every node, so the session's number is a limit only."""
+    ordered, found = RF.in_training_order, []
+    monkeypatch.setattr(RF, "in_training_order", lambda *a, **k: found.append(ordered(*a, **k)) or found[-1])
+    pieces(200)
+    RF.fit_forest(rows, FEATURES, "y", trees=2, max_depth=2)
+    assert found[0].rdd.getNumPartitions() == RF.FEW_PIECES
+
+
+def test_trees_fitted_some_at_a_time_are_one_forest(rows, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(RF, "TREES_AT_ONCE", 4)
+    model = RF.fit_forest(rows, FEATURES, "y", trees=10, max_depth=4, seed=3)
+    parts = [RF.fit_forest(rows, FEATURES, "y", trees=n, max_depth=4, seed=3 + i).stages[-1] for i, n in enumerate((4, 4, 2))]
+    trees = [tree for part in parts for tree in part.trees]
+    assert model.stages[-1].getNumTrees == 10 and [t.numNodes for t in model.stages[-1].trees] == [t.numNodes for t in trees]
+    each = sum(tree.featureImportances.toArray() for tree in trees)
+    assert np.allclose(model.stages[-1].featureImportances.toArray(), each / each.sum())
+    votes = {row["id"]: row[RF.RAW].toArray() for row in model.transform(rows).collect()}
+    for part in parts:
+        for row in part.transform(model.transform(rows).select("id", RF.VECTOR)).collect():
+            votes[row["id"]] = votes[row["id"]] - row[RF.RAW].toArray()
+    assert all(abs(v).max() < 1e-9 for v in votes.values())
+
+
 def test_forest_permutation_of_one_row_and_of_no_used_feature(parts):
     train, test = parts
     model = RF.fit_forest(train, FEATURES, "y", trees=5, max_depth=3, seed=3)
